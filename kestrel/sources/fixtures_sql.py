@@ -53,7 +53,7 @@ SELECT l_suppkey AS dataset_id, l_quantity AS x, l_extendedprice AS y, l_orderke
 FROM lineitem""",
     "points": """
 SELECT vec_id AS id,
-       list_transform(range(0, 16), i -> [CAST(embedding[i * 4 + 1] AS DOUBLE), CAST(embedding[i * 4 + 2] AS DOUBLE),
+       list_transform(range(0, 16), lambda i: [CAST(embedding[i * 4 + 1] AS DOUBLE), CAST(embedding[i * 4 + 2] AS DOUBLE),
                                           CAST(embedding[i * 4 + 3] AS DOUBLE), abs(CAST(embedding[i * 4 + 4] AS DOUBLE))]) AS points,
        label,
        (['cubic', 'orthorhombic', 'tetragonal', 'monoclinic', 'triclinic', 'hexagonal', 'trigonal',
