@@ -31,4 +31,4 @@ def load_all() -> None:
         importlib.import_module(f"kestrel.plans.{m}")
 
 
-PLAN_MODULES = ["q_ticks", "q_profile", "q_relational"]
+PLAN_MODULES = ["q_ticks", "q_profile", "q_relational", "q_panel"]
