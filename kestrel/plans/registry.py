@@ -31,4 +31,4 @@ def load_all() -> None:
         importlib.import_module(f"kestrel.plans.{m}")
 
 
-PLAN_MODULES = ["q_ticks", "q_profile", "q_relational", "q_panel", "q_macro", "q_txn", "q_metrics", "q_text", "q_models", "q_io"]
+PLAN_MODULES = ["q_ticks", "q_profile", "q_relational", "q_panel", "q_macro", "q_txn", "q_metrics", "q_text", "q_models", "q_io", "q_streaming"]
