@@ -120,16 +120,21 @@ def beta_grid(panel: DataFrame, mkt_cal: DataFrame, windows=WINDOWS, half_lives=
     and half-lives ride along as a key of the beta windows.
     """
     spark = panel.sparkSession
-    parts = []
+    # all rolling frames in one pass per side, one alignment, then one row per window size
+    mk = mkt_cal.withColumn("_k", F.lit(0))
     for w in windows:
-        mk = rolling_mean(mkt_cal.withColumn("_k", F.lit(0)), ["_k"], "pos", "ret_mkt", w, "_xr").drop("_k")
-        st = rolling_mean(panel, ["uspn"], "date", "ret", w, "_yr")
-        a = align(st.drop("ret").withColumnRenamed("_yr", "ret"),
-                  mk.drop("ret_mkt").withColumnRenamed("_xr", "ret_mkt"))
-        parts.append(a.withColumn("win_size", F.lit(w)))
-    aligned = parts[0]
-    for p in parts[1:]:
-        aligned = aligned.unionByName(p)
+        mk = rolling_mean(mk, ["_k"], "pos", "ret_mkt", w, f"_xr{w}")  # one row per date: small
+    st = panel.select("uspn", "date", "ret")
+    for w in windows:
+        st = rolling_mean(st, ["uspn"], "date", "ret", w, f"_yr{w}")
+    p = st.join(mkt_cal.select("date", "pos"), "date")
+    span = p.groupBy("uspn").agg(F.min("pos").alias("_lo"), F.max("pos").alias("_hi"))
+    cal = span.select("uspn", F.explode(F.sequence("_lo", "_hi")).alias("pos"))
+    wide = (cal.join(mk.drop("_k", "ret_mkt"), "pos")
+               .join(p.select("uspn", "pos", *[f"_yr{w}" for w in windows]), ["uspn", "pos"], "left"))
+    cells = F.array(*[F.struct(F.lit(w).alias("win_size"), F.col(f"_xr{w}").alias("x"), F.col(f"_yr{w}").alias("y"))
+                      for w in windows])
+    aligned = wide.select("uspn", "date", "pos", F.inline(cells))
     hl = spark.createDataFrame([(h,) for h in half_lives], "half_life int")
     grid = aligned.crossJoin(F.broadcast(hl))
     keys = ["uspn", "win_size", "half_life"]

@@ -77,34 +77,85 @@ def swipe_groups(dups: DataFrame, window_s: int = SWIPE_WINDOW_S) -> DataFrame:
     return g.withColumnRenamed("_brk_cum", "grp").drop("amount_prev1", "_us_prev1", "_brk", "_rn")
 
 
+def _anchored_starts(t: np.ndarray, hour: np.ndarray, window_us: int, same_hour: bool) -> np.ndarray:
+    """Run starts of one sorted segment: the next start is the first row at least
+    ``window_us`` after the current start (or in a later hour)."""
+    n = len(t)
+    start = np.zeros(n, dtype=bool)
+    i = 0
+    while i < n:
+        start[i] = True
+        j = int(np.searchsorted(t, t[i] + window_us, side="left"))
+        if same_hour:
+            j = min(j, int(np.searchsorted(hour, hour[i], side="right")))
+        i = max(j, i + 1)
+    return start
+
+
 def _anchored_runs(window_us: int, same_hour: bool):
+    """Per-segment pandas function (one segment per call)."""
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["_us", "row_id"], kind="mergesort")
         t = pdf["_us"].to_numpy(np.int64)
-        hour = t // 3_600_000_000
-        n = len(t)
-        start = np.zeros(n, dtype=bool)
-        i = 0
-        while i < n:
-            start[i] = True
-            j = int(np.searchsorted(t, t[i] + window_us, side="left"))
-            if same_hour:
-                j = min(j, int(np.searchsorted(hour, hour[i], side="right")))
-            i = max(j, i + 1)
+        start = _anchored_starts(t, t // 3_600_000_000, window_us, same_hour)
         out = pdf[["row_id", "account", "amount", "ts"]].copy()
         out["multi_swipe"] = ~start
         return out
     return fn
 
 
+def _anchored_partition(window_us: int, same_hour: bool):
+    """mapInPandas body over a partition sorted by (account, grp, _us, row_id).
+
+    Segments never straddle partitions (hash partitioned on (account, grp));
+    a segment cut by an Arrow batch boundary is carried into the next batch.
+    """
+    def fn(batches):
+        carry = None
+        for b in batches:
+            if carry is not None and len(carry):
+                b = pd.concat([carry, b], ignore_index=True)
+            if not len(b):
+                continue
+            acc, grp = b["account"].to_numpy(), b["grp"].to_numpy()
+            last = (acc == acc[-1]) & (grp == grp[-1])
+            carry, done = b[last], b[~last]
+            if len(done):
+                yield _flag_segments(done, window_us, same_hour)
+        if carry is not None and len(carry):
+            yield _flag_segments(carry, window_us, same_hour)
+    return fn
+
+
+def _flag_segments(pdf: pd.DataFrame, window_us: int, same_hour: bool) -> pd.DataFrame:
+    t = pdf["_us"].to_numpy(np.int64)
+    hour = t // 3_600_000_000
+    key = pdf["grp"].to_numpy()
+    acc = pdf["account"].to_numpy()
+    change = np.ones(len(t), dtype=bool)
+    change[1:] = (acc[1:] != acc[:-1]) | (key[1:] != key[:-1])
+    bounds = list(np.flatnonzero(change)) + [len(t)]
+    start = np.zeros(len(t), dtype=bool)
+    for a, b in zip(bounds[:-1], bounds[1:]):
+        start[a:b] = _anchored_starts(t[a:b], hour[a:b], window_us, same_hour)
+    out = pdf[["row_id", "account", "amount", "ts"]].copy()
+    out["multi_swipe"] = ~start
+    return out
+
+
 def multi_swipes(txn: DataFrame, keys: list[str] = DUP_KEYS, window_s: int = SWIPE_WINDOW_S,
                  same_hour: bool = False) -> DataFrame:
     """Rows after the first of an anchored run: consecutive duplicate rows of an
     account with the same non-zero amount, less than ``window_s`` seconds after
-    the run's FIRST row (optionally also in the same clock hour)."""
+    the run's FIRST row (optionally also in the same clock hour).
+
+    Segments are hash-partitioned on (account, grp) and sorted inside each
+    partition; one ordered ``mapInPandas`` pass per partition walks them (no
+    per-group Python call)."""
     dups = mark_duplicates(txn, keys).where("is_dup").select("row_id", "account", "amount", "ts")
-    g = swipe_groups(dups, window_s).where(F.col("amount") != 0)
-    fn = _anchored_runs(window_s * 1_000_000, same_hour)
-    res = g.groupBy("account", "grp").applyInPandas(
-        fn, "row_id long, account long, amount double, ts timestamp_ntz, multi_swipe boolean")
+    g = swipe_groups(dups, window_s).where(F.col("amount") != 0).withColumn("_us", _micros("ts"))
+    ordered = g.repartition("account", "grp").sortWithinPartitions("account", "grp", "_us", "row_id")
+    res = ordered.select("row_id", "account", "amount", "ts", "grp", "_us").mapInPandas(
+        _anchored_partition(window_s * 1_000_000, same_hour),
+        "row_id long, account long, amount double, ts timestamp_ntz, multi_swipe boolean")
     return res.where("multi_swipe").drop("multi_swipe")

@@ -30,6 +30,9 @@ def get_session(master: str | None = None, app: str = "kestrel",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor (applies before JVM start)
+        conf["spark.driver.memory"] = os.environ.get("KESTREL_DRIVER_MEMORY", "16g")
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
