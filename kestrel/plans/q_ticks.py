@@ -277,3 +277,25 @@ def q_horizon_scan(spark, d):
     keys = ["symbol", "look_back", "horizon"]
     sums = linear.fold_sums_uni(rows, keys, tk.ALL_FEATURES, "target", ["bin"], dense_col="bin")
     return linear.ridge_uni_cv(sums, keys)
+
+
+@register("win_lead_k", sql=_with(tick_ctes(), "SELECT symbol, split, bin, " + ", ".join(
+    f"lead(P_mid, {h}) OVER w AS lead{h}" for h in tk.HORIZONS) + f" FROM pf {WINDOW}"))
+def q_lead_k(spark, d):
+    base = tk.with_point_features(_split(spark, d))
+    specs = [tk.Lagged(f"lead{h}", "P_mid", 0, -h) for h in tk.HORIZONS]
+    h_df, w = tk._window_parts(base, specs, tk.DEFAULT_SEGMENT)
+    return h_df.select("symbol", "split", "bin", "core", *[tk.lagged_expr(s, w).alias(s.out) for s in specs]).where(
+        "core").drop("core")
+
+
+@register("agg_corr_pair", sql=_with(tick_ctes(), """
+SELECT a.split, corr(a.P_mid, b.P_mid) AS corr_mid, count(*) AS n
+FROM pf a JOIN pf b ON a.bin = b.bin AND a.split = b.split
+WHERE a.symbol = 'STOCKA' AND b.symbol = 'STOCKB' GROUP BY a.split"""))
+def q_corr_pair(spark, d):
+    p = tk.with_point_features(_split(spark, d))
+    a = p.where("symbol = 'STOCKA'").select("split", "bin", F.col("P_mid").alias("a"))
+    b = p.where("symbol = 'STOCKB'").select("split", "bin", F.col("P_mid").alias("b"))
+    return a.join(b, ["split", "bin"]).groupBy("split").agg(F.corr("a", "b").alias("corr_mid"),
+                                                            F.count(F.lit(1)).alias("n"))
