@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame
 
 def parallel_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
                  n_chunks: int | None = None) -> DataFrame:
+    from kestrel.session import ship_package
+    ship_package(df.sparkSession)
     d = df.repartition(n_chunks) if n_chunks else df
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -152,6 +152,8 @@ def multi_swipes(txn: DataFrame, keys: list[str] = DUP_KEYS, window_s: int = SWI
     Segments are hash-partitioned on (account, grp) and sorted inside each
     partition; one ordered ``mapInPandas`` pass per partition walks them (no
     per-group Python call)."""
+    from kestrel.session import ship_package
+    ship_package(txn.sparkSession)
     dups = mark_duplicates(txn, keys).where("is_dup").select("row_id", "account", "amount", "ts")
     g = swipe_groups(dups, window_s).where(F.col("amount") != 0).withColumn("_us", _micros("ts"))
     ordered = g.repartition("account", "grp").sortWithinPartitions("account", "grp", "_us", "row_id")

@@ -67,3 +67,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never localCheckpoint): survives lost executors."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``kestrel`` importable in Python workers (pandas UDFs pickle functions
+    by module reference): zip the package into the shared checkpoint folder once
+    per application and add it with ``addPyFile``."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(checkpoint_dir(spark), f"kestrel-{app}.zip")
+    if target.startswith("file:"):
+        target = target[len("file:"):]
+    with zipfile.ZipFile(target, "w") as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
