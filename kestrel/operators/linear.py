@@ -42,17 +42,14 @@ def ridge_uni_cv(fold_sums: DataFrame, group_cols: list[str], alphas=RIDGE_ALPHA
     """
     keys = [*group_cols, "feature"]
     wt = Window.partitionBy(*keys)
-    s = fold_sums
-    for c in ["n", "sy", "syy", "sxx", "sxy"]:
-        s = s.withColumn("T" + c, F.sum(c).over(wt))
+    s = fold_sums.withColumns({"T" + c: F.sum(c).over(wt) for c in ["n", "sy", "syy", "sxx", "sxy"]})
     al = fold_sums.sparkSession.createDataFrame([(i, float(a)) for i, a in enumerate(alphas)],
                                                 "alpha_idx int, alpha double")
     g = s.crossJoin(F.broadcast(al))
     beta = F.try_divide(F.col("Tsxy") - F.col("sxy"), F.col("Tsxx") - F.col("sxx") + F.col("alpha"))
-    g = g.withColumn("_b", beta)
-    ssres = F.col("syy") - 2 * F.col("_b") * F.col("sxy") + F.col("_b") * F.col("_b") * F.col("sxx")
+    ssres = F.col("syy") - 2 * beta * F.col("sxy") + beta * beta * F.col("sxx")
     sstot = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    g = g.withColumn("_r2", F.lit(1.0) - F.try_divide(ssres, sstot))
+    g = g.select("*", (F.lit(1.0) - F.try_divide(ssres, sstot)).alias("_r2"))
     cv = g.groupBy(*keys, "alpha_idx", "alpha").agg(
         F.avg("_r2").alias("cv_r2"),
         *[F.first("T" + c).alias("T" + c) for c in ["n", "sy", "syy", "sxx", "sxy"]])

@@ -28,8 +28,7 @@ def forward_fill(df: DataFrame, key_cols: list[str], order_col: str, fill_cols:
     d = df.withColumn("_seg", seg)
     w = (Window.partitionBy(*key_cols, "_seg").orderBy(order_col)
          .rowsBetween(Window.unboundedPreceding, 0))
-    for c in fill_cols:
-        d = d.withColumn(c, F.last(c, ignorenulls=True).over(w))
+    d = d.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in fill_cols})
     # last non-null per segment, carried over later segments
     lasts = d.groupBy(*key_cols, "_seg").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col))).alias(c + "_seglast")
@@ -39,8 +38,7 @@ def forward_fill(df: DataFrame, key_cols: list[str], order_col: str, fill_cols:
                          *[F.last(c + "_seglast", ignorenulls=True).over(ws).alias(c + "_carry")
                            for c in fill_cols])
     out = d.join(carry, [*key_cols, "_seg"], "left")
-    for c in fill_cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(c + "_carry")))
+    out = out.withColumns({c: F.coalesce(F.col(c), F.col(c + "_carry")) for c in fill_cols})
     return out.drop("_seg", *[c + "_carry" for c in fill_cols])
 
 

@@ -138,19 +138,17 @@ def chrono_split(filled: DataFrame, train_frac: float = 0.75) -> DataFrame:
     """
     st = filled.groupBy("symbol").agg(F.min("bin").alias("_first"), F.count(F.lit(1)).alias("_n"))
     rn = F.col("bin") - F.col("_first") + 1
-    return (filled.join(st, "symbol")
-                  .withColumn("split", F.when(rn <= F.floor(F.col("_n") * F.lit(train_frac)), F.lit("train"))
-                              .otherwise(F.lit("test")))
-                  .drop("_first", "_n"))
+    split = F.when(rn <= F.floor(F.col("_n") * F.lit(train_frac)), F.lit("train")).otherwise(F.lit("test"))
+    return filled.join(st, "symbol").select(*filled.columns, split.alias("split"))
 
 
 def with_point_features(df: DataFrame) -> DataFrame:
     """Mid, spread, spread over mid and mean size (raw, before any shift)."""
-    return (df.withColumn("P_mid", (F.col("P_ask") + F.col("P_bid")) / 2)
-              .withColumn("P_spread", F.col("P_ask") - F.col("P_bid"))
-              .withColumn("P_sp_ovr_mid", F.try_divide(F.col("P_ask") - F.col("P_bid"),
-                                                       (F.col("P_ask") + F.col("P_bid")) / 2))
-              .withColumn("V_mid", (F.col("V_ask") + F.col("V_bid")) / 2))
+    return df.withColumns({
+        "P_mid": (F.col("P_ask") + F.col("P_bid")) / 2,
+        "P_spread": F.col("P_ask") - F.col("P_bid"),
+        "P_sp_ovr_mid": F.try_divide(F.col("P_ask") - F.col("P_bid"), (F.col("P_ask") + F.col("P_bid")) / 2),
+        "V_mid": (F.col("V_ask") + F.col("V_bid")) / 2})
 
 
 @dataclass(frozen=True)
