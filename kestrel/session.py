@@ -74,8 +74,9 @@ _SHIPPED: set[str] = set()
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``kestrel`` importable in Python workers (pandas UDFs pickle functions
-    by module reference): zip the package into the shared checkpoint folder once
-    per application and add it with ``addPyFile``."""
+    by module reference): zip the package once per application and add it with
+    ``addPyFile``, which serves it to the executors from the driver, so the file
+    system behind the checkpoint folder does not matter."""
     import zipfile
 
     sc = spark.sparkContext
@@ -83,9 +84,8 @@ def ship_package(spark: SparkSession) -> None:
     if app in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(checkpoint_dir(spark), f"kestrel-{app}.zip")
-    if target.startswith("file:"):
-        target = target[len("file:"):]
+    folder = tempfile.mkdtemp(prefix="kestrel-pkg-")
+    target = os.path.join(os.path.realpath(folder), "kestrel.zip")
     with zipfile.ZipFile(target, "w") as z:
         for root, _, files in os.walk(pkg):
             for f in files:
