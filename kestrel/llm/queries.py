@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe_automaton, id_frames, token_counts
+from kestrel.llm import bpe_automaton, curriculum, exact_dedup, id_frames, shard_shuffle, token_counts
 from kestrel.llm.common import documents, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,15 @@ def op1_id_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.crc32("ids").alias("ids_crc32"))
 
 
+@register("op2_shard_shuffle")
+def op2_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the shuffled shards and digest what is read back."""
+    shards = shard_shuffle.shuffle_into_shards(documents(spark, sf_dir, "doc_id", "text"), 16)
+    return shards.select("doc_id", shard_shuffle.record_size().alias("size"),
+                         F.crc32(text_or_empty()).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
 @register("op3_bpe_automaton")
 def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode to ids, decode the ids, and digest both."""
@@ -50,6 +59,22 @@ def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@register("op4_exact_dedup", """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+         g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY t)
+    SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
+    FROM d JOIN g USING (t)""")
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = exact_dedup.duplicate_classes(documents(spark, sf_dir, "doc_id", "text"), keep="max",
+                                        digest=lambda t: F.unhex(F.sha2(t, 256)))
+    return out.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+@register("op8_curriculum_mix")
+def op8_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum.mix(documents(spark, sf_dir, "doc_id", "source", "text"))
+
+
 @register("op9_token_counts")
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text").withColumn("text", text_or_empty())
