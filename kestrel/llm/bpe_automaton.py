@@ -92,7 +92,7 @@ class MergeAutomaton:
         key = t << _SHIFT | s
         ok = self._arcs.get(key)
         if ok is None:
-            if len(self._arcs) >= 2_000_000:
+            if len(self._arcs) >= 300_000:
                 self._arcs.clear()
             ok = self._arcs[key] = self._lookup(t, s, 1 << 60)
         return ok

@@ -6,8 +6,8 @@ non-space character.  Texts are cut at those points with ``str.split``; only
 pieces not seen before by the worker reach the (slow) splitter and the merges.
 
 ``PieceCache`` maps a piece to what the operator needs of it.  It holds two
-generations of at most ``limit`` entries (the older goes when the younger is
-full) and no long pieces, so its memory is bounded whatever the text.
+generations of at most ``limit`` entries, half as many for its units (the older
+goes when the younger is full) and no long pieces, so its memory is bounded whatever the text.
 """
 
 from __future__ import annotations
@@ -72,7 +72,7 @@ class PieceCache:
     """piece -> ``value(words of the piece)``, where a word is one unit of the byte-level splitter."""
 
     def __init__(self, tokenizer_json: bytes, word: Callable, join: Callable, special: Callable,
-                 limit: int = 250_000, longest: int = 64):
+                 limit: int = 200_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         spec = json.loads(tokenizer_json)
@@ -95,7 +95,7 @@ class PieceCache:
 
     def _put(self, young: dict, old: dict, key: str, value):
         if len(key) <= self._longest:
-            if len(young) >= self._limit:
+            if len(young) >= (self._limit if young is self._pieces[0] else self._limit // 2):
                 old.clear()
                 old.update(young)
                 young.clear()

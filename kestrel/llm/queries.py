@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe_automaton, curriculum, exact_dedup, id_frames, shard_shuffle, token_counts
+from kestrel.llm import bpe_automaton, circulant_minhash, curriculum, exact_dedup, id_frames, ngram_ratio, shard_shuffle, token_counts
 from kestrel.llm.common import documents, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +81,21 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = token_counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json"))
     return n.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "n_tokens",
                     (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@register("op10_ngram_ratio")
+def op10_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    out = ngram_ratio.judged(docs, ngram_ratio.fit(docs, labels))
+    return out.select(F.col("__c0").alias("doc_id"), F.col("__n").alias("n_words"),
+                      F.col("__word_chars").alias("word_chars"), F.col("__n_symbols").alias("n_symbols"),
+                      F.col("__n_dup_lines").alias("n_dup_lines"), F.col("__n_repeat_words").alias("n_repeat_words"),
+                      F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"),
+                      F.col("__score").alias("score"))
+
+
+@register("op7_circulant_minhash")
+def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return circulant_minhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), shingle=2).select(
+        "doc_id", "n_shingles", "component_id", "kept")
