@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe_automaton, circulant_minhash, curriculum, exact_dedup, id_frames, ngram_ratio, shard_shuffle, token_counts
+from kestrel.llm import bpe_automaton, circulant_minhash, curriculum, exact_dedup, id_frames, line_blocks, ngram_ratio, shard_shuffle, token_counts, url_lists
 from kestrel.llm.common import documents, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,49 @@ def op10_ngram_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return circulant_minhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"), shingle=2).select(
         "doc_id", "n_shingles", "component_id", "kept")
+
+
+@register("op5_line_blocks")
+def op5_line_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").select("page_id", "url", "html")
+    return line_blocks.extract(pages).select("page_id", "url", "text",
+                                             F.char_length("text").cast("long").alias("n_chars"))
+
+
+def page_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as captures: the fetch day follows from the page number."""
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet")
+    return pages.select("page_id", "url", F.expr("date_add(date'2024-01-01', cast(page_id * 131 % 720 as int))")
+                        .alias("fetch_day"))
+
+
+def page_entries(captures: DataFrame) -> DataFrame:
+    """A dated list of every page's host, host section or address; each page is one entry."""
+    url, k = F.col("url"), F.col("page_id") % 4
+    host, path = url_lists.host_of(url), url_lists.path_of(url)
+    section = F.concat(host, F.lit("/"), F.split(path, "/")[1])
+    return captures.select(
+        F.when(k == 0, host).when(k == 1, F.concat(host, path)).otherwise(section).alias("value"),
+        F.expr("date_add(date'2024-01-01', cast(page_id * 17 % 720 as int))").alias("day"),
+        (F.col("page_id") % 3 != 0).alias("added"))
+
+
+@register("op6_url_lists", r"""
+    WITH p AS (SELECT page_id, url, date '2024-01-01' + CAST(page_id * 131 % 720 AS INTEGER) AS fetch_day,
+                      date '2024-01-01' + CAST(page_id * 17 % 720 AS INTEGER) AS day,
+                      regexp_extract(url, '//([^/?#]*)', 1) AS host,
+                      regexp_replace(regexp_extract(url, '//[^/?#]*([^?#]*)', 1), '/+$', '') AS path FROM pages),
+         e AS (SELECT CASE page_id % 4 WHEN 0 THEN host WHEN 1 THEN host || path
+                           ELSE host || '/' || string_split(path, '/')[2] END AS value, day,
+                      min(page_id % 3 <> 0) AS added FROM p GROUP BY 1, 2),
+         i AS (SELECT * FROM (SELECT *, lead(day) OVER (PARTITION BY value ORDER BY day) AS until FROM e) WHERE added),
+         k AS (SELECT DISTINCT page_id, fetch_day, unnest([host, host || path, host || '/' || string_split(path, '/')[2],
+                      regexp_extract(host, '[^.]+[.][^.]+$'), regexp_extract(host, '[^.]+[.][^.]+[.][^.]+$')]) AS key
+               FROM p),
+         h AS (SELECT page_id, count(*) AS n, min(key) AS first FROM k JOIN i ON key = value
+               AND day <= fetch_day AND (until IS NULL OR fetch_day < until) GROUP BY 1)
+    SELECT p.page_id, url, fetch_day, coalesce(n, 0) AS n_listed, first AS first_listed, n IS NOT NULL AS listed
+    FROM p LEFT JOIN h USING (page_id)""")
+def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = page_captures(spark, sf_dir)
+    return url_lists.listed_captures(captures, page_entries(captures))
