@@ -1,9 +1,10 @@
 """Generic parallel map (SURVEY udf_parallel_map).
 
 The reference shuffles ids, splits them into one chunk per worker and runs a
-function per chunk in a process pool.  Here the chunks are Spark partitions:
-``repartition(n)`` spreads the rows (round robin, so no chunk is hot), and a
-user function runs per Arrow batch via ``mapInPandas``.  Failures surface as
+function per chunk in a process pool.  Here the chunks are the partitions of the
+input, which follow its size (``n_chunks`` spreads rows anew, where a few large
+partitions meet a slow function), and a user function runs per Arrow batch via
+``mapInPandas``.  Failures surface as
 task failures (and are retried), instead of being lost with a dropped handle.
 """
 
@@ -27,8 +28,8 @@ def parallel_map(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], sche
     return d.mapInPandas(run, schema)
 
 
-def text_stats(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Example per-batch function: characters and space-separated words of each text."""
-    return pd.DataFrame({"doc_id": pdf["doc_id"].astype("int64"),
-                         "n_chars": pdf["text"].str.len().astype("int64"),
-                         "n_words": pdf["text"].str.split(" ").str.len().astype("int64")})
+def normalized(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Example per-batch function without a built-in counterpart: canonical composition (NFC)."""
+    text = pdf["text"].str.normalize("NFC")
+    return pd.DataFrame({"doc_id": pdf["doc_id"].astype("int64"), "text": text,
+                         "n_chars": text.str.len().astype("Int64")})

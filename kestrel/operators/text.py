@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Markup patterns.  Table rows carry one of two row classes;
 # cells are <td> elements.
 ROW_CLASSES = ("altrow datarowSeparator", " datarowSeparator")
-ROW_PATTERN = r'<tr class="(?:altrow datarowSeparator| datarowSeparator)">(.*?)</tr>'
+ROW_PATTERN = '<tr class="(?:' + "|".join(ROW_CLASSES) + ')">(.*?)</tr>'
 CELL_PATTERN = r"<td[^>]*>(.*?)</td>"
 
 

@@ -93,8 +93,8 @@ SPLIT = "CASE WHEN id % 10 < 8 THEN 'train' WHEN id % 10 = 8 THEN 'valid' ELSE '
 def q_split_dirs(spark, d):
     p = fl.scratch_path(spark, "splits")
     pts = fx.points(spark, d).withColumn("split", F.expr(SPLIT))
-    fl.write_per_key(pts, "split", p)
-    back = spark.read.parquet(p)
+    fl.write_per_value(pts, "split", p)
+    back = spark.read.schema(pts.schema).parquet(p)  # the split stays a string whatever it looks like
     parts = [back.where(F.col("split") == s) for s in ["train", "valid", "test"]]  # partition pruning
     out = parts[0]
     for x in parts[1:]:
@@ -103,11 +103,10 @@ def q_split_dirs(spark, d):
 
 
 @register("src_dataset_family", sql=with_views(
-    "SELECT dataset_id, count(*) AS n FROM dataset_family GROUP BY dataset_id HAVING count(*) <= 600",
-    ["dataset_family"]))
+    "SELECT dataset_id, count(*) AS n FROM dataset_family GROUP BY dataset_id", ["dataset_family"]))
 def q_src_family(spark, d):
-    return (fx.dataset_family(spark, d).groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") <= 600))
+    """Every data set with its size; no data set is too large for the one-aggregate fits."""
+    return fx.dataset_family(spark, d).groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 MOONS_SQL = """
@@ -164,18 +163,23 @@ def q_snk_ids(spark, d):
     return spark.read.text(p)
 
 
-@register("snk_file_per_row", sql=with_views("SELECT slug, count(*) AS n FROM items GROUP BY slug", ["page_items"],
-                                             [("items", "SELECT CASE WHEN length(s) > 240 THEN substr(s, 1, 240) || '...' "
-                                                        "ELSE s END AS slug FROM (SELECT replace(replace(replace(name, "
+@register("snk_file_per_row", sql=with_views("SELECT slug, page_id, pos, href FROM items", ["page_items"],
+                                             [("items", "SELECT page_id, pos, href, CASE WHEN length(s) > 240 THEN substr(s, 1, 240) || '...' "
+                                                        "ELSE s END AS slug FROM (SELECT page_id, pos, href, replace(replace(replace(name, "
                                                         "' ', '_'), '/', '_'), ',', '') AS s FROM page_items)")]))
 def q_file_per_row(spark, d):
     from kestrel.functions.scalar import slug
     items = fx.page_items(spark, d).select(slug(F.col("name")).alias("slug"), "page_id", "pos", "href")
     p = fl.write_per_key(items, "slug", fl.scratch_path(spark, "per-row"))
-    return spark.read.parquet(p).groupBy("slug").agg(F.count(F.lit(1)).alias("n"))
+    return fl.read_per_key(spark, p, items.schema, "slug")
 
 
-@register("snk_array_per_id")
+@register("snk_array_per_id", sql=with_views("""
+SELECT id, points AS conventional, list_transform(points, lambda p: p[1:3]) AS conventional_basis,
+       list_concat(list_transform(list_filter(points, lambda p: p[4] <= 1e-8), lambda p: [p[1], p[2], p[3], 0.0]),
+                   list_transform(list_filter(points, lambda p: p[4] > 1e-8), lambda p: [p[1], p[2], p[3], 1.0])) AS primitive,
+       list_transform(range(1, 5), lambda j: list_transform(points, lambda p: p[j])) AS primitive_basis
+FROM points""", ["points"]))
 def q_array_per_id(spark, d):
     """Four array columns per id in one wide Parquet row (instead of four files)."""
     from kestrel.functions import arrays as ar
@@ -188,14 +192,21 @@ def q_array_per_id(spark, d):
     return spark.read.parquet(p)
 
 
-@register("snk_scalar_log")
+LOG_CUTS = (0.5, 0.3)  # decision threshold of each epoch
+
+
+@register("snk_scalar_log", sql=with_views("\nUNION ALL\n".join(f"""
+SELECT 'run0' AS run, {e} AS epoch, batch AS step, 'accuracy' AS metric,
+       CAST(count(*) FILTER (WHERE target = CASE WHEN p1 > {c} THEN 1 ELSE 0 END) AS DOUBLE) / count(*) AS value
+FROM scores GROUP BY batch""" for e, c in enumerate(LOG_CUTS)), ["scores"]))
 def q_scalar_log(spark, d):
-    """Per-step metric log (run, epoch, step, metric, value) appended per epoch."""
+    """Per-step metric log (run, epoch, step, metric, value) appended per epoch; an epoch
+    stands for a decision threshold, so the epochs differ."""
     from kestrel.operators import metrics as mt
-    s = fx.scores(spark, d).withColumn("pred", F.when(F.col("p1") > 0.5, 1).otherwise(0))
-    per = mt.classification_metrics(s, "target", "pred", ["batch"])
     p = fl.scratch_path(spark, "log")
-    for epoch in range(2):
+    for epoch, cut in enumerate(LOG_CUTS):
+        s = fx.scores(spark, d).withColumn("pred", F.when(F.col("p1") > cut, 1).otherwise(0))
+        per = mt.classification_metrics(s, "target", "pred", ["batch"])
         per.select(F.lit("run0").alias("run"), F.lit(epoch).alias("epoch"), F.col("batch").alias("step"),
                    F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")).write.mode("append").parquet(p)
     return spark.read.parquet(p)
@@ -207,8 +218,11 @@ def q_console(spark, d):
     return spark.createDataFrame(rows, fx.reg_table(spark, d).schema)
 
 
-@register("udf_parallel_map", sql="SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, "
-                                  "CAST(len(string_split(text, ' ')) AS BIGINT) AS n_words FROM documents")
+@register("udf_parallel_map", sql="SELECT doc_id, nfc_normalize(text) AS text, "
+                                  "CAST(length(nfc_normalize(text)) AS BIGINT) AS n_chars FROM documents")
 def q_parallel_map(spark, d):
+    """A function that needs Python, written per id: Unicode normalisation of every text."""
     docs = load(spark, d, "documents").select("doc_id", "text")
-    return fanout.parallel_map(docs, fanout.text_stats, "doc_id long, n_chars long, n_words long", n_chunks=8)
+    out = fanout.parallel_map(docs, fanout.normalized, "doc_id long, text string, n_chars long")
+    p = fl.write_per_key(out, "doc_id", fl.scratch_path(spark, "per-id"))
+    return fl.read_per_key(spark, p, out.schema, "doc_id")

@@ -23,14 +23,12 @@ ROC = [("g", "SELECT p1 AS threshold, count(*) FILTER (WHERE target = 1) AS tp,
 
 CLS_SQL = """
 SELECT n, coalesce(ok / n, 0) AS accuracy,
-       CASE WHEN maxlab <= 1 THEN coalesce(tp / NULLIF(tp + fp, 0), 0) ELSE 0 END AS precision,
-       CASE WHEN maxlab <= 1 THEN coalesce(tp / NULLIF(tp + fn, 0), 0) ELSE 0 END AS recall,
-       CASE WHEN maxlab <= 1 THEN coalesce(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0) ELSE 0 END AS f1{extra}
+       coalesce(tp / NULLIF(tp + fp, 0), 0) AS precision, coalesce(tp / NULLIF(tp + fn, 0), 0) AS recall,
+       coalesce(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0) AS f1{extra}
 FROM (SELECT {keys} count(*) AS n, CAST(count(*) FILTER (WHERE target = pred) AS DOUBLE) AS ok,
              CAST(count(*) FILTER (WHERE target = 1 AND pred = 1) AS DOUBLE) AS tp,
              CAST(count(*) FILTER (WHERE target <> 1 AND pred = 1) AS DOUBLE) AS fp,
-             CAST(count(*) FILTER (WHERE target = 1 AND pred <> 1) AS DOUBLE) AS fn,
-             max(greatest(target, pred)) AS maxlab
+             CAST(count(*) FILTER (WHERE target = 1 AND pred <> 1) AS DOUBLE) AS fn
       FROM sp {group})"""
 
 
@@ -51,7 +49,8 @@ def q_classification(spark, d):
 
 @register("met_roc", sql=with_views("""
 SELECT threshold, coalesce(CAST(fp_cum AS DOUBLE) / NULLIF(N, 0), 0) AS fpr,
-       coalesce(CAST(tp_cum AS DOUBLE) / NULLIF(P, 0), 0) AS tpr FROM c CROSS JOIN tot""", ["scores"], ROC))
+       coalesce(CAST(tp_cum AS DOUBLE) / NULLIF(P, 0), 0) AS tpr FROM c CROSS JOIN tot
+UNION ALL SELECT CAST('inf' AS DOUBLE), 0.0, 0.0""", ["scores"], ROC))
 def q_roc(spark, d):
     return mt.roc_points(fx.scores(spark, d), "target", "p1")
 
@@ -100,14 +99,26 @@ def q_every_k(spark, d):
 
 @register("met_score_tables", sql=with_views("""
 SELECT 'roc' AS kind, coalesce(CAST(fp_cum AS DOUBLE) / NULLIF(N, 0), 0) AS x,
-       coalesce(CAST(tp_cum AS DOUBLE) / NULLIF(P, 0), 0) AS y FROM c CROSS JOIN tot
+       coalesce(CAST(tp_cum AS DOUBLE) / NULLIF(P, 0), 0) AS y, CAST(NULL AS DOUBLE) AS n FROM c CROSS JOIN tot
+UNION ALL SELECT 'roc', 0.0, 0.0, NULL
 UNION ALL
-SELECT 'score_hist', CAST(least(floor(p1 * 10), 9) AS DOUBLE), CAST(count(*) AS DOUBLE) FROM scores GROUP BY 2""",
-                                             ["scores"], ROC))
+SELECT 'score_hist', CAST(least(floor(p1 * 10), 9) AS DOUBLE), NULL, CAST(count(*) AS DOUBLE) FROM scores GROUP BY 2
+UNION ALL
+SELECT 'scatter', label, l_quantity * p_retailprice, NULL FROM reg_table
+UNION ALL
+SELECT 'heat', CAST(target AS DOUBLE), CAST(pred AS DOUBLE), CAST(count(*) AS DOUBLE) FROM sp GROUP BY target, pred""",
+                                             ["scores", "reg_table"], [*ROC, PRED]))
 def q_score_tables(spark, d):
+    """The tables behind the four plots: ROC curve, histogram of the scores, scatter of true
+    and predicted values, heat map of true and predicted classes."""
     s = fx.scores(spark, d)
+    none = F.lit(None).cast("double")
     roc = mt.roc_points(s, "target", "p1").select(F.lit("roc").alias("kind"), F.col("fpr").alias("x"),
-                                                  F.col("tpr").alias("y"))
+                                                  F.col("tpr").alias("y"), none.alias("n"))
     hist = s.groupBy(F.least(F.floor(F.col("p1") * 10), F.lit(9)).cast("double").alias("x")).agg(
-        F.count(F.lit(1)).cast("double").alias("y")).select(F.lit("score_hist").alias("kind"), "x", "y")
-    return roc.unionByName(hist)
+        F.count(F.lit(1)).cast("double").alias("n")).select(F.lit("score_hist").alias("kind"), "x", none.alias("y"), "n")
+    scatter = fx.reg_table(spark, d).select(F.lit("scatter").alias("kind"), F.col("label").alias("x"),
+                                            (F.col("l_quantity") * F.col("p_retailprice")).alias("y"), none.alias("n"))
+    heat = _pred(s).groupBy("target", "pred").agg(F.count(F.lit(1)).cast("double").alias("n")).select(
+        F.lit("heat").alias("kind"), F.col("target").cast("double").alias("x"), F.col("pred").cast("double").alias("y"), "n")
+    return roc.unionByName(hist).unionByName(scatter).unionByName(heat)

@@ -261,25 +261,22 @@ def q_grid(spark, d):
     return g.groupBy("dataset_id", "feature", "alpha").agg(F.avg(F.lit(1.0) - F.try_divide(ssres, sstot)).alias("cv_r2"))
 
 
-MAX_DATASET_ROWS = 600
-
-
-@register("tun_per_dataset", sql=with_views(f"""
+@register("tun_per_dataset", sql=with_views("""
 SELECT dataset_id, n, slope, intercept,
        1.0 - (syy - 2 * intercept * sy - 2 * slope * sxy + n * intercept * intercept + 2 * intercept * slope * sx
               + slope * slope * sxx) / NULLIF(syy - sy * sy / n, 0) AS r2
 FROM (SELECT *, (sxy - sx * sy / n) / NULLIF(sxx - sx * sx / n, 0) AS slope,
              sy / n - (sxy - sx * sy / n) / NULLIF(sxx - sx * sx / n, 0) * sx / n AS intercept
       FROM (SELECT dataset_id, count(*) AS n, sum(x) AS sx, sum(y) AS sy, sum(x * x) AS sxx, sum(x * y) AS sxy,
-                   sum(y * y) AS syy FROM dataset_family GROUP BY dataset_id HAVING count(*) <= {MAX_DATASET_ROWS}))""",
+                   sum(y * y) AS syy FROM dataset_family GROUP BY dataset_id))""",
                                               ["dataset_family"]))
 def q_per_dataset(spark, d):
-    """Ordinary least squares y ~ x per dataset (one aggregate), datasets above the size bound skipped."""
+    """Ordinary least squares y ~ x per dataset, whatever its size (one aggregate)."""
     df = fx.dataset_family(spark, d)
     s = df.groupBy("dataset_id").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
                                      F.sum(F.col("x") * F.col("x")).alias("sxx"),
                                      F.sum(F.col("x") * F.col("y")).alias("sxy"),
-                                     F.sum(F.col("y") * F.col("y")).alias("syy")).where(F.col("n") <= MAX_DATASET_ROWS)
+                                     F.sum(F.col("y") * F.col("y")).alias("syy"))
     slope = F.try_divide(F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n"),
                          F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n"))
     s = s.withColumn("slope", slope).withColumn("intercept", F.col("sy") / F.col("n") - F.col("slope") * F.col("sx") / F.col("n"))

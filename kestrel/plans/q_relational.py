@@ -467,10 +467,10 @@ def q_parse_list(spark, d):
 
 @register("fn_softmax_argmax", sql="""
 SELECT vec_id, list_position(pr, list_max(pr)) - 1 AS pred, list_max(pr) AS score
-FROM (SELECT vec_id, list_transform(embedding[1:3], lambda x: exp(CAST(x AS DOUBLE))) AS pr FROM embeddings)""")
+FROM (SELECT vec_id, list_transform(embedding, lambda x: exp(CAST(x AS DOUBLE))) AS pr FROM embeddings)""")
 def q_softmax(spark, d):
     e = load(spark, d, "embeddings")
-    lp = F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double"))
+    lp = F.transform("embedding", lambda x: x.cast("double"))
     pred, score = sc.softmax_argmax(lp)
     return e.select("vec_id", pred.alias("pred"), score.alias("score"))
 
@@ -501,9 +501,13 @@ def q_rotate(spark, d):
     return fx.points(spark, d).select("id", ar.rotate(F.col("points"), ROT).alias("points"))
 
 
-@register("arr_scale_intensity")
+@register("arr_scale_intensity", sql=with_views("""
+SELECT id, list_transform(points, lambda p: [p[1], p[2], p[3], p[4] * ((id * 7919 % 1000) / 1000.0)]) AS points
+FROM points""", ["points"]))
 def q_scale_intensity(spark, d):
-    return fx.points(spark, d).select("id", ar.scale_intensity(F.col("points"), F.rand(7)).alias("points"))
+    """The factor follows from the id, so that it is the same in every run."""
+    factor = (F.col("id") * 7919 % 1000) / F.lit(1000.0)
+    return fx.points(spark, d).select("id", ar.scale_intensity(F.col("points"), factor).alias("points"))
 
 
 @register("arr_binarize_intensity", sql=with_views("""

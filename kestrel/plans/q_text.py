@@ -19,10 +19,10 @@ def q_wordcount(spark, d):
 
 
 @register("enc_tokenize", sql=with_views("""
-SELECT id, len(string_split_regex(lower(text), '\\s')) AS n_tokens FROM docs_labeled""", ["docs_labeled"]))
+SELECT id, string_split_regex(lower(text), '\\s') AS words FROM docs_labeled""", ["docs_labeled"]))
 def q_tokenize(spark, d):
     t = en.tokenize(fx.docs_labeled(spark, d), "text")
-    return t.select("id", F.size("words").alias("n_tokens"))
+    return t.select("id", "words")
 
 
 @register("enc_hashtf")
@@ -31,6 +31,30 @@ def q_hashtf(spark, d):
     return t.select("id", vector_to_array("tf").alias("tf"))
 
 
+ROWS_VIEW = """
+SELECT p_partkey AS page_id, unnest([
+  {'row': 0, 'name': 'Brand', 'Metric': p_brand, 'English': p_type, 'Comments': p_name},
+  {'row': 1, 'name': 'Size', 'Metric': CAST(p_size AS VARCHAR), 'English': CAST(p_size * 2 AS VARCHAR), 'Comments': ''}],
+  recursive := true) FROM part"""
+
+
+@register("html_rows", sql=ROWS_VIEW)
+def q_html_rows(spark, d):
+    """Attribute tables: rows of the two row classes are markup made from `part`, with
+    other rows between them, and come back as (name, Metric, English, Comments)."""
+    from kestrel.sources.tables import load
+
+    def tr(cls, *cells):
+        return F.concat(F.lit(f'<tr class="{cls}">'), *[x for c in cells for x in (F.lit("<td>"), c, F.lit("</td>"))],
+                        F.lit("</tr>"))
+    size = F.col("p_size")
+    page = F.concat(F.lit("<table>"), tr("header", F.lit("Property"), F.lit("Metric")),
+                    tr(tx.ROW_CLASSES[0], F.lit("Brand"), F.col("p_brand"), F.col("p_type"), F.col("p_name")),
+                    tr(tx.ROW_CLASSES[1], F.lit("Size"), size.cast("string"), (size * 2).cast("string"), F.lit("")),
+                    F.lit("</table>"))
+    return tx.html_rows(load(spark, d, "part").select(F.col("p_partkey").alias("page_id"), page.alias("html")))
+
+
 @register("html_list", sql=with_views("SELECT page_id, list(name ORDER BY pos) AS names FROM page_items GROUP BY page_id",
                                       ["page_items"]))
 def q_html_list(spark, d):
@@ -45,7 +69,10 @@ def q_index(spark, d):
     return r.groupBy("l_returnflag", "idx").agg(F.count(F.lit(1)).alias("count"))
 
 
-@register("enc_onehot")
+@register("enc_onehot", sql=with_views("""
+SELECT l_orderkey, l_linenumber, [CAST(k = 0 AS INTEGER) * 1.0, CAST(k = 1 AS INTEGER) * 1.0] AS flag_vec
+FROM reg_table JOIN (SELECT l_returnflag, row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1 AS k
+                     FROM reg_table GROUP BY 1) USING (l_returnflag)""", ["reg_table"]))
 def q_onehot(spark, d):
     r = en.one_hot(fx.reg_table(spark, d), "l_returnflag", "flag_vec")
     return r.select("l_orderkey", "l_linenumber", vector_to_array("flag_vec").alias("flag_vec"))
@@ -75,7 +102,9 @@ def q_dummies_na(spark, d):
     return out.drop("seg")
 
 
-@register("enc_assemble")
+@register("enc_assemble", sql=with_views(
+    "SELECT " + ", ".join(fx.REG_ORDER) + ", [" + ", ".join(f"CAST({c} AS DOUBLE)" for c in fx.REG_FEATURES)
+    + "] AS features FROM reg_table", ["reg_table"]))
 def q_assemble(spark, d):
     r = en.assemble(fx.reg_table(spark, d), fx.REG_FEATURES)
     return r.select(*fx.REG_ORDER, vector_to_array("features").alias("features"))

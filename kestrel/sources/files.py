@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,21 +60,42 @@ def write_text_ids(df: DataFrame, col: str, path: str) -> str:
     return path
 
 
-def write_per_key(df: DataFrame, key: str, path: str, fmt: str = "parquet") -> str:
-    """One folder per key value (the "file per row" idiom, without a driver loop)."""
-    df.write.mode("overwrite").partitionBy(key).format(fmt).save(path)
+def write_per_value(df: DataFrame, key: str, path: str) -> str:
+    """One folder per value of a column with few values (train / valid / test)."""
+    df.write.mode("overwrite").partitionBy(key).parquet(path)
     return path
 
 
+def write_per_key(df: DataFrame, key: str, path: str, folders: int = 64) -> str:
+    """The "file per key" idiom for a column of any cardinality: keys are hashed into a
+    fixed number of folders and stay a column, so a reader of one key opens one folder."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(folders)).cast("int").alias("_folder")
+    df.select("*", bucket).write.mode("overwrite").partitionBy("_folder").parquet(path)
+    return path
+
+
+def read_per_key(spark: SparkSession, path: str, schema: T.StructType, key: str, value=None,
+                 folders: int = 64) -> DataFrame:
+    """All rows of ``write_per_key``, or those of one key (one folder is listed).  The schema is
+    given, so no value is read as another type."""
+    df = spark.read.schema(T.StructType([*schema.fields, T.StructField("_folder", T.IntegerType())])).parquet(path)
+    if value is not None:
+        same = F.lit(value).cast(schema[key].dataType)
+        df = df.where((F.col("_folder") == F.pmod(F.xxhash64(same), F.lit(folders)).cast("int")) & (F.col(key) == same))
+    return df.drop("_folder")
+
+
 def cached_convert(spark: SparkSession, converted: str, produce) -> DataFrame:
     """Use the converted Parquet copy when present and non-empty, else build it once
-    (``produce()`` returns the raw DataFrame) and read it back."""
+    (``produce()`` returns the raw DataFrame) and read it back.  Only a missing copy is
+    taken as missing; any other read error is raised and the copy left alone."""
     try:
         got = spark.read.parquet(converted)
         if got.limit(1).count() > 0:
             return got
-    except Exception:  # noqa: BLE001 - not written yet
-        pass
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
     produce().write.mode("overwrite").parquet(converted)
     return spark.read.parquet(converted)
 
