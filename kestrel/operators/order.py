@@ -109,6 +109,30 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, value_co
     return out.drop("_pid", *[c + "_loc" for c in value_cols], *[c + "_off" for c in value_cols])
 
 
+def exact_quantiles(df: DataFrame, group_cols: list[str], cols: list[str], probs: list[float]) -> DataFrame:
+    """(group..., column, q0, q1, ...): exact quantiles with linear interpolation, nulls ignored.
+
+    Equal values are counted first (map-side), then a distributed running sum over the
+    distinct values finds the values at the two ranks around each quantile; no task
+    holds all values of a group.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    counts = (df.select(*group_cols, F.inline(cells)).where("value IS NOT NULL")
+              .groupBy(*group_cols, "column", "value").agg(F.count(F.lit(1)).alias("_n")))
+    keys = [*group_cols, "column"]
+    ranked = running_sum(counts, keys, ["value"], ["_n"])
+    total = ranked.groupBy(*keys).agg(F.max("_n_cum").alias("_total"))
+    at = [F.lit(p) * (F.col("_total") - 1) for p in probs]
+
+    def value_at(rank):
+        return F.min(F.when(F.col("_n_cum") > rank, F.col("value")))
+    aggs = [x for i, a in enumerate(at) for x in (value_at(F.floor(a)).alias(f"_lo{i}"), value_at(F.ceil(a)).alias(f"_hi{i}"))]
+    ends = ranked.join(total, keys).groupBy(*keys, "_total").agg(*aggs)
+    return ends.select(*keys, *[
+        (F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * (a - F.floor(a))).alias(f"q{i}")
+        for i, a in enumerate(at)])
+
+
 def group_counts(df: DataFrame, group_cols: list[str], out: str = "n") -> DataFrame:
     return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias(out))
 
@@ -165,6 +189,3 @@ def with_stratified_folds(df: DataFrame, label_col: str, order_cols: list, k: in
              .withColumn(out, F.col("_fold")).drop("_rn", "_fold", "_lo", "_hi"))
 
 
-def with_batches(df: DataFrame, order_cols: list, size: int, out: str = "batch") -> DataFrame:
-    numbered = row_number(df, [], order_cols, "_rn")
-    return numbered.withColumn(out, ((F.col("_rn") - 1) / size).cast("long")).drop("_rn")

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.order import exact_quantiles
+
 
 def _unpivot(wide: DataFrame, cols: list[str], stats: list[str]) -> DataFrame:
     """Wide one-row ``<col>__<stat>`` aggregate -> one row per column."""
@@ -25,15 +27,17 @@ def describe(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def summary_pct(df: DataFrame, cols: list[str]) -> DataFrame:
-    """describe + exact 25/50/75 % (linear interpolation, as pandas)."""
+    """describe + exact 25/50/75 % (linear interpolation, as pandas), the quantiles by
+    distributed ranks."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, 0.25).alias(f"{c}__p25"), F.percentile(x, 0.5).alias(f"{c}__p50"),
-                 F.percentile(x, 0.75).alias(f"{c}__p75"), F.max(x).alias(f"{c}__max")]
-    return _unpivot(df.agg(*aggs), cols, ["count", "mean", "std", "min", "p25", "p50", "p75", "max"])
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    base = _unpivot(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    q = exact_quantiles(df, [], cols, [0.25, 0.5, 0.75])
+    return base.join(q, "column", "left").select("column", "count", "mean", "std", "min", F.col("q0").alias("p25"),
+                                                 F.col("q1").alias("p50"), F.col("q2").alias("p75"), "max")
 
 
 def min_max_mean_median(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -41,8 +45,10 @@ def min_max_mean_median(df: DataFrame, cols: list[str]) -> DataFrame:
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"),
-                 F.avg(x).alias(f"{c}__mean"), F.median(x).alias(f"{c}__median")]
-    return _unpivot(df.agg(*aggs), cols, ["min", "max", "mean", "median"])
+                 F.avg(x).alias(f"{c}__mean")]
+    base = _unpivot(df.agg(*aggs), cols, ["min", "max", "mean"])
+    q = exact_quantiles(df, [], cols, [0.5])
+    return base.join(q, "column", "left").select("column", "min", "max", "mean", F.col("q0").alias("median"))
 
 
 def null_counts(df: DataFrame) -> DataFrame:
@@ -118,9 +124,3 @@ def weighted_mean(df: DataFrame, group_cols: list[str], w: str, v: str, out: str
     """sum(w*v)/sum(w); a null v adds 0 to the top while its weight stays in the bottom."""
     return df.groupBy(*group_cols).agg(
         F.try_divide(F.sum(F.coalesce(F.col(w) * F.col(v), F.lit(0.0))), F.sum(w)).alias(out))
-
-
-def running_weighted_mean(df: DataFrame, group_cols: list[str], order_col: str, v: str, n: str) -> DataFrame:
-    """Running size-weighted mean (an average meter) per group."""
-    w = Window.partitionBy(*group_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("running_avg", F.sum(F.col(v) * F.col(n)).over(w) / F.sum(n).over(w))

@@ -8,11 +8,14 @@ with halo rows.  No per-symbol Python loop and no single-task window.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.operators.order import contiguous_fold, exact_quantiles
 from kestrel.operators.series import DEFAULT_SEGMENT, forward_fill, with_halo
+from kestrel.session import cut_lineage
 
 QUOTE_FEATURES = ["P_bid", "V_bid", "P_ask", "V_ask"]
 TRADE_FEATURES = ["P_trd", "V_trd", "Sd_trd"]
@@ -27,7 +30,8 @@ MINUTES_PER_SESSION = 390
 
 
 def tick_profile(ticks: DataFrame) -> DataFrame:
-    """Per-symbol quote/trade profile in one conditional aggregation.
+    """Per-symbol quote/trade profile: one conditional aggregation, and the medians by
+    distributed ranks (a symbol may hold most of the ticks).
 
     Quotes are ``trdpx = 0`` rows, trades ``bid = 0`` rows (the profile uses
     a different trade predicate from the binning, kept as is).  ``std`` is
@@ -41,18 +45,22 @@ def tick_profile(ticks: DataFrame) -> DataFrame:
         return F.when(q, F.col(c))
 
     nq = F.count_if(q)
-    return ticks.groupBy("symbol").agg(
+    per = ticks.groupBy("symbol").agg(
         nq.alias("num_changes"),
         F.min(qv("bid")).alias("bid_min"), F.max(qv("bid")).alias("bid_max"),
-        F.avg(qv("bid")).alias("bid_mean"), F.median(qv("bid")).alias("bid_median"),
+        F.avg(qv("bid")).alias("bid_mean"),
         F.stddev_samp(qv("bid")).alias("bid_std"), F.avg(qv("bidsz")).alias("bidsz_mean"),
         F.min(qv("ask")).alias("ask_min"), F.max(qv("ask")).alias("ask_max"),
-        F.avg(qv("ask")).alias("ask_mean"), F.median(qv("ask")).alias("ask_median"),
+        F.avg(qv("ask")).alias("ask_mean"),
         F.stddev_samp(qv("ask")).alias("ask_std"), F.avg(qv("asksz")).alias("asksz_mean"),
         (nq / SECONDS_PER_SESSION).cast("long").alias("changes_per_sec"),
         F.count_if(t).alias("num_trades"),
         (F.count_if(t) / F.lit(float(MINUTES_PER_SESSION))).alias("trades_per_min"),
     )
+    med = exact_quantiles(ticks.where(q), ["symbol"], ["bid", "ask"], [0.5])
+    med = med.groupBy("symbol").agg(*[F.max(F.when(F.col("column") == c, F.col("q0"))).alias(f"{c}_median")
+                                      for c in ("bid", "ask")])
+    return per.join(med, "symbol", "left")
 
 
 def bin_number(time_col: str, width_us: int, base_us: int):
@@ -64,13 +72,13 @@ def tick_bins(ticks: DataFrame, width_us: int, base_us: int = 0, dedupe: bool =
     """Raw per-(symbol, bin) aggregates of the bins that hold events.
 
     Quote means over ``trdpx = 0`` rows, trade means over ``trdpx <> 0`` rows.
-    With ``dedupe`` the raw rows are shuffled once on (symbol, bin), where the
-    exact-duplicate removal and the aggregation both run without a second
-    exchange; without it, the aggregation keeps its map-side partial step.
+    Exact duplicates are removed by a hash of the whole row, which spreads a busy
+    bin over all tasks; the aggregation then has its map-side partial step, so
+    a bin never meets in one task as raw rows.
     """
     d = ticks.withColumn("bin", bin_number("time", width_us, base_us))
     if dedupe:
-        d = d.repartition("symbol", "bin").dropDuplicates()
+        d = d.dropDuplicates()
     q = F.col("trdpx") == 0
     tr = ~q
     return d.groupBy("symbol", "bin").agg(
@@ -204,14 +212,16 @@ def _window_parts(df: DataFrame, specs: list[Lagged], segment: int) -> tuple[Dat
     return h, w
 
 
-def lagged_features(split_df: DataFrame, horizons=HORIZONS, spec=FEATURE_SPEC,
+def lagged_features(split_df: DataFrame, horizons=HORIZONS, spec=None, fixed_v_ask: bool = False,
                     segment: int = DEFAULT_SEGMENT) -> DataFrame:
     """Feature rows per (symbol, split, horizon, bin), nulls dropped.
 
     All lags of all horizons come from ONE window spec over
     (symbol, split, segment); the split is part of the partition, so no lag
-    crosses the train/test boundary.
+    crosses the train/test boundary.  ``fixed_v_ask`` takes V_ask from the ask size
+    instead of the published double shift of the ask price.
     """
+    spec = spec or (FEATURE_SPEC_FIXED_V_ASK if fixed_v_ask else FEATURE_SPEC)
     base = with_point_features(split_df)
     targets = [Lagged(f"_y{h}", TARGET_SOURCE, TARGET_PCT, -h) for h in horizons]
     h_df, w = _window_parts(base, list(spec) + targets, segment)
@@ -231,13 +241,18 @@ SCAN_HORIZONS = [10, 20, 40, 60, 90]
 SCAN_LOOKBACKS = [10, 20, 40, 60, 90, 120]
 
 
-def scan_rows(split_df: DataFrame, horizons=SCAN_HORIZONS, lookbacks=SCAN_LOOKBACKS,
-              split: str = "train", segment: int = DEFAULT_SEGMENT) -> DataFrame:
-    """(symbol, look_back, horizon, bin, 11 features, target) rows of the scan.
+def scan_fold_sums(split_df: DataFrame, horizons=SCAN_HORIZONS, lookbacks=SCAN_LOOKBACKS, k: int = 5,
+                   split: str = "train", segment: int = DEFAULT_SEGMENT) -> DataFrame:
+    """Sums of every (symbol, look_back, horizon, feature, fold) cell of the scan.
 
     For look-back L: price features are pct_change(L) then every feature is
-    shifted by L; target = pct_change(P_mid, L) led by the horizon.  Rows
-    with any null are dropped (as the whole-frame dropna does).
+    shifted by L; target = pct_change(P_mid, L) led by the horizon.  Rows of a cell
+    with any null are left out (as the whole-frame dropna does), and the rest form k
+    contiguous folds.
+
+    A bin stays one wide row: running counts of its valid cells, in the window of
+    the lags, give its fold in every cell.  Only then are cells laid out as
+    rows, straight into a partial aggregate, so none of them is shuffled.
     """
     base = with_point_features(split_df.where(F.col("split") == split))
     specs: dict[str, Lagged] = {}
@@ -248,13 +263,32 @@ def scan_rows(split_df: DataFrame, horizons=SCAN_HORIZONS, lookbacks=SCAN_LOOKBA
         for hz in horizons:
             specs[f"_y__{L}__{hz}"] = Lagged(f"_y__{L}__{hz}", "P_mid", L, -hz)
     h_df, w = _window_parts(base, list(specs.values()), segment)
-    wide = h_df.select("symbol", "bin", "core",
-                       *[lagged_expr(s, w).alias(n) for n, s in specs.items()]).where("core")
-    cells = []
-    for L in lookbacks:
-        for hz in horizons:
-            cells.append(F.struct(F.lit(L).alias("look_back"), F.lit(hz).alias("horizon"),
-                                  *[F.col(f"{f}__{L}").alias(f) for f in ALL_FEATURES],
-                                  F.col(f"_y__{L}__{hz}").alias("target")))
-    long = wide.select("symbol", "bin", F.inline(F.array(*cells)))
-    return long.dropna(subset=ALL_FEATURES + ["target"])
+    wide = h_df.select("symbol", "split", "_seg", "bin", "core",
+                       *[lagged_expr(s, w).alias(n) for n, s in specs.items()]).where("core").drop("core")
+    grid = [(L, hz) for L in lookbacks for hz in horizons]
+
+    def valid(L, hz):
+        cols = [f"{f}__{L}" for f in ALL_FEATURES] + [f"_y__{L}__{hz}"]
+        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    wide = cut_lineage(wide.select("*", *[F.count_if(valid(L, hz)).over(so_far).alias(f"_rn__{L}__{hz}") for L, hz in grid]))
+    ends = wide.groupBy("symbol", "_seg").agg(*[F.max(f"_rn__{L}__{hz}").alias(f"_c__{L}__{hz}") for L, hz in grid])
+    whole = Window.partitionBy("symbol")
+    before = whole.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("symbol", "_seg", *[x for L, hz in grid for x in (
+        F.coalesce(F.sum(f"_c__{L}__{hz}").over(before), F.lit(0)).alias(f"_off__{L}__{hz}"),
+        F.sum(f"_c__{L}__{hz}").over(whole).alias(f"_n__{L}__{hz}"))])
+    j = wide.join(ends, ["symbol", "_seg"])
+    cells = [F.when(valid(L, hz), F.struct(
+        F.lit(L).alias("look_back"), F.lit(hz).alias("horizon"),
+        contiguous_fold(F.col(f"_off__{L}__{hz}") + F.col(f"_rn__{L}__{hz}"), F.col(f"_n__{L}__{hz}"), k).alias("fold"),
+        F.col(f"_y__{L}__{hz}").alias("y"), *[F.col(f"{f}__{L}").alias(f) for f in ALL_FEATURES])) for L, hz in grid]
+    long = j.select("symbol", F.explode(F.array(*cells)).alias("c")).where("c IS NOT NULL").select("symbol", "c.*")
+    y = F.col("y")
+    sums = long.groupBy("symbol", "look_back", "horizon", "fold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"),
+        *[F.sum(F.col(f) * F.col(f)).alias(f"xx__{f}") for f in ALL_FEATURES],
+        *[F.sum(F.col(f) * y).alias(f"xy__{f}") for f in ALL_FEATURES])
+    per = F.inline(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"xx__{f}").alias("sxx"),
+                                      F.col(f"xy__{f}").alias("sxy")) for f in ALL_FEATURES]))
+    return sums.select("symbol", "look_back", "horizon", "fold", "n", "sy", "syy", per)

@@ -273,10 +273,7 @@ def q_features(spark, d):
 
 @register("win_horizon_scan", sql=scan_sql())
 def q_horizon_scan(spark, d):
-    rows = tk.scan_rows(_split(spark, d))
-    keys = ["symbol", "look_back", "horizon"]
-    sums = linear.fold_sums_uni(rows, keys, tk.ALL_FEATURES, "target", ["bin"], dense_col="bin")
-    return linear.ridge_uni_cv(sums, keys)
+    return linear.ridge_uni_cv(tk.scan_fold_sums(_split(spark, d)), ["symbol", "look_back", "horizon"])
 
 
 @register("win_lead_k", sql=_with(tick_ctes(), "SELECT symbol, split, bin, " + ", ".join(
