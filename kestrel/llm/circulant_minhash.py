@@ -12,11 +12,12 @@ one contiguous slice of pi, and a signature is a column-wise minimum of slices.
 2. Classes with a band key in common meet in a bucket.  Every class of a bucket
    is compared with the bucket's least class, on the full sets.  Links give
    components.
-3. Where a bucket still holds several components, each class outside the hub's
-   component is compared with the classes of other components, unless sizes
-   or the triangle inequality (Jaccard distance is a metric and both distances
-   to the hub are known) rule out a link.  Pairs inside one component are never
-   made: they could not change the result.  There is no cap on a bucket.
+3. Buckets that still hold several components are compared whole: their classes are
+   dealt into blocks of bounded bytes, each pair of blocks is one group of rows in a
+   task, and the task counts all intersections of a group at once by products of
+   sparse 0/1 slices.  A group returns a spanning forest of the links between
+   components, so no list of pairs is ever made; classes of one component need
+   no comparison, as it could not change the result.  There is no cap on a bucket.
 
 With 32 bands of 5 rows a pair at similarity 0.8 shares a key with probability
 1 - 3e-6.  All joins are equi-joins on digests or keys.  Class sets are shuffled
@@ -41,6 +42,9 @@ from kestrel.session import ship_package
 RING_BITS = 22
 #: Above this many rows a lookup table is joined by shuffle instead of broadcast.
 BROADCAST_ROWS = 400_000
+#: Bounds of a block of a bucket that is compared whole.
+BLOCK_SETS = 1024
+BLOCK_SHINGLES = 2 << 20
 _CHUNK = 1 << 20
 _BASE = 0x9E3779B97F4A7C15
 
@@ -265,6 +269,102 @@ def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a binary, b binary, shared long")
 
 
+def forest(sets: list, comps: list, percent: int, apart: int | None = None) -> list[tuple[int, int]]:
+    """Links between different components among ``sets`` (sorted hash arrays): pairs of
+    positions that form a spanning forest over the components.  With ``apart``, only
+    pairs with one side before and one side from that position count."""
+    import numpy as np
+
+    m = len(sets)
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(m), size)
+    _, column, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    keep = often[column] > 1
+    owner, column = owner[keep], column[keep]
+    # a set links with nothing if too little of it occurs elsewhere in the group
+    alive = 100 * np.bincount(owner, minlength=m) >= percent * size
+    keep = alive[owner]
+    owner, column = owner[keep], column[keep]
+    if not len(owner):
+        return []
+    rows = np.flatnonzero(alive)
+    row = np.cumsum(alive)[owner] - 1
+    _, column = np.unique(column, return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(rows), len(rows)), np.float32)
+    width = max(64, min(4096, (4 << 20) // len(rows)))
+    cuts = np.searchsorted(column, np.arange(0, column[-1] + width, width))
+    for k, (i, j) in enumerate(zip(cuts, cuts[1:])):
+        part = np.zeros((len(rows), width), np.float32)
+        part[row[i:j], column[i:j] - k * width] = 1
+        shared += part @ part.T
+    n = size[rows]
+    _, label = np.unique([comps[i] for i in rows], return_inverse=True)
+    linked = (100 * shared >= percent * (n[:, None] + n[None, :] - shared)) & (label[:, None] < label[None, :])
+    if apart is not None:
+        side = rows < apart
+        linked &= side[:, None] != side[None, :]
+    x, y = np.nonzero(linked)
+    _, one = np.unique(label[x] * m + label[y], return_index=True)
+    root = list(range(m))
+
+    def top(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    out = []
+    for k in one:
+        a, b = top(label[x[k]]), top(label[y[k]])
+        if a != b:
+            root[a] = b
+            out.append((int(rows[x[k]]), int(rows[y[k]])))
+    return out
+
+
+def _block_links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(key, __digest, c, blocks) -> links (a, b) between components of each bucket."""
+    block = F.pmod(F.xxhash64("__digest"), F.col("blocks")).cast("int")
+    rows = open_.withColumn("block", block).join(sets, "__digest").select(
+        "key", "block", "__digest", "c", "__set", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    rows = rows.select("key", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block",
+                       "__digest", "c", "__set")
+    group = ["key", "lo", "hi"]
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def links(members):
+            if len({c for _, _, c, _ in members}) < 2:
+                return []
+            first = members[0][0]
+            apart = next((i for i, x in enumerate(members) if x[0] != first), None)
+            found = forest([np.frombuffer(s, np.uint64) for *_, s in members], [c for _, _, c, _ in members],
+                           percent, apart)
+            return [(members[i][1], members[j][1]) for i, j in found]
+
+        def packed(pairs):
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)],
+                                              names=["a", "b"])
+
+        at, members = None, []
+        for t in batches:
+            out = []
+            cells = [t.column(c).to_pylist() for c in (*group, "block", "__digest", "c")]
+            for key, lo, hi, *rest, s in zip(*cells, t.column("__set"), strict=True):
+                if (key, lo, hi) != at:
+                    out += links(members) if members else []
+                    at, members = (key, lo, hi), []
+                members.append((*rest, s.as_py()))
+            yield packed(out)
+        yield packed(links(members) if members else [])
+
+    return rows.repartition(*group).sortWithinPartitions(*group, "block").mapInArrow(run, "a binary, b binary")
+
+
 def _small(df: DataFrame) -> DataFrame:
     """Broadcast hint for a written table of at most ``BROADCAST_ROWS`` rows."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -302,34 +402,20 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     sets = written(_sets(texts.select("__digest", "__text"), "__text", shingle).dropDuplicates(["__digest"]), "sets")
 
     sizes = classes.select("__digest", "__n")
-    union = lambda na, nb: na + nb - F.col("shared")
     first = _shared(pairs, sets).join(sizes.select(F.col("__digest").alias("a"), F.col("__n").alias("na")), "a").join(
         sizes.select(F.col("__digest").alias("b"), F.col("__n").alias("nb")), "b")
-    first = written(first.withColumn("distance", 1 - F.col("shared") / union(F.col("na"), F.col("nb"))), "first-links")
-    linked = first.where(100 * F.col("shared") >= percent * union(F.col("na"), F.col("nb"))).select("a", "b")
+    linked = written(first.where(100 * F.col("shared") >= percent * (F.col("na") + F.col("nb") - F.col("shared")))
+                     .select("a", "b"), "first-links")
     comp = written(components(linked), "components")
 
     # buckets that still hold more than one component
     place = comp.select(F.col("node").alias("__digest"), F.col("component").alias("c"))
-    at = (bucket.join(place, "__digest", "left").withColumn("c", F.coalesce("c", "__digest"))
-          .join(first.select(F.col("a").alias("hub"), F.col("b").alias("__digest"), "distance"), ["hub", "__digest"], "left")
-          .withColumn("distance", F.coalesce("distance", F.lit(0.0))))
-    split = at.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 <> c1").select("key")
+    at = bucket.join(place, "__digest", "left").withColumn("c", F.coalesce("c", "__digest")).drop("hub")
+    split = at.groupBy("key").agg(F.min("c").alias("c0"), F.max("c").alias("c1"), F.count(F.lit(1)).alias("m"),
+                                  F.sum("n").alias("total")).where("c0 <> c1").select(
+        "key", F.ceil(F.greatest(F.col("m") / BLOCK_SETS, F.col("total") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     open_ = written(at.join(split, "key"), "open-buckets")
-    home = open_.where("__digest = hub").select("key", F.col("c").alias("home"))
-    out = open_.join(home, "key").where("c <> home").select(
-        "key", F.col("__digest").alias("x"), F.col("n").alias("nx"), F.col("c").alias("cx"), F.col("distance").alias("dx"), "home")
-    far = F.lit((100 - percent) / 100 + 1e-9)
-    rest = out.join(open_.where("__digest <> hub").select("key", F.col("__digest").alias("y"), F.col("n").alias("ny"),
-                                                          F.col("c").alias("cy"), F.col("distance").alias("dy")), "key")
-    rest = rest.where((F.col("cx") != F.col("cy")) & (F.abs(F.col("dx") - F.col("dy")) <= far)
-                      & (F.least("nx", "ny") * 100 >= percent * F.greatest("nx", "ny"))
-                      & ((F.col("x") < F.col("y")) | (F.col("cy") == F.col("home"))))
-    rest = written(rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"),
-                               F.col("nx").alias("na"), F.col("ny").alias("nb")).dropDuplicates(["a", "b"]), "open-pairs")
-    second = _shared(rest.select("a", "b"), sets).join(rest, ["a", "b"]).where(
-        100 * F.col("shared") >= percent * union(F.col("na"), F.col("nb"))).select("a", "b")
-    second = written(second, "second-links")
+    second = written(_block_links(open_, sets, percent), "second-links")
     if second.take(1):
         comp = written(components(comp.select(F.col("component").alias("a"), F.col("node").alias("b")).where("a <> b")
                                   .union(second)), "components")

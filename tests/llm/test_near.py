@@ -156,3 +156,49 @@ def test_many_copies_and_near_copies(spark, copies):
     df = spark.createDataFrame(docs, "doc_id long, text string")
     got = cm.near_duplicates(df, shingle=2).select("doc_id", "n_shingles", "component_id", "kept").collect()
     same_rows(got, all_pairs(docs))
+
+
+def test_forest_joins_what_all_pairs_join():
+    r = random.Random(8)
+    for apart in (None, 7):
+        for _ in range(60):
+            base = [r.sample(range(400), 30) for _ in range(3)]
+            sets = []
+            for _ in range(15):
+                b = list(r.choice(base))
+                for _ in range(r.randint(0, 5)):
+                    b[r.randrange(30)] = r.randrange(1000, 1400)
+                sets.append(np.unique(np.array(b, np.uint64)))
+            comps = [bytes([r.randint(0, 9)]) for _ in sets]
+
+            def joined(pairs):
+                root = {c: c for c in comps}
+                for i, j in pairs:
+                    a, b = comps[i], comps[j]
+                    while root[a] != a:
+                        a = root[a]
+                    while root[b] != b:
+                        b = root[b]
+                    root[a] = b
+
+                def top(c):
+                    return c if root[c] == c else top(root[c])
+                groups = defaultdict(set)
+                for c in root:
+                    groups[top(c)].add(c)
+                return sorted(map(sorted, groups.values()))
+            want = [(i, j) for i, j in combinations(range(15), 2)
+                    if 100 * len(set(sets[i]) & set(sets[j])) >= 80 * len(set(sets[i]) | set(sets[j]))
+                    and (apart is None or (i < apart) != (j < apart))]
+            got = cm.forest(sets, comps, 80, apart)
+            assert set(map(frozenset, got)) <= set(map(frozenset, want))
+            assert joined(got) == joined(want)
+
+
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(cm, "BLOCK_SETS", 7)
+    base = prose(21, 60)
+    docs = [(i, near(i, base, 2 + i % 9)) for i in range(150)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = cm.near_duplicates(df, shingle=2).select("doc_id", "n_shingles", "component_id", "kept").collect()
+    same_rows(got, all_pairs(docs))
