@@ -101,6 +101,14 @@ def r2_from_sums(g: dict, beta: np.ndarray) -> float:
     return float(1 - ssres / sstot) if sstot else float("nan")
 
 
+def r2_with_intercept(g: dict, w: np.ndarray) -> float:
+    """r2 of intercept w[0] and slopes w[1:] on the rows summed in ``g``."""
+    a, b = w[0], w[1:]
+    ssres = (g["syy"] - 2 * a * g["sy"] - 2 * b @ g["xy"] + g["n"] * a * a + 2 * a * (b @ g["xs"]) + b @ g["xx"] @ b)
+    sstot = g["syy"] - g["sy"] ** 2 / g["n"] if g["n"] else float("nan")
+    return float(1 - ssres / sstot) if sstot else float("nan")
+
+
 def add(a: dict, b: dict, sign: float = 1.0) -> dict:
     return dict(n=a["n"] + sign * b["n"], sy=a["sy"] + sign * b["sy"], syy=a["syy"] + sign * b["syy"],
                 xx=a["xx"] + sign * b["xx"], xy=a["xy"] + sign * b["xy"], xs=a["xs"] + sign * b["xs"])

@@ -2,8 +2,9 @@
 
 Library estimators (``pyspark.ml``) cover linear, tree, forest, boosted, SVM,
 naive Bayes and MLP models.  What they lack is built here from aggregates:
-the per-iteration gradient of SGD-style objectives (one aggregate job per
-step), AdaBoost's weight update (a column expression between tree fits),
+penalised least squares from Gram sums, support vector regression (one
+aggregate per Newton step for all grid points), exact nearest neighbours,
+AdaBoost's weight update (a column expression between tree fits),
 random Fourier features (a vector column), Gaussian discriminants (per-class
 moments + a scoring expression).
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression,
                                        MultilayerPerceptronClassifier, NaiveBayes, RandomForestClassifier)
@@ -57,7 +59,7 @@ def classifier_zoo(label: str = "label") -> dict:
     dt = DecisionTreeClassifier(labelCol=label, maxDepth=5, seed=0)
     rf = RandomForestClassifier(labelCol=label, seed=0)
     gbt = GBTClassifier(labelCol=label, seed=0)
-    svc = LinearSVC(labelCol=label, standardization=False)
+    svc = LinearSVC(labelCol=label, standardization=False, maxIter=20)
     nb = NaiveBayes(labelCol=label, modelType="gaussian")
     return {
         "logistic": (lr, ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).build()),
@@ -89,46 +91,190 @@ def linreg_summary(model) -> list[tuple[str, float]]:
     return rows
 
 
-# ---------------------------------------------------------------- gradient loop
-
-def gradient_fit(df: DataFrame, feats: list[str], label: str, loss: str = "squared", alpha: float = 1e-4,
-                 l1_ratio: float = 0.0, epsilon: float = 0.1, lr: float = 0.1, iters: int = 20,
-                 standardize: bool = True) -> np.ndarray:
-    """Full-batch (sub)gradient descent with elastic-net penalty; each step is
-    ONE aggregate over the data (sum of err * x_j), weights stay on the driver
-    (k + 1 numbers).  ``loss``: squared | epsilon_insensitive | squared_epsilon."""
-    d = df.select(*feats, label).dropna()
-    if standardize:
-        st = d.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(feats)],
-                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
-        d = d.select(*[((F.col(c) - st[f"m{i}"]) / (st[f"s{i}"] or 1.0)).alias(c) for i, c in enumerate(feats)], label)
-    d = cut_lineage(d)
-    n = d.count()
-    w = np.zeros(len(feats) + 1)
-    for _ in range(iters):
-        pred = F.lit(float(w[0])) + sum((F.col(c) * float(w[i + 1]) for i, c in enumerate(feats)), F.lit(0.0))
-        err = pred - F.col(label)
-        if loss == "squared":
-            g = err
-        elif loss == "epsilon_insensitive":
-            g = F.when(err > epsilon, 1.0).when(err < -epsilon, -1.0).otherwise(0.0)
-        else:  # squared epsilon-insensitive
-            g = F.when(err > epsilon, err - epsilon).when(err < -epsilon, err + epsilon).otherwise(0.0)
-        r = d.agg(F.sum(g).alias("g0"), *[F.sum(g * F.col(c)).alias(f"g{i + 1}") for i, c in enumerate(feats)]).first()
-        grad = np.array([r[f"g{i}"] or 0.0 for i in range(len(feats) + 1)]) / max(n, 1)
-        pen = alpha * ((1 - l1_ratio) * w + l1_ratio * np.sign(w))
-        pen[0] = 0.0
-        w = w - lr * (grad + pen)
-    return w
+# ---------------------------------------------------------------- penalised least squares
+
+def elastic_net(g: dict, alpha: float, l1_ratio: float, tol: float = 1e-10, sweeps: int = 10_000) -> np.ndarray:
+    """(intercept, slopes) that minimise mean(err^2) / 2 + alpha * (l1_ratio * |w|_1 + (1 - l1_ratio) / 2 * |w|^2)
+    with a free intercept, by coordinate descent on the Gram sums ``g`` of ``linear.unpack_gram``.
+    The proximal step sets coefficients exactly to zero; the loop ends when no coefficient
+    moves by more than ``tol`` times the largest, and raises if it does not get there."""
+    n, xs = g["n"], g["xs"]
+    xx = g["xx"] / n - np.outer(xs, xs) / n ** 2  # centred second moments
+    xy = g["xy"] / n - xs * g["sy"] / n ** 2
+    w = np.zeros(len(xs))
+    for _ in range(sweeps):
+        moved = 0.0
+        for j in range(len(w)):
+            if xx[j, j] <= 0:
+                continue
+            rest = xy[j] - xx[j] @ w + xx[j, j] * w[j]
+            new = np.sign(rest) * max(abs(rest) - alpha * l1_ratio, 0.0) / (xx[j, j] + alpha * (1 - l1_ratio))
+            moved, w[j] = max(moved, abs(new - w[j])), new
+        if moved <= tol * max(np.abs(w).max(), 1e-300):
+            return np.concatenate([[(g["sy"] - w @ xs) / n], w])
+    raise RuntimeError("coordinate descent did not converge")
+
+
+# ---------------------------------------------------------------- support vector regression
+
+def _svr_sums(points, epsilon: float):
+    """mapInPandas body: per batch and grid point the sums of loss, gradient and Hessian."""
+    def run(batches):
+        for b in batches:
+            m = b.to_numpy(np.float64)
+            x, y = np.column_stack([np.ones(len(m)), m[:, :-1]]), m[:, -1]
+            for p, (loss, w, mu) in points:
+                r = x @ w - y
+                h, sign = np.maximum(np.abs(r) - epsilon, 0.0), np.sign(r)
+                if loss == "squared_epsilon_insensitive":
+                    val, first, second = h * h, 2 * h * sign, 2.0 * (h > 0)
+                else:
+                    root = np.sqrt(h * h + mu * mu)
+                    val, first, second = root - mu, h / root * sign, (h > 0) * mu * mu / root ** 3
+                sums = np.concatenate([[val.sum()], first @ x, (x.T @ (x * second[:, None])).ravel()])
+                yield pd.DataFrame({"p": p, "i": np.arange(len(sums)), "v": sums})
+    return run
+
+
+def svr_fit(df: DataFrame, feats: list[str], label: str, grid: list[tuple[str, float]], epsilon: float = 0.0,
+            tol: float = 1e-6, max_steps: int = 200) -> list[tuple[np.ndarray, float, float]]:
+    """Linear support vector regression of every (loss, C) of ``grid`` on numeric columns:
+    minimises |w|^2 / (2 C n) + mean(loss) with a free intercept by Newton steps.
+
+    Each step is ONE aggregate for all grid points: loss, gradient and Hessian, (k + 2)^2
+    numbers a point.  The epsilon-insensitive loss is rounded off over a width that
+    shrinks to 1e-4 as the steps settle; a step that raises the objective is
+    halved.  Returns (coefficients, objective, gradient norm) per grid point, and raises
+    if a gradient stays above ``tol``."""
+    from kestrel.session import ship_package
+    ship_package(df.sparkSession)
+    d = cut_lineage(df.select(*[F.col(c).cast("double").alias(c) for c in (*feats, label)]).dropna())
+    n, k = d.count(), len(feats) + 1
+    widths = [1.0, 0.1, 0.01, 1e-3, 1e-4]
+    state = [{"w": np.zeros(k), "stage": 0 if loss == "epsilon_insensitive" else len(widths) - 1, "step": None,
+              "best": None} for loss, _ in grid]
+    out: list = [None] * len(grid)
+    for _ in range(max_steps):
+        todo = [p for p in range(len(grid)) if out[p] is None]
+        if not todo:
+            return out
+        points = [(p, (grid[p][0], state[p]["w"], widths[state[p]["stage"]])) for p in todo]
+        sums = d.mapInPandas(_svr_sums(points, epsilon), "p int, i int, v double").groupBy("p", "i").agg(F.sum("v").alias("v"))
+        got = np.zeros((len(grid), 1 + k + k * k))
+        for r in sums.collect():  # (k + 2)^2 numbers a grid point
+            got[r.p, r.i] = r.v / n
+        for p in todo:
+            s, ridge = state[p], np.full(k, 1.0 / (grid[p][1] * n))
+            ridge[0] = 0.0
+            value = got[p, 0] + (ridge * s["w"] ** 2).sum() / 2
+            if s["step"] is not None and value > s["best"][1] + 1e-12 * abs(s["best"][1]) and np.abs(s["step"]).max() > 1e-14:
+                s["step"] = s["step"] / 2
+                s["w"] = s["best"][0] + s["step"]
+                continue
+            grad = got[p, 1:1 + k] + ridge * s["w"]
+            norm = float(np.abs(grad).max())
+            if norm <= tol or (s["step"] is not None and np.abs(s["step"]).max() <= 1e-14):
+                if s["stage"] == len(widths) - 1:
+                    out[p] = (s["w"], float(value), norm)
+                else:
+                    s.update(stage=s["stage"] + 1, step=None)
+                continue
+            hess = got[p, 1 + k:].reshape(k, k) + np.diag(ridge)
+            hess[np.diag_indices(k)] += 1e-9 + 1e-3 * norm
+            s["best"] = (s["w"], value)
+            s["step"] = -np.linalg.solve(hess, grad)
+            s["w"] = s["w"] + s["step"]
+    raise RuntimeError("support vector regression did not converge")
+
+
+# ---------------------------------------------------------------- k nearest neighbours
+
+def knn_votes(train: DataFrame, test: DataFrame, ks: list[int], id_col: str, features: str, label: str,
+              max_train: int = 200_000) -> DataFrame:
+    """(id, k, pred): exact k-nearest-neighbour vote of every test row, ties in distance by the
+    training id and ties in votes by the smaller label.
+
+    The labelled training rows are broadcast; their number is checked against the
+    documented bound and a larger set raises.  Test rows stay where they are: no shuffle, no
+    pairs, and a batch holds one block of distances at a time."""
+    from kestrel.session import ship_package
+    ship_package(train.sparkSession)
+    n = train.count()
+    if n > max_train:
+        raise ValueError(f"{n} training rows; the broadcast is bounded by {max_train}")
+    rows = train.select(id_col, features, label).orderBy(id_col).toPandas()
+    points = np.array(rows[features].tolist(), np.float64)
+    side = train.sparkSession.sparkContext.broadcast((points, rows[label].to_numpy(np.int64)))
+    block = max(1, (16 << 20) // max(1, points.size))
+
+    def run(batches):
+        points, labels = side.value
+        for b in batches:
+            for i in range(0, len(b), block):
+                part = b.iloc[i:i + block]
+                x = np.array(part[features].tolist(), np.float64)
+                far = ((x[:, None, :] - points[None, :, :]) ** 2).sum(-1)
+                near = np.argsort(far, axis=1, kind="stable")[:, :max(ks)]
+                for k in ks:
+                    pred = [int(np.bincount(labels[r[:k]]).argmax()) for r in near]
+                    yield pd.DataFrame({id_col: part[id_col].to_numpy(), "k": k, "pred": pred})
+    return test.select(id_col, features).mapInPandas(run, f"{id_col} long, k int, pred int")
+
+
+# ---------------------------------------------------------------- search
+
+def model_search(train: DataFrame, test: DataFrame, zoo: dict, score, k: int = 3, fold_col: str = "fold",
+                 threads: int = 4) -> list[tuple]:
+    """k-fold search over the full grid of every model of ``zoo``, refit of the best point, and
+    scores on train and held-out rows.
+
+    Rows (model, kind, grid_id, params, fold, score): kind ``fold`` per grid point and fold, ``mean``
+    per grid point, ``train`` and ``test`` for the best point (highest mean, first on ties).
+    ``params`` lists name=value sorted by name.  ``score(model, rows)`` is larger for better
+    models.  The fits are independent Spark jobs run by a few driver threads."""
+    from multiprocessing.pool import ThreadPool
+
+    train, test = cut_lineage(train), cut_lineage(test)
+    parts = [(train.where(F.col(fold_col) != f), train.where(F.col(fold_col) == f)) for f in range(k)]
+    jobs = [(name, g, f) for name, (_, grid) in zoo.items() for g in range(len(grid)) for f in range(k)]
+
+    def one(job):
+        name, g, f = job
+        est, grid = zoo[name]
+        return float(score(est.copy(grid[g]).fit(parts[f][0]), parts[f][1]))
+
+    def text(point):
+        return ", ".join(f"{n}={v}" for n, v in sorted((p.name, v) for p, v in point.items()))
+
+    pool = ThreadPool(threads)
+    try:
+        got = dict(zip(jobs, pool.map(one, jobs, chunksize=1), strict=True))
+        means = {name: [float(np.mean([got[name, g, f] for f in range(k)])) for g in range(len(grid))]
+                 for name, (_, grid) in zoo.items()}
+
+        def refit(name):
+            est, grid = zoo[name]
+            best = int(np.argmax(means[name]))
+            model = est.copy(grid[best]).fit(train)
+            return name, best, float(score(model, train)), float(score(model, test))
+        finals = pool.map(refit, list(zoo), chunksize=1)
+    finally:
+        pool.close()
+    rows = [(name, "fold", g, text(zoo[name][1][g]), f, v) for (name, g, f), v in got.items()]
+    rows += [(name, "mean", g, text(zoo[name][1][g]), None, v) for name, ms in means.items() for g, v in enumerate(ms)]
+    for name, best, a, b in finals:
+        rows += [(name, "train", best, text(zoo[name][1][best]), None, a), (name, "test", best, text(zoo[name][1][best]), None, b)]
+    return rows
 
 
 # ---------------------------------------------------------------- AdaBoost
 
-def adaboost_r2(df: DataFrame, feats: list[str], label: str, rounds: int = 3, depth: int = 3,
-                lr: float = 1.0) -> list[tuple[int, float, float]]:
+def adaboost_r2(df: DataFrame, feats: list[str], label: str, rounds: int = 10, depth: int = 3,
+                lr: float = 1.0) -> list[tuple[object, float, float]]:
     """AdaBoost.R2 (linear loss): trees fitted with a weight column; the weight
     update is a column expression, the frame is checkpointed between rounds.
-    Returns (round, estimator weight, weighted loss)."""
+    Returns (tree, estimator weight, weighted loss) per round; boosting ends early
+    when a tree is perfect or no better than chance."""
     d = cut_lineage(assemble(df, feats).select("features", label).withColumn("_w", F.lit(1.0)))
     out = []
     for m in range(rounds):
@@ -138,19 +284,43 @@ def adaboost_r2(df: DataFrame, feats: list[str], label: str, rounds: int = 3, de
         p = p.withColumn("_l", F.col("_err") / F.lit(mx) if mx > 0 else F.lit(0.0))
         sw = p.agg(F.sum("_w"), F.sum(F.col("_w") * F.col("_l"))).first()
         avg_loss = (sw[1] / sw[0]) if sw[0] else 0.0
-        if avg_loss >= 0.5 or avg_loss <= 0:
-            out.append((m, 0.0, float(avg_loss)))
+        if avg_loss <= 0:
+            out.append((model, 1.0, 0.0))
+            break
+        if avg_loss >= 0.5:
+            if not out:
+                out.append((model, 1.0, float(avg_loss)))
             break
         beta = avg_loss / (1 - avg_loss)
-        out.append((m, float(lr * math.log(1 / beta)), float(avg_loss)))
+        out.append((model, float(lr * math.log(1 / beta)), float(avg_loss)))
         d = cut_lineage(p.withColumn("_w", F.col("_w") * F.pow(F.lit(beta), (1 - F.col("_l")) * lr))
                         .select("features", label, "_w"))
     return out
 
 
-def adaboost_samme(df: DataFrame, feats: list[str], label: str, n_classes: int, rounds: int = 3,
-                   depth: int = 1) -> list[tuple[int, float, float]]:
-    """SAMME: stumps with a weight column; alpha = ln((1-err)/err) + ln(K-1)."""
+def _each_prediction(df: DataFrame, fitted: list) -> DataFrame:
+    """``df`` with _p0, _p1, ...: the prediction of each fitted tree."""
+    for i, (model, *_) in enumerate(fitted):
+        df = model.copy({model.predictionCol: f"_p{i}"}).transform(df.drop("rawPrediction", "probability"))
+    return df
+
+
+def weighted_median(df: DataFrame, fitted: list, out: str = "prediction") -> DataFrame:
+    """AdaBoost.R2 prediction: the weighted median of the trees' predictions."""
+    d = _each_prediction(df, fitted)
+    votes = F.array_sort(F.array(*[F.struct(F.col(f"_p{i}").alias("v"), F.lit(w).alias("w"))
+                                   for i, (_, w, _) in enumerate(fitted)]))
+    half = sum(w for _, w, _ in fitted) / 2
+    found = F.aggregate(votes, F.struct(F.lit(0.0).alias("s"), F.lit(None).cast("double").alias("v")),
+                        lambda acc, x: F.struct((acc["s"] + x["w"]).alias("s"), F.coalesce(
+                            acc["v"], F.when(acc["s"] + x["w"] >= half - 1e-12, x["v"])).alias("v")), lambda acc: acc["v"])
+    return d.withColumn(out, found).drop(*[f"_p{i}" for i in range(len(fitted))])
+
+
+def adaboost_samme(df: DataFrame, feats: list[str], label: str, n_classes: int, rounds: int = 10,
+                   depth: int = 1) -> list[tuple[object, float, float]]:
+    """SAMME: stumps with a weight column; alpha = ln((1-err)/err) + ln(K-1).  Returns
+    (tree, alpha, weighted error) per round, with the same early end as above."""
     d = cut_lineage(assemble(df, feats).select("features", label).withColumn("_w", F.lit(1.0)))
     out = []
     for m in range(rounds):
@@ -158,16 +328,29 @@ def adaboost_samme(df: DataFrame, feats: list[str], label: str, n_classes: int,
         p = model.transform(d).withColumn("_miss", (F.col("prediction") != F.col(label)).cast("double"))
         s = p.agg(F.sum("_w"), F.sum(F.col("_w") * F.col("_miss"))).first()
         err = (s[1] / s[0]) if s[0] else 0.0
-        if err <= 0 or err >= 1 - 1.0 / n_classes:
-            out.append((m, 0.0, float(err)))
+        if err <= 0:
+            out.append((model, 1.0, 0.0))
+            break
+        if err >= 1 - 1.0 / n_classes:
+            if not out:
+                out.append((model, 1.0, float(err)))
             break
         alpha = math.log((1 - err) / err) + math.log(n_classes - 1)
-        out.append((m, float(alpha), float(err)))
+        out.append((model, float(alpha), float(err)))
         d = cut_lineage(p.withColumn("_w", F.col("_w") * F.exp(F.lit(alpha) * F.col("_miss")))
                         .select("features", label, "_w"))
     return out
 
 
+def weighted_vote(df: DataFrame, fitted: list, n_classes: int, out: str = "prediction") -> DataFrame:
+    """SAMME prediction: the class with the largest sum of alphas (the smallest class on ties)."""
+    d = _each_prediction(df, fitted)
+    votes = [sum((F.when(F.col(f"_p{i}") == c, a).otherwise(0.0) for i, (_, a, _) in enumerate(fitted)), F.lit(0.0))
+             for c in range(n_classes)]
+    best = F.array_position(F.array(*votes), F.array_max(F.array(*votes)))
+    return d.withColumn(out, (best - 1).cast("double")).drop(*[f"_p{i}" for i in range(len(fitted))])
+
+
 # ---------------------------------------------------------------- kernels
 
 def random_fourier(df: DataFrame, feats: list[str], n_components: int = 50, gamma: float = 1.0,

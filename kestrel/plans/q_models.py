@@ -83,25 +83,85 @@ def q_lasso(spark, d):
     return spark.createDataFrame(rows, "alpha double, name string, value double")
 
 
+# The penalty and regularisation grids of the two fits.
+SGD_GRID = [(pen, l1, a) for pen, l1 in (("l2", 0.0), ("l1", 1.0), ("elasticnet", 0.15)) for a in (1e-6, 1e-4, 0.01, 1.0)]
+SVR_GRID = [(loss, c) for loss in ("epsilon_insensitive", "squared_epsilon_insensitive") for c in (1e-6, 1e-4, 0.1, 1.0)]
+
+
+def _scaled(spark, d):
+    """Features and label scaled by the train split, with contiguous folds on it."""
+    from kestrel.operators.encode import zscore
+    from kestrel.operators.sampling import split_by_key
+    r = split_by_key(fx.reg_table(spark, d), "l_orderkey", 0.75).select(*fx.REG_ORDER, "l_quantity", "l_discount",
+                                                                       "l_tax", "p_size", "p_retailprice", "split")
+    tr, te = _split(zscore(r, [*FEATS, "label"], fit_on=r.where("split = 'train'"), suffix="_z"))
+    return with_contiguous_folds(tr, [], fx.REG_ORDER, 5), te
+
+
 @register("mdl_sgd")
 def q_sgd(spark, d):
-    tr, _ = _split(fx.reg_table(spark, d).withColumn("split", F.lit("train")))
+    """Squared loss with l2, l1 or elastic-net penalty, 12 grid points: mean held-out r2 over 5
+    folds, and of each point the refit's coefficients and its r2 on the test rows."""
+    z = [f"{c}_z" for c in FEATS]
+    tr, te = _scaled(spark, d)
+    folds = {r["fold"]: linear.unpack_gram(r, len(z)) for r in linear.gram_sums(tr, ["fold"], z, "label_z").collect()}
+    test = linear.unpack_gram(linear.gram_sums(te, [], z, "label_z").first(), len(z))
+    total = None
+    for g in folds.values():
+        total = g if total is None else linear.add(total, g)
     rows = []
-    for pen, l1 in [("l2", 0.0), ("l1", 1.0), ("elasticnet", 0.15)]:
-        w = md.gradient_fit(tr, FEATS, "label", "squared", alpha=1e-3, l1_ratio=l1, iters=15)
-        rows += [(pen, i, float(v)) for i, v in enumerate(w)]
-    return spark.createDataFrame(rows, "penalty string, coef int, value double")
+    for pen, l1, alpha in SGD_GRID:
+        cv = [linear.r2_with_intercept(g, md.elastic_net(linear.add(total, g, -1.0), alpha, l1)) for g in folds.values()]
+        w = md.elastic_net(total, alpha, l1)
+        rows.append((pen, alpha, float(sum(cv) / len(cv)), linear.r2_with_intercept(test, w), [float(x) for x in w]))
+    return spark.createDataFrame(rows, "penalty string, alpha double, cv_r2 double, test_r2 double, coef array<double>")
 
 
 @register("mdl_svr_linear")
 def q_svr(spark, d):
-    r = fx.reg_table(spark, d)
-    rows = []
-    for loss in ["epsilon_insensitive", "squared_epsilon"]:
-        w = md.gradient_fit(r, FEATS, "label", loss, alpha=1e-3, epsilon=100.0, lr=50.0 if loss[0] == "e" else 0.1,
-                            iters=15)
-        rows += [(loss, i, float(v)) for i, v in enumerate(w)]
-    return spark.createDataFrame(rows, "loss string, coef int, value double")
+    """Linear support vector regression, 8 grid points: objective, gradient norm at the end
+    and coefficients on the scaled train rows, mean squared error on the test rows."""
+    z = [f"{c}_z" for c in FEATS]
+    tr, te = _scaled(spark, d)
+    fits = md.svr_fit(tr, z, "label_z", SVR_GRID)
+    test = linear.unpack_gram(linear.gram_sums(te, [], z, "label_z").first(), len(z))
+    rows = [(loss, c, value, norm, linear.r2_with_intercept(test, w), [float(x) for x in w])
+            for (loss, c), (w, value, norm) in zip(SVR_GRID, fits)]
+    return spark.createDataFrame(rows, "loss string, c double, objective double, gradient double, test_r2 double, "
+                                       "coef array<double>")
+
+
+@register("srt_params", sql=with_views(
+    "SELECT dataset_id, ['alpha=' || CAST(best_alpha AS VARCHAR), 'feature=' || feature, 'folds=5'] AS params FROM res",
+    ["dataset_family"], q_ticks.ridge_uni_sql("dataset_family", ["dataset_id"], ["x"], "y",
+                                              "l_orderkey, l_linenumber, l_partkey, x, y")))
+def q_srt_params(spark, d):
+    """Best parameters of each data set's search, sorted by name."""
+    rows = fx.dataset_family(spark, d)
+    sums = linear.fold_sums_uni(rows, ["dataset_id"], ["x"], "y", ["l_orderkey", "l_linenumber", "l_partkey", "x", "y"])
+    best = linear.ridge_uni_cv(sums, ["dataset_id"])
+    params = F.create_map(F.lit("folds"), F.lit("5"), F.lit("feature"), F.col("feature"),
+                          F.lit("alpha"), F.col("best_alpha").cast("string"))
+    return best.select("dataset_id", F.transform(F.array_sort(F.map_entries(params)),
+                                                 lambda e: F.concat(e["key"], F.lit("="), e["value"])).alias("params"))
+
+
+KNN_KS = [3, 5, 8]
+
+
+@register("jn_knn", sql=f"""
+WITH f AS (SELECT b.vec_id, a.label, row_number() OVER (PARTITION BY b.vec_id ORDER BY
+             list_sum(list_transform(list_zip(a.embedding, b.embedding), lambda p: (CAST(p[1] AS DOUBLE) - p[2]) ** 2)),
+             a.vec_id) AS rk
+           FROM embeddings a JOIN embeddings b ON a.vec_id % 4 <> 0 AND b.vec_id % 4 = 0),
+     v AS (SELECT vec_id, k, label, count(*) AS n FROM f JOIN (SELECT unnest({KNN_KS}) AS k) ON rk <= k GROUP BY ALL)
+SELECT vec_id, k, label AS pred FROM (SELECT *, row_number() OVER (PARTITION BY vec_id, k ORDER BY n DESC, label) AS o FROM v)
+WHERE o = 1""")
+def q_knn(spark, d):
+    """Nearest-neighbour classes of a quarter of the vectors from the other three quarters."""
+    from kestrel.sources.tables import load
+    e = load(spark, d, "embeddings").select("vec_id", "embedding", "label")
+    return md.knn_votes(e.where("vec_id % 4 <> 0"), e.where("vec_id % 4 = 0"), KNN_KS, "vec_id", "embedding", "label")
 
 
 # ---------------------------------------------------------------- trees / ensembles
@@ -135,8 +195,13 @@ def q_xgb(spark, d):
 
 @register("mdl_ada_reg")
 def q_ada_reg(spark, d):
-    return spark.createDataFrame(md.adaboost_r2(fx.reg_table(spark, d), FEATS, "label", rounds=3),
-                                 "round int, weight double, loss double")
+    tr, te = _split(_reg(spark, d))
+    fitted = md.adaboost_r2(tr.drop("features"), FEATS, "label")
+    p = md.weighted_median(te, fitted)
+    s = RegressionEvaluator(labelCol="label")
+    return spark.createDataFrame([(len(fitted), [w for _, w, _ in fitted], [x for *_, x in fitted],
+                                   float(s.setMetricName("rmse").evaluate(p)), float(s.setMetricName("r2").evaluate(p)))],
+                                 "rounds int, weights array<double>, losses array<double>, rmse double, r2 double")
 
 
 @register("mdl_tree_cls")
@@ -160,9 +225,12 @@ def q_gbt_cls(spark, d):
 
 @register("mdl_ada_cls")
 def q_ada_cls(spark, d):
-    r = fx.reg_table(spark, d).withColumn("y", (F.col("l_quantity") >= 25).cast("double"))
-    return spark.createDataFrame(md.adaboost_samme(r, CLS_FEATS, "y", 2, rounds=3),
-                                 "round int, alpha double, error double")
+    tr, te = _split(_cls(spark, d))
+    fitted = md.adaboost_samme(tr.drop("features"), CLS_FEATS, "y", 2)
+    p = md.weighted_vote(te, fitted, 2)
+    acc = p.agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
+    return spark.createDataFrame([(len(fitted), [w for _, w, _ in fitted], [x for *_, x in fitted], float(acc))],
+                                 "rounds int, alphas array<double>, errors array<double>, accuracy double")
 
 
 # ---------------------------------------------------------------- other classifiers
@@ -329,11 +397,12 @@ def q_tun_cv(spark, d):
 
 @register("prd_transform")
 def q_prd_transform(spark, d):
-    """Fit the best text model on labelled documents and score every document."""
+    """Fit the best text model (2-fold search over the grid) on labelled documents and score
+    every document."""
     from kestrel.sources.tables import load
-    docs = fx.docs_labeled(spark, d)
+    docs = fx.docs_labeled(spark, d).withColumn("fold", (F.col("id") % 2).cast("int"))
     pipe, grid = md.text_pipeline()
-    model = pipe.copy(grid[-1]).fit(docs)
+    model = md.cross_validate(pipe, grid, docs, BinaryClassificationEvaluator(numBins=0), fold_col="fold", k=2).bestModel
     alld = load(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
     return model.transform(alld).select("id", vector_to_array("probability").alias("probability"), "prediction")
 
@@ -373,16 +442,39 @@ def q_scorer(spark, d):
                                  "max_depth int, mean_r2 double")
 
 
+ZOO_SCHEMA = "model string, kind string, grid_id int, params string, fold int, score double"
+
+
+def _zoo_parts(spark, d, cls: bool):
+    """Scaled and assembled train rows with 3 folds, and test rows."""
+    from kestrel.operators.encode import zscore
+    feats, label = (CLS_FEATS, "y") if cls else (FEATS, "label")
+    df = (_cls if cls else _reg)(spark, d).drop("features")
+    z = md.assemble(zscore(df, feats, fit_on=df.where("split = 'train'"), suffix="_z"), [f"{c}_z" for c in feats])
+    z = z.select(*fx.REG_ORDER, *(["y"] if cls else []), "split", "features")
+    tr, te = _split(z)
+    tr = with_contiguous_folds(tr, [], fx.REG_ORDER, 3)
+    return tr.select("features", label, "fold"), te.select("features", label)
+
+
 @register("tun_model_zoo")
 def q_zoo(spark, d):
-    """Every registered regressor, first grid point, scored on the held-out split."""
-    tr, te = _split(_reg(spark, d))
-    out = None
-    for name, (est, grid) in md.regressor_zoo().items():
-        m = est.copy(grid[0]).fit(tr)
-        s = _reg_scores(spark, name, m, te)
-        out = s if out is None else out.unionByName(s)
-    return out
+    """Every regressor: 3-fold search over its full grid, refit, r2 on train and held-out rows."""
+    tr, te = _zoo_parts(spark, d, False)
+
+    def r2(model, rows):
+        return RegressionEvaluator(labelCol="label", metricName="r2").evaluate(model.transform(rows))
+    return spark.createDataFrame(md.model_search(tr, te, md.regressor_zoo(), r2), ZOO_SCHEMA)
+
+
+@register("tun_model_zoo_cls")
+def q_zoo_cls(spark, d):
+    """Every classifier: 3-fold search over its full grid, refit, AUC on train and held-out rows."""
+    tr, te = _zoo_parts(spark, d, True)
+
+    def auc(model, rows):
+        return BinaryClassificationEvaluator(labelCol="y", numBins=0).evaluate(model.transform(rows))
+    return spark.createDataFrame(md.model_search(tr, te, md.classifier_zoo("y"), auc), ZOO_SCHEMA)
 
 
 @register("agg_param_count")
