@@ -1,9 +1,9 @@
 """Token-id files: independent zstandard frames with a trailing seek table.
 
 A file holds the documents of one ascending range of ids.  Each document is a
-frame of its own (little-endian unsigned 32-bit ids, closed by the end id; a
-document above ``FRAME_IDS`` ids spans several), with the content size and a
-content checksum in it.  The file ends in a skippable frame with the seek table
+frame of its own (little-endian unsigned ids, of 16 bits if the vocabulary has no
+greater ones and else of 32, closed by the end id; a document above ``FRAME_IDS``
+ids spans several), with the content size and a content checksum in it.  The file ends in a skippable frame with the seek table
 of the public zstandard seekable format: per frame its compressed size, raw size
 and checksum (low 32 bits of XXH64), then the number of frames, a descriptor and
 the magic number.  Any zstandard tool can unpack the whole file; ``read_ids``
@@ -21,6 +21,7 @@ files and gives an empty index.
 from __future__ import annotations
 
 import struct
+from string import punctuation
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ SKIPPABLE_MAGIC = 0x184D2A5E
 SEEK_TABLE_MAGIC = 0x8F92EAB1
 WITH_CHECKSUMS = 0x80
 
-_INDEX = "doc_id long, file string, first_frame long, n_frames int, start_in_file long, n_tokens long"
+_INDEX = "doc_id long, file string, first_frame long, n_frames int, start_in_file long, n_tokens long, width int"
 
 
 def open_folder(uri: str):
@@ -109,14 +110,21 @@ class WordIds:
     """Ids of whole texts by the tokenizers library, which sees each distinct word once.
 
     Texts are cut at spaces and line ends.  The vocabulary must drop white space
-    and have no unit that spans it; the constructor checks this on its pattern.
-    Holds two generations of at most ``limit`` words and no long ones.
+    and have no unit that spans it; the constructor checks this on its pattern, and
+    otherwise whole texts go to the library.  ASCII punctuation at the end of a word,
+    after a letter or digit, is a unit of its own, so such a word is put together from
+    its stem; new words of letters go to the library in one text, cut again at the ids
+    that end a word.  Latin-1 texts are lower-cased first if the vocabulary does so.
+
+    Holds two generations of about ``limit`` words and no long ones.
     """
 
-    def __init__(self, tokenizer_json: bytes, limit: int = 250_000, longest: int = 48):
+    def __init__(self, tokenizer_json: bytes, width: int = 4, limit: int = 600_000, longest: int = 48):
         import json
         import os
 
+        import numpy as np
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -130,57 +138,125 @@ class WordIds:
                          and not any(self._lib.encode(s, add_special_tokens=False).ids for s in (" ", "\n", " \n "))
                          and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or " " in t["content"]
                                      for t in spec["added_tokens"]))
+        normal = spec["normalizer"] or {}
+        self._lowers = any(n.get("type") == "Lowercase" for n in normal.get("normalizers", [normal]))
+        self._marks = {t["content"][:2] for t in spec["added_tokens"]}
+        suffix = spec["model"].get("end_of_word_suffix")
+        self._ends = None
+        if suffix:
+            self._ends = np.zeros(self._lib.get_vocab_size(), bool)
+            self._ends[[i for w, i in spec["model"]["vocab"].items() if w.endswith(suffix)]] = True
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._long: set[str] = set()
         self._limit, self._longest = limit, longest
+        self._kind, self._width = f"<u{width}", width
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        """The library's ids of each text."""
         import numpy as np
 
-        return [np.asarray(e.ids, "<u4").tobytes() for e in self._lib.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.asarray(e.ids, self._kind).tobytes() for e in self._lib.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        import numpy as np
+
+        if self._ends is None or not words:
+            return self._encode(words)
+        runs = [words[i:i + 512] for i in range(0, len(words), 512)]  # the library slows down on longer texts
+        out: list[bytes] = []
+        for run, raw in zip(runs, self._encode([" ".join(run) for run in runs])):
+            stop = (self._width * (np.flatnonzero(self._ends[np.frombuffer(raw, self._kind)]) + 1)).tolist()
+            if len(stop) == len(run):
+                out += [raw[i:j] for i, j in zip([0, *stop], stop)]
+            else:  # some word is more than one unit
+                out += self._encode(run)
+        return out
+
+    def _lowered(self, text: str) -> str:
+        if not self._lowers or any(m in text for m in self._marks):
+            return text
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return text.lower()
+
+    def _learn(self, words: list[str]) -> None:
+        """Put the ids of ``words`` into the young generation."""
+        young, old = self._young, self._old
+        whole, made = [], []
+        for w in words:
+            v = old.get(w)
+            if v is not None:
+                young[w] = v
+            elif (stem := w.rstrip(punctuation)) and len(stem) < len(w) and stem[-1].lower().isalnum() and not any(
+                    m in w for m in self._marks):
+                made.append((w, stem, w[len(stem):]))
+            else:
+                whole.append(w)
+        stems = {p for _, a, b in made for p in (a, b)}.difference(young, whole)
+        whole += [p for p in stems if (v := old.get(p)) is None or young.update({p: v})]
+        letters = [w for w in whole if w.isalpha()]
+        others = [w for w in whole if not w.isalpha()]
+        young.update(zip(letters, self._encode_words(letters), strict=True))
+        young.update(zip(others, self._encode(others), strict=True))
+        young.update((w, young[a] + young[b]) for w, a, b in made)
+        for _, stem, _ in made:
+            if len(stem) > self._longest:
+                self._long.add(stem)
 
     def of(self, texts: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each text."""
-        if not self._by_word:
+        """Little-endian unsigned ids of each text, ``width`` bytes each."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        if not self._by_word or not texts:
             return self._encode(texts)
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        got: dict[str, bytes] = {"": b""}
-        new = []
-        for w in set().union(*words):
-            v = self._young.get(w)
-            if v is None:
-                v = self._old.get(w)
-                if v is not None:
-                    self._keep(w, v)
-                elif w:
-                    new.append(w)
-                    continue
-                else:
-                    continue
-            got[w] = v
-        for w, v in zip(new, self._encode(new), strict=True):
-            got[w] = v
-            self._keep(w, v)
-        return [b"".join(map(got.__getitem__, ws)) for ws in words]
-
-    def _keep(self, w: str, v: bytes) -> None:
-        if len(w) <= self._longest:
-            if len(self._young) >= self._limit:
-                self._old, self._young = self._young, {}
-            self._young[w] = v
-
-
-_MADE: dict[int, WordIds] = {}
-
-
-def _word_ids(js: bytes) -> WordIds:
-    key = hash(js)
+        if len(self._young) > self._limit:
+            self._old, self._young = self._young, {}
+        parts = pc.split_pattern(pa.array([self._lowered(t).replace("\n", " ") for t in texts], pa.large_string()), " ")
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        self._young[""] = b""
+        new = [w for w in words if w not in self._young]
+        self._learn(new)
+        ids = list(map(self._young.__getitem__, words))
+        for w in self._long.union(w for w in new if len(w) > self._longest):
+            self._young.pop(w, None)
+        self._long.clear()
+        # lay the ids of all words end to end
+        flat = np.frombuffer(b"".join(ids), self._kind)
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self._width
+        first = np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        n = size[word]
+        stop = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+        out = flat[np.arange(stop[-1]) + np.repeat(first[word] - stop[:-1], n)]
+        cut = stop[parts.offsets.to_numpy()]
+        return [out[i:j].tobytes() for i, j in zip(cut, cut[1:])]
+
+
+_MADE: dict[tuple, WordIds] = {}
+
+
+def _word_ids(js: bytes, width: int) -> WordIds:
+    """One per worker process, vocabulary and width."""
+    key = hash(js), width
     if key not in _MADE:
-        _MADE[key] = WordIds(js)
+        _MADE[key] = WordIds(js, width)
     return _MADE[key]
 
 
-def _chunks(values: list[str], chars: int = 1 << 20):
+def _greatest_id(tokenizer_json: bytes) -> int:
+    import json
+
+    spec = json.loads(tokenizer_json)
+    return max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+
+
+def _chunks(values: list[str], chars: int = 1 << 22):
     """``values`` in runs of about ``chars`` characters: bounds the words held at once."""
     run, size = [], 0
     for v in values:
@@ -204,7 +280,9 @@ def write_ids(df: DataFrame, tokenizer: str, end_id: int, folder: str | None = N
     ship_package(spark)
     folder = folder or shared_path(spark, "id-frames")
     with open(tokenizer, "rb") as f:
-        js = spark.sparkContext.broadcast(f.read())
+        raw = f.read()
+    js = spark.sparkContext.broadcast(raw)
+    width = 2 if max(end_id, _greatest_id(raw)) < 1 << 16 else 4
     n = num_files or int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     rows = rows.repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(
@@ -219,7 +297,7 @@ def write_ids(df: DataFrame, tokenizer: str, end_id: int, folder: str | None = N
         fs, base = open_folder(folder)
         name = f"ids-{part:06d}.zst"
         temp = f"{base}/_writing-{part:06d}-{task.taskAttemptId()}"
-        words, end = _word_ids(js.value), struct.pack("<I", end_id)
+        words, end = _word_ids(js.value, width), end_id.to_bytes(width, "little")
         out, start = None, 0
         for b in batches:
             if not b.num_rows:
@@ -231,17 +309,17 @@ def write_ids(df: DataFrame, tokenizer: str, end_id: int, folder: str | None = N
             for texts in _chunks(b.column("text").to_pylist()):
                 for ids in words.of(texts):
                     ids += end
-                    step = 4 * FRAME_IDS
-                    nums = [out.add(ids[i:i + step]) for i in range(0, len(ids), step)]
+                    nums = [out.add(ids[i:i + width * FRAME_IDS]) for i in range(0, len(ids), width * FRAME_IDS)]
                     first.append(nums[0])
                     frames.append(len(nums))
                     starts.append(start)
-                    counts.append(len(ids) // 4)
-                    start += len(ids) // 4
+                    counts.append(len(ids) // width)
+                    start += len(ids) // width
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), pa.array([name] * b.num_rows), pa.array(first, pa.int64()),
-                 pa.array(frames, pa.int32()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64())],
-                names=["doc_id", "file", "first_frame", "n_frames", "start_in_file", "n_tokens"])
+                 pa.array(frames, pa.int32()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()),
+                 pa.array([width] * b.num_rows, pa.int32())],
+                names=["doc_id", "file", "first_frame", "n_frames", "start_in_file", "n_tokens", "width"])
         if out is not None:
             out.close()
             fs.move(temp, f"{base}/{name}")
@@ -267,17 +345,19 @@ def read_ids(index: DataFrame, folder: str, out: str = "ids") -> DataFrame:
     names = [c for c in index.columns if c != out]
 
     def run(batches):
+        import numpy as np
         import pyarrow as pa
 
         fs, base = open_folder(folder)
         at, reader = None, None
         for b in batches:
             cells = []
-            for file, first, n in zip(*(b.column(c).to_pylist() for c in ("file", "first_frame", "n_frames")),
-                                      strict=True):
+            where = (b.column(c).to_pylist() for c in ("file", "first_frame", "n_frames", "width"))
+            for file, first, n, width in zip(*where, strict=True):
                 if file != at:
                     at, reader = file, FrameReader(fs.open_input_file(f"{base}/{file}"))
-                cells.append(b"".join(reader.frame(k) for k in range(first, first + n)))
+                raw = b"".join(reader.frame(k) for k in range(first, first + n))
+                cells.append(raw if width == 4 else np.frombuffer(raw, "<u2").astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(cells, pa.binary())],
                                              names=[*names, out])
 
