@@ -109,6 +109,41 @@ def running_sum(df: DataFrame, group_cols: list[str], order_cols: list, value_co
     return out.drop("_pid", *[c + "_loc" for c in value_cols], *[c + "_off" for c in value_cols])
 
 
+def with_neighbours(df: DataFrame, key: str, order_cols: list[str], cols: list[str], offsets: list[int],
+                    num_partitions: int | None = None) -> DataFrame:
+    """Add ``<col>_next<k>`` (``_prev<k>`` for k < 0): ``col`` k rows later in the key's order.
+
+    Rows are range-partitioned on (key, order), so a hot key is split, and read their
+    neighbours in a window over (partition, key).  The few rows that follow or precede a
+    partition - at most ``max(offsets)`` on each side - are appended to it as halo
+    rows; that table has a handful of rows per partition and is put together on the
+    driver.
+    """
+    order = _as_cols([key, *order_cols])
+    n = _nparts(df, num_partitions)
+    need = list(dict.fromkeys([key, *order_cols, *cols]))
+    tagged = cut_lineage(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()))
+    fwd, back = max([0, *offsets]), max([0, *(-k for k in offsets)])
+    ends = []
+    for size, cols_in_order in ((fwd, order), (back, [c.desc() for c in order])):
+        w = Window.partitionBy("_pid").orderBy(*cols_in_order)
+        ends.append(tagged.select("_pid", *need, F.row_number().over(w).alias("_rk")).where(F.col("_rk") <= size)
+                    .orderBy("_pid", "_rk").collect() if size else [])
+    heads, tails = ends
+    halo = []
+    for p in range(n):
+        after = [r for r in heads if r["_pid"] > p][:fwd] if fwd else []
+        before = sorted((r for r in tails if r["_pid"] < p), key=lambda r: (-r["_pid"], r["_rk"]))[:back] if back else []
+        halo += [(p, *[r[c] for c in need]) for r in (*after, *before)]
+    schema = tagged.select("_pid", *need).schema
+    extra = df.sparkSession.createDataFrame(halo, schema).withColumn("_core", F.lit(False))
+    both = tagged.withColumn("_core", F.lit(True)).unionByName(extra, allowMissingColumns=True)
+    w = Window.partitionBy("_pid", key).orderBy(*_as_cols(order_cols))
+    named = {f"{c}_{f'next{k}' if k > 0 else f'prev{-k}'}": F.lead(c, k).over(w) if k > 0 else F.lag(c, -k).over(w)
+             for k in offsets for c in cols}
+    return both.withColumns(named).where("_core").drop("_pid", "_core")
+
+
 def exact_quantiles(df: DataFrame, group_cols: list[str], cols: list[str], probs: list[float]) -> DataFrame:
     """(group..., column, q0, q1, ...): exact quantiles with linear interpolation, nulls ignored.
 

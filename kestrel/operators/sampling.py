@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.operators.order import contiguous_fold, row_number
+from kestrel.operators.order import row_number
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int) -> list[DataFrame]:
@@ -27,19 +29,26 @@ def shuffled(df: DataFrame, seed: int) -> DataFrame:
 def fold_prefixes(df: DataFrame, order_cols: list, k: int, sizes: list[int]) -> DataFrame:
     """Rows of the first ``size`` training rows of each contiguous fold split.
 
-    For validation fold f the training rows are the other folds, in order; a
-    row's position there is its row number, minus the size of fold f when it
-    comes after f.  Only positions up to max(sizes) survive the filter, so the
-    join with the (static) size list stays small.
+    For validation fold f the training rows are the other folds, in order.  Their first
+    max(sizes) rows are one or two intervals of row numbers, computed from the number of
+    rows; only rows inside such an interval meet the fold and size lists, which
+    have 2 k rows and one row per size.
     """
     n = row_number(df, [], order_cols, "_rn")
-    cnt = df.agg(F.count(F.lit(1)).alias("_cnt"))
-    n = n.crossJoin(F.broadcast(cnt)).withColumn("_rfold", contiguous_fold(F.col("_rn"), F.col("_cnt"), k))
-    folds = df.sparkSession.range(k).select(F.col("id").cast("long").alias("fold"))
-    x = n.crossJoin(F.broadcast(folds)).where(F.col("_rfold") != F.col("fold"))
-    fsize = (F.col("_cnt") / k).cast("long") + F.when(F.col("fold") < F.col("_cnt") % k, 1).otherwise(0)
-    pos = F.when(F.col("_rfold") < F.col("fold"), F.col("_rn")).otherwise(F.col("_rn") - fsize)
-    x = x.withColumn("_pos", pos).where(F.col("_pos") <= max(sizes))
+    count, most = df.count(), max(sizes)
+    spans, at = [], 0
+    for f in range(k):
+        size = count // k + (f < count % k)
+        before = min(at, most)  # training rows in front of the fold
+        spans += [(f, 1, before, 0), (f, at + size + 1, min(count, at + size + most - before), size)]
+        at += size
+    spans = [x for x in spans if x[1] <= x[2]]
+    if not spans:
+        spans = [(0, 1, 0, 0)]
+    fold = df.sparkSession.createDataFrame(spans, "fold long, _lo long, _hi long, _skip long")
+    inside = [(F.col("_rn") >= lo) & (F.col("_rn") <= hi) for _, lo, hi, _ in spans]
+    x = n.where(reduce(lambda a, b: a | b, inside)).join(
+        F.broadcast(fold), (F.col("_rn") >= F.col("_lo")) & (F.col("_rn") <= F.col("_hi")))
     sz = df.sparkSession.createDataFrame([(s,) for s in sizes], "size int")
-    return (x.join(F.broadcast(sz), F.col("_pos") <= F.col("size"))
-             .drop("_rn", "_cnt", "_rfold", "_pos"))
+    x = x.withColumn("_pos", F.col("_rn") - F.col("_skip"))
+    return x.join(F.broadcast(sz), F.col("_pos") <= F.col("size")).drop("_rn", "_lo", "_hi", "_skip", "_pos")

@@ -241,6 +241,56 @@ SCAN_HORIZONS = [10, 20, 40, 60, 90]
 SCAN_LOOKBACKS = [10, 20, 40, 60, 90, 120]
 
 
+def folded_cells(wide: DataFrame, w: Window, cells: list[tuple[dict, dict]], k: int) -> DataFrame:
+    """Valid rows of every cell of a grid over wide rows, each with its contiguous fold.
+
+    A cell is (its parameters, {output: column of ``wide``}); a row is valid in it if
+    none of these columns is null.  Running counts of valid rows, in the window that
+    made the columns plus per-segment offsets, number the rows of each cell; the cells
+    of a row are laid out last, so an aggregate on top combines them before any shuffle.
+    """
+    def valid(cols):
+        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols.values()])
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
+    wide = cut_lineage(wide.select("*", *[F.count_if(valid(cols)).over(so_far).alias(f"_rn{i}")
+                                          for i, (_, cols) in enumerate(cells)]))
+    ends = wide.groupBy("symbol", "_seg").agg(*[F.max(f"_rn{i}").alias(f"_c{i}") for i in range(len(cells))])
+    whole = Window.partitionBy("symbol")
+    before = whole.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select("symbol", "_seg", *[x for i in range(len(cells)) for x in (
+        F.coalesce(F.sum(f"_c{i}").over(before), F.lit(0)).alias(f"_off{i}"), F.sum(f"_c{i}").over(whole).alias(f"_n{i}"))])
+    j = wide.join(ends, ["symbol", "_seg"])
+    rows = [F.when(valid(cols), F.struct(
+        *[F.lit(v).alias(n) for n, v in ids.items()],
+        contiguous_fold(F.col(f"_off{i}") + F.col(f"_rn{i}"), F.col(f"_n{i}"), k).alias("fold"),
+        *[F.col(c).alias(out) for out, c in cols.items()])) for i, (ids, cols) in enumerate(cells)]
+    return j.select("symbol", "bin", F.explode(F.array(*rows)).alias("c")).where("c IS NOT NULL").select("symbol", "bin", "c.*")
+
+
+# Rolling-mean widths (rows) and the prediction horizon of the smoothing study.
+SMOOTH_WINDOWS = [1, 3, 5, 8, 12, 18]
+SMOOTH_HORIZON = 60
+
+
+def smoothed_rows(split_df: DataFrame, windows=SMOOTH_WINDOWS, horizon: int = SMOOTH_HORIZON, spec=FEATURE_SPEC,
+                  k: int = 5, split: str = "train", segment: int = DEFAULT_SEGMENT) -> DataFrame:
+    """(symbol, bin, window, fold, features, y): the published features, each the mean of the last
+    ``window`` rows (null unless all are there), against the unsmoothed target."""
+    base = with_point_features(split_df.where(F.col("split") == split))
+    y = Lagged("y", TARGET_SOURCE, TARGET_PCT, -horizon)
+    reach = max(s.shift + s.pct for s in spec) + max(windows)
+    h_df, w = _window_parts(base, [*spec, y, Lagged("_reach", "P_bid", 0, reach)], segment)
+    wide = h_df.select("symbol", "split", "_seg", "bin", "core", *[lagged_expr(s, w).alias(s.out) for s in [*spec, y]])
+    names = [s.out for s in spec]
+
+    def mean(c, n):
+        last = w.rowsBetween(-(n - 1), 0)
+        return F.when(F.count(c).over(last) == n, F.avg(c).over(last)).alias(f"{c}__{n}")
+    wide = wide.select("symbol", "split", "_seg", "bin", "core", "y", *[mean(c, n) for n in windows for c in names])
+    cells = [({"window": n}, {c: f"{c}__{n}" for c in names} | {"y": "y"}) for n in windows]
+    return folded_cells(wide.where("core").drop("core"), w, cells, k)
+
+
 def scan_fold_sums(split_df: DataFrame, horizons=SCAN_HORIZONS, lookbacks=SCAN_LOOKBACKS, k: int = 5,
                    split: str = "train", segment: int = DEFAULT_SEGMENT) -> DataFrame:
     """Sums of every (symbol, look_back, horizon, feature, fold) cell of the scan.
@@ -265,25 +315,9 @@ def scan_fold_sums(split_df: DataFrame, horizons=SCAN_HORIZONS, lookbacks=SCAN_L
     h_df, w = _window_parts(base, list(specs.values()), segment)
     wide = h_df.select("symbol", "split", "_seg", "bin", "core",
                        *[lagged_expr(s, w).alias(n) for n, s in specs.items()]).where("core").drop("core")
-    grid = [(L, hz) for L in lookbacks for hz in horizons]
-
-    def valid(L, hz):
-        cols = [f"{f}__{L}" for f in ALL_FEATURES] + [f"_y__{L}__{hz}"]
-        return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])
-    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    wide = cut_lineage(wide.select("*", *[F.count_if(valid(L, hz)).over(so_far).alias(f"_rn__{L}__{hz}") for L, hz in grid]))
-    ends = wide.groupBy("symbol", "_seg").agg(*[F.max(f"_rn__{L}__{hz}").alias(f"_c__{L}__{hz}") for L, hz in grid])
-    whole = Window.partitionBy("symbol")
-    before = whole.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select("symbol", "_seg", *[x for L, hz in grid for x in (
-        F.coalesce(F.sum(f"_c__{L}__{hz}").over(before), F.lit(0)).alias(f"_off__{L}__{hz}"),
-        F.sum(f"_c__{L}__{hz}").over(whole).alias(f"_n__{L}__{hz}"))])
-    j = wide.join(ends, ["symbol", "_seg"])
-    cells = [F.when(valid(L, hz), F.struct(
-        F.lit(L).alias("look_back"), F.lit(hz).alias("horizon"),
-        contiguous_fold(F.col(f"_off__{L}__{hz}") + F.col(f"_rn__{L}__{hz}"), F.col(f"_n__{L}__{hz}"), k).alias("fold"),
-        F.col(f"_y__{L}__{hz}").alias("y"), *[F.col(f"{f}__{L}").alias(f) for f in ALL_FEATURES])) for L, hz in grid]
-    long = j.select("symbol", F.explode(F.array(*cells)).alias("c")).where("c IS NOT NULL").select("symbol", "c.*")
+    cells = [({"look_back": L, "horizon": hz}, {f: f"{f}__{L}" for f in ALL_FEATURES} | {"y": f"_y__{L}__{hz}"})
+             for L in lookbacks for hz in horizons]
+    long = folded_cells(wide, w, cells, k)
     y = F.col("y")
     sums = long.groupBy("symbol", "look_back", "horizon", "fold").agg(
         F.count(F.lit(1)).alias("n"), F.sum(y).alias("sy"), F.sum(y * y).alias("syy"),

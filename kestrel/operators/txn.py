@@ -4,9 +4,9 @@ Skew: an account (or a duplicate key) may hold a large share of all rows, so
 no step windows over a bare account partition:
 
 * duplicate groups are counted with a partial aggregate and joined back;
-* neighbours ("next row", "row after next") come from a distributed row
-  number per account (range partitioned, so a hot account is split) and
-  equi-joins on (account, row number), whose keys are unique;
+* neighbours ("next row", "row after next") come from windows over range
+  partitions of (account, time), which split a hot account, with halo rows at
+  the partition ends;
 * anchored multi-swipe runs need an ordered pass, but only inside groups that
   can be cut exactly: a run never spans a change of amount nor a gap of at
   least the window, so groups are (account, run of equal amount, gap segment).
@@ -15,15 +15,15 @@ no step windows over a bare account partition:
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.operators.order import row_number, running_sum
+from kestrel.operators.order import running_sum, with_neighbours
 
 # Duplicate key of the stand-in table and the swipe window.
 DUP_KEYS = ["account", "merchant_category", "amount"]
 SWIPE_WINDOW_S = 12 * 3600
+HOUR_US = 3_600_000_000
 ORDER = ["ts", "row_id"]
 
 
@@ -40,18 +40,6 @@ def mark_duplicates(df: DataFrame, keys: list[str] = DUP_KEYS, out: str = "is_du
     return a.join(b, cond).select("a.*", (F.col("b._cnt") > 1).alias(out))
 
 
-def with_neighbours(df: DataFrame, key: str, order_cols: list[str], cols: list[str], offsets: list[int],
-                    rn_col: str = "_rn") -> DataFrame:
-    """Add ``<col>_next<k>`` (``_prev<k>`` for k < 0): ``col`` k rows later in the key's order."""
-    n = row_number(df, [key], order_cols, rn_col)
-    out = n
-    for k in offsets:
-        tag = f"next{k}" if k > 0 else f"prev{-k}"
-        nb = n.select(key, (F.col(rn_col) - k).alias(rn_col), *[F.col(c).alias(f"{c}_{tag}") for c in cols])
-        out = out.join(nb, [key, rn_col], "left")
-    return out
-
-
 def reversals(txn: DataFrame, keys: list[str] = DUP_KEYS) -> DataFrame:
     """Duplicate-group rows with non-zero amount whose next row (same account,
     by time) has the same amount and lower available money, and whose row
@@ -62,85 +50,67 @@ def reversals(txn: DataFrame, keys: list[str] = DUP_KEYS) -> DataFrame:
                      & (F.col("amount_next1") == F.col("amount"))
                      & (F.col("balance_next2") == F.col("balance"))
                      & (F.col("available") > F.col("available_next1")))
-              .drop("_rn", "amount_next1", "available_next1", "balance_next1", "amount_next2",
+              .drop("amount_next1", "available_next1", "balance_next1", "amount_next2",
                     "available_next2", "balance_next2"))
 
 
 def swipe_groups(dups: DataFrame, window_s: int = SWIPE_WINDOW_S) -> DataFrame:
-    """(account, grp) groups of duplicate rows that anchored runs cannot cross."""
+    """(account, grp) groups of duplicate rows that anchored runs cannot cross; groups of one
+    row, which hold no run, are left out."""
+    far = F.lit(window_s * 1_000_000)
     d = dups.withColumn("_us", _micros("ts"))
-    nb = with_neighbours(d, "account", ORDER, ["amount", "_us"], [-1])  # previous row
-    brk = (F.col("amount_prev1").isNull() | (F.col("amount_prev1") != F.col("amount"))
-           | (F.col("_us") - F.col("_us_prev1") >= F.lit(window_s * 1_000_000))).cast("long")
-    nb = nb.withColumn("_brk", brk)
-    g = running_sum(nb, ["account"], ["_rn"], ["_brk"], suffix="_cum")
-    return g.withColumnRenamed("_brk_cum", "grp").drop("amount_prev1", "_us_prev1", "_brk", "_rn")
-
-
-def _anchored_starts(t: np.ndarray, hour: np.ndarray, window_us: int, same_hour: bool) -> np.ndarray:
-    """Run starts of one sorted segment: the next start is the first row at least
-    ``window_us`` after the current start (or in a later hour)."""
-    n = len(t)
-    start = np.zeros(n, dtype=bool)
-    i = 0
-    while i < n:
-        start[i] = True
-        j = int(np.searchsorted(t, t[i] + window_us, side="left"))
-        if same_hour:
-            j = min(j, int(np.searchsorted(hour, hour[i], side="right")))
-        i = max(j, i + 1)
-    return start
-
-
-def _anchored_runs(window_us: int, same_hour: bool):
-    """Per-segment pandas function (one segment per call)."""
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_us", "row_id"], kind="mergesort")
-        t = pdf["_us"].to_numpy(np.int64)
-        start = _anchored_starts(t, t // 3_600_000_000, window_us, same_hour)
-        out = pdf[["row_id", "account", "amount", "ts"]].copy()
-        out["multi_swipe"] = ~start
-        return out
-    return fn
-
-
-def _anchored_partition(window_us: int, same_hour: bool):
-    """mapInPandas body over a partition sorted by (account, grp, _us, row_id).
-
-    Segments never straddle partitions (hash partitioned on (account, grp));
-    a segment cut by an Arrow batch boundary is carried into the next batch.
+    nb = with_neighbours(d, "account", ORDER, ["amount", "_us"], [-1, 1])
+
+    def cut(amount, us):
+        return F.col(amount).isNull() | (F.col(amount) != F.col("amount")) | (F.abs(F.col("_us") - F.col(us)) >= far)
+    nb = nb.withColumns({"_brk": cut("amount_prev1", "_us_prev1").cast("long"), "_ends": cut("amount_next1", "_us_next1")})
+    g = running_sum(nb, ["account"], ORDER, ["_brk"], suffix="_cum")
+    return g.where((F.col("_brk") == 0) | ~F.col("_ends")).withColumnRenamed("_brk_cum", "grp").drop(
+        "amount_prev1", "_us_prev1", "amount_next1", "_us_next1", "_brk", "_ends")
+
+
+class AnchoredRuns:
+    """Marks the rows after the first of an anchored run in rows sorted by (group, time).
+
+    A run starts at the first row of a group, and again at the first row at least
+    ``window_us`` after the run's start (with ``same_hour`` also at a later clock hour).
+    Rows come in any cut: all that is kept between two calls is the last group and the
+    start of its run.
     """
-    def fn(batches):
-        carry = None
-        for b in batches:
-            if carry is not None and len(carry):
-                b = pd.concat([carry, b], ignore_index=True)
-            if not len(b):
-                continue
-            acc, grp = b["account"].to_numpy(), b["grp"].to_numpy()
-            last = (acc == acc[-1]) & (grp == grp[-1])
-            carry, done = b[last], b[~last]
-            if len(done):
-                yield _flag_segments(done, window_us, same_hour)
-        if carry is not None and len(carry):
-            yield _flag_segments(carry, window_us, same_hour)
-    return fn
-
-
-def _flag_segments(pdf: pd.DataFrame, window_us: int, same_hour: bool) -> pd.DataFrame:
-    t = pdf["_us"].to_numpy(np.int64)
-    hour = t // 3_600_000_000
-    key = pdf["grp"].to_numpy()
-    acc = pdf["account"].to_numpy()
-    change = np.ones(len(t), dtype=bool)
-    change[1:] = (acc[1:] != acc[:-1]) | (key[1:] != key[:-1])
-    bounds = list(np.flatnonzero(change)) + [len(t)]
-    start = np.zeros(len(t), dtype=bool)
-    for a, b in zip(bounds[:-1], bounds[1:]):
-        start[a:b] = _anchored_starts(t[a:b], hour[a:b], window_us, same_hour)
-    out = pdf[["row_id", "account", "amount", "ts"]].copy()
-    out["multi_swipe"] = ~start
-    return out
+
+    def __init__(self, window_us: int, same_hour: bool = False):
+        self._window, self._same_hour = window_us, same_hour
+        self._group, self._start = None, 0
+
+    def _end(self, t: np.ndarray, start: int) -> int:
+        """First position of sorted ``t`` outside the run that started at time ``start``."""
+        j = int(np.searchsorted(t, start + self._window, side="left"))
+        if self._same_hour:
+            j = min(j, int(np.searchsorted(t, (start // HOUR_US + 1) * HOUR_US, side="left")))
+        return j
+
+    def mark(self, groups: list[np.ndarray], t: np.ndarray) -> np.ndarray:
+        n = len(t)
+        follows = np.ones(n, dtype=bool)
+        if not n:
+            return follows
+        change = np.zeros(n, dtype=bool)
+        change[0] = True
+        for g in groups:
+            change[1:] |= g[1:] != g[:-1]
+        cuts = [*np.flatnonzero(change).tolist(), n]
+        for a, b in zip(cuts, cuts[1:]):
+            group = tuple(g[a] for g in groups)
+            part = t[a:b]
+            if group == self._group:
+                i = self._end(part, self._start)
+            else:
+                self._group, i = group, 0
+            while i < len(part):
+                follows[a + i] = False
+                self._start = int(part[i])
+                i = max(i + 1, self._end(part, self._start))
+        return follows
 
 
 def multi_swipes(txn: DataFrame, keys: list[str] = DUP_KEYS, window_s: int = SWIPE_WINDOW_S,
@@ -149,15 +119,20 @@ def multi_swipes(txn: DataFrame, keys: list[str] = DUP_KEYS, window_s: int = SWI
     account with the same non-zero amount, less than ``window_s`` seconds after
     the run's FIRST row (optionally also in the same clock hour).
 
-    Segments are hash-partitioned on (account, grp) and sorted inside each
-    partition; one ordered ``mapInPandas`` pass per partition walks them (no
-    per-group Python call)."""
+    Groups are hash-partitioned on (account, grp) and sorted inside each
+    partition; one ordered ``mapInPandas`` pass per partition walks them batch by
+    batch.  It carries only the start of the current run, so a dense run of any length
+    takes constant memory."""
     from kestrel.session import ship_package
     ship_package(txn.sparkSession)
     dups = mark_duplicates(txn, keys).where("is_dup").select("row_id", "account", "amount", "ts")
-    g = swipe_groups(dups, window_s).where(F.col("amount") != 0).withColumn("_us", _micros("ts"))
+    g = swipe_groups(dups, window_s).where(F.col("amount") != 0).select("row_id", "account", "amount", "ts", "grp", "_us")
     ordered = g.repartition("account", "grp").sortWithinPartitions("account", "grp", "_us", "row_id")
-    res = ordered.select("row_id", "account", "amount", "ts", "grp", "_us").mapInPandas(
-        _anchored_partition(window_s * 1_000_000, same_hour),
-        "row_id long, account long, amount double, ts timestamp_ntz, multi_swipe boolean")
-    return res.where("multi_swipe").drop("multi_swipe")
+
+    def run(batches):
+        runs = AnchoredRuns(window_s * 1_000_000, same_hour)
+        for b in batches:
+            follows = runs.mark([b["account"].to_numpy(), b["grp"].to_numpy()], b["_us"].to_numpy(np.int64))
+            yield b.loc[follows, ["row_id", "account", "amount", "ts"]]
+
+    return ordered.mapInPandas(run, "row_id long, account long, amount double, ts timestamp_ntz")

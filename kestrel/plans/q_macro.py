@@ -121,23 +121,29 @@ def q_var_sums(spark, d):
 
 @register("mdl_var")
 def q_var(spark, d):
-    """Lag-order table (AIC/BIC/HQC, p = 0..10 where the sample allows) + 2-step
-    forecast of the VAR(3) fit, from Gram sums (small matrices) solved on the driver."""
+    """Lag-order table (AIC/BIC/HQC, p = 0..10; an order with more coefficients than the sample
+    carries is listed as such) + 2-step forecast of the VAR(3) fit and its coefficients, from Gram
+    sums (small matrices) solved on the driver."""
     vin = mc.var_input(fx.macro_series(spark, d)).cache()
     n_rows = vin.count()
     K = len(VARS)
     rows = []
     for p in range(11):
         if n_rows - p <= K * p + 1:
-            break
+            rows.append(("order_too_long_for_sample", p, n_rows - p, None, None, None, None))
+            continue
         f = mc.var_fit(vin, p)
         rows.append(("order", p, int(f["n"]), float(f["aic"]), float(f["bic"]), float(f["hqic"]), None))
     if n_rows - 3 > K * 3 + 1:
         fit = mc.var_fit(vin, 3)
-        fc = mc.var_forecast(vin, fit, 2)
-        for s, vec in enumerate(fc, start=1):
+        for s, vec in enumerate(mc.var_forecast(vin, fit, 2), start=1):
             for name, v in zip(VARS, vec):
                 rows.append((f"forecast_{name}", 3, s, None, None, None, float(v)))
+        for i, line in enumerate(fit["coef"]):
+            for name, v in zip(VARS, line):
+                rows.append((f"coef_{name}", 3, i, None, None, None, float(v)))
+    else:
+        rows.append(("forecast_too_short_sample", 3, n_rows, None, None, None, None))
     vin.unpersist()
     return spark.createDataFrame(rows, "kind string, p int, n int, aic double, bic double, hqic double, "
                                        "value double")

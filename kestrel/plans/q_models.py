@@ -58,6 +58,17 @@ def _cls_scores(spark, name, model, test, label="y", raw="rawPrediction"):
 
 # ---------------------------------------------------------------- linear family
 
+@register("mdl_linreg_one", sql=with_views("""
+SELECT regr_slope(label, l_quantity) AS slope, regr_intercept(label, l_quantity) AS intercept,
+       regr_r2(label, l_quantity) AS r2 FROM reg_table""", ["reg_table"]))
+def q_linreg_one(spark, d):
+    """The library's unpenalised fit on one feature."""
+    df = md.assemble(fx.reg_table(spark, d), ["l_quantity"])
+    m = LinearRegression(solver="normal").fit(df)
+    return spark.createDataFrame([(float(m.coefficients[0]), float(m.intercept), float(m.summary.r2))],
+                                 "slope double, intercept double, r2 double")
+
+
 @register("mdl_linreg")
 def q_linreg(spark, d):
     tr, te = _split(_reg(spark, d))
@@ -72,15 +83,33 @@ def q_linreg_summary(spark, d):
     return spark.createDataFrame(md.linreg_summary(m), "name string, value double")
 
 
+@register("mdl_linreg_residuals")
+def q_linreg_residuals(spark, d):
+    """Residual of every train row of the same fit."""
+    tr, _ = _split(_reg(spark, d))
+    m = LinearRegression(maxIter=10, regParam=0.3, elasticNetParam=0.8).fit(tr)
+    return m.transform(tr).select(*fx.REG_ORDER, (F.col("label") - F.col("prediction")).alias("residual"))
+
+
+LASSO_ALPHAS = [1e-4, 1e-3, 0.01, 0.1, 1.0]
+
+
 @register("mdl_lasso")
 def q_lasso(spark, d):
-    tr, _ = _split(_reg(spark, d))
+    """Lasso over five penalties: 5-fold held-out r2, r2 on the test rows and the coefficients."""
+    z = [f"{c}_z" for c in FEATS]
+    tr, te = _scaled(spark, d)
+    folds = {r["fold"]: linear.unpack_gram(r, len(z)) for r in linear.gram_sums(tr, ["fold"], z, "label_z").collect()}
+    test = linear.unpack_gram(linear.gram_sums(te, [], z, "label_z").first(), len(z))
+    total = None
+    for g in folds.values():
+        total = g if total is None else linear.add(total, g)
     rows = []
-    for a in [0.01, 0.1, 1.0]:
-        m = LinearRegression(elasticNetParam=1.0, regParam=a, standardization=False).fit(tr)
-        rows += [(a, f"coef_{i}", float(c)) for i, c in enumerate(m.coefficients)]
-        rows.append((a, "intercept", float(m.intercept)))
-    return spark.createDataFrame(rows, "alpha double, name string, value double")
+    for a in LASSO_ALPHAS:
+        cv = [linear.r2_with_intercept(g, md.elastic_net(linear.add(total, g, -1.0), a, 1.0)) for g in folds.values()]
+        w = md.elastic_net(total, a, 1.0)
+        rows.append((a, float(sum(cv) / len(cv)), linear.r2_with_intercept(test, w), [float(x) for x in w]))
+    return spark.createDataFrame(rows, "alpha double, cv_r2 double, test_r2 double, coef array<double>")
 
 
 # The penalty and regularisation grids of the two fits.
@@ -188,9 +217,18 @@ def q_gbt_reg(spark, d):
 
 @register("mdl_xgb")
 def q_xgb(spark, d):
-    tr, te = _split(_reg(spark, d))
-    m = GBTRegressor(maxIter=20, stepSize=0.1, maxDepth=4, subsamplingRate=0.8, minInfoGain=0.0, seed=0).fit(tr)
-    return _reg_scores(spark, "second_order_like_gbt", m, te)
+    """Second-order boosting with a gain penalty and row subsampling, on the scaled label."""
+    tr, te = _split(_reg(spark, d).drop("features"))
+    st = tr.agg(F.avg("label").alias("m"), F.stddev_pop("label").alias("s")).first()
+    scaled = tr.withColumn("label", (F.col("label") - st["m"]) / st["s"])
+    rows = []
+    for gamma, sub in ((0.0, 1.0), (0.2, 0.75)):
+        base, trees = md.gain_boost(scaled, FEATS, "label", gamma=gamma, subsample=sub)
+        pred = sum((md.tree_value(t) for t in trees), F.lit(base)) * st["s"] + st["m"]
+        ev = RegressionEvaluator(labelCol="label", metricName="r2")
+        rows.append((gamma, sub, len(trees), float(ev.evaluate(tr.withColumn("prediction", pred))),
+                     float(ev.evaluate(te.withColumn("prediction", pred)))))
+    return spark.createDataFrame(rows, "gamma double, subsample double, trees int, r2_train double, r2_test double")
 
 
 @register("mdl_ada_reg")
@@ -271,6 +309,31 @@ def q_kernel(spark, d):
     return _cls_scores(spark, "rff_svc", m, te)
 
 
+# The parameter grid of the kernel fits.
+KERNELS = [("linear", 1.0), *[(k, g) for k in ("poly", "rbf") for g in (0.01, 0.1, 1.0, 10.0)]]
+KERNEL_ALPHAS = [1e-4, 1e-2, 0.1, 1.0]
+
+
+@register("mdl_kernel_ridge")
+def q_kernel_ridge(spark, d):
+    """Kernel ridge on explicit features (linear, polynomial of degree 2, RBF): 5-fold held-out r2 of
+    every (kernel, gamma, alpha), and of each the refit's r2 on the test rows."""
+    z = [f"{c}_z" for c in FEATS]
+    tr, te = _scaled(spark, d)
+    gram = md.kernel_gram(tr.unionByName(te.withColumn("fold", F.lit(-1).cast("long"))), z, "label_z", "fold", KERNELS)
+    rows = []
+    for i, (kernel, gamma) in enumerate(KERNELS):
+        folds = [gram[i, f] for f in range(5) if (i, f) in gram]
+        total = None
+        for g in folds:
+            total = g if total is None else linear.add(total, g)
+        for alpha in KERNEL_ALPHAS:
+            cv = [linear.r2_from_sums(g, linear.ridge_solve(linear.add(total, g, -1.0), alpha)) for g in folds]
+            rows.append((kernel, gamma, alpha, float(sum(cv) / len(cv)),
+                         linear.r2_from_sums(gram[i, -1], linear.ridge_solve(total, alpha))))
+    return spark.createDataFrame(rows, "kernel string, gamma double, alpha double, cv_r2 double, test_r2 double")
+
+
 @register("mdl_mlp_cls")
 def q_mlp(spark, d):
     tr, te = _split(_cls(spark, d))
@@ -278,18 +341,35 @@ def q_mlp(spark, d):
     return _cls_scores(spark, "mlp", m, te)
 
 
-@register("mdl_nb_gauss")
+CLS_VIEW = ("cls", "SELECT *, CASE WHEN l_quantity >= 25 THEN 1.0 ELSE 0.0 END AS y FROM reg_table")
+NB_FEATS = ("label", "p_retailprice")
+
+
+@register("mdl_nb_gauss", sql=with_views("""
+SELECT y, prediction, count(*) AS n
+FROM (SELECT c.y, (SELECT m.y FROM mom m ORDER BY ln(m.n / m.total)
+        - 0.5 * ln(2 * pi() * (m.v1 + m.eps)) - (c.label - m.m1) ** 2 / (2 * (m.v1 + m.eps))
+        - 0.5 * ln(2 * pi() * (m.v2 + m.eps)) - (c.p_retailprice - m.m2) ** 2 / (2 * (m.v2 + m.eps)) DESC LIMIT 1) AS prediction
+      FROM cls c) GROUP BY 1, 2""", ["reg_table"], [CLS_VIEW, (
+    "mom", "SELECT *, sum(n) OVER () AS total, 1e-9 * greatest(max(v1) OVER (), max(v2) OVER ()) AS eps FROM "
+           "(SELECT y, count(*) AS n, avg(label) AS m1, avg(p_retailprice) AS m2, var_pop(label) AS v1, "
+           "var_pop(p_retailprice) AS v2 FROM cls GROUP BY y)")]))
 def q_nb(spark, d):
+    """Confusion counts of the Gaussian naive Bayes expression."""
     c = fx.reg_table(spark, d).withColumn("y", (F.col("l_quantity") >= 25).cast("double"))
-    p = md.gaussian_nb(c, ["label", "p_retailprice"], "y")
-    lib = NaiveBayes(labelCol="y", modelType="gaussian").fit(md.assemble(c, ["label", "p_retailprice"]))
-    agree = lib.transform(md.assemble(p, ["label", "p_retailprice"], "f2").withColumnRenamed("f2", "features")
-                          .withColumnRenamed("prediction", "expr_pred"))
-    return agree.agg(F.avg((F.col("prediction") == F.col("expr_pred")).cast("double")).alias("agreement"),
-                     F.avg((F.col("expr_pred") == F.col("y")).cast("double")).alias("accuracy"))
+    p = md.gaussian_nb(c, list(NB_FEATS), "y")
+    return p.groupBy("y", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("mdl_qda")
+@register("mdl_qda", sql=with_views("""
+SELECT y, prediction, count(*) AS n
+FROM (SELECT c.y, (SELECT m.y FROM mom m ORDER BY ln(m.n / m.total) - 0.5 * ln(m.v1 * m.v2 - m.cov * m.cov)
+        - 0.5 * ((c.label - m.m1) ** 2 * m.v2 - 2 * (c.label - m.m1) * (c.p_retailprice - m.m2) * m.cov
+                 + (c.p_retailprice - m.m2) ** 2 * m.v1) / (m.v1 * m.v2 - m.cov * m.cov) DESC LIMIT 1) AS prediction
+      FROM cls c) GROUP BY 1, 2""", ["reg_table"], [CLS_VIEW, (
+    "mom", "SELECT *, sum(n) OVER () AS total FROM (SELECT y, count(*) AS n, avg(label) AS m1, avg(p_retailprice) AS m2, "
+           "var_samp(label) AS v1, var_samp(p_retailprice) AS v2, covar_samp(label, p_retailprice) AS cov "
+           "FROM cls GROUP BY y)")]))
 def q_qda(spark, d):
     c = fx.reg_table(spark, d).withColumn("y", (F.col("l_quantity") >= 25).cast("double"))
     p = md.qda_2d(c, "label", "p_retailprice", "y")
@@ -355,14 +435,32 @@ def q_per_dataset(spark, d):
                     (F.lit(1.0) - F.try_divide(ssres, F.col("syy") - F.col("sy") * F.col("sy") / F.col("n"))).alias("r2"))
 
 
-@register("tun_learning_curve")
+LEARN_SIZES = list(range(20, 481, 10))
+
+
+@register("tun_learning_curve", sql=with_views(f"""
+SELECT size, avg(train_r2) AS train_r2, avg(valid_r2) AS valid_r2 FROM (
+  SELECT size, fold,
+         regr_r2(label, x) FILTER (WHERE rfold <> fold) AS train_r2,
+         any_value(valid_r2) AS valid_r2
+  FROM scored WHERE pos <= size GROUP BY size, fold) GROUP BY size""", ["reg_table"], [
+    ("r", f"SELECT label, l_quantity AS x, {q_ticks._fold_expr()} AS rfold, rn FROM (SELECT *, row_number() OVER (ORDER BY "
+          f"{', '.join(fx.REG_ORDER)}) AS rn, count(*) OVER () AS n FROM reg_table)"),
+    ("f", "SELECT r.*, k.fold, row_number() OVER (PARTITION BY k.fold ORDER BY rn) AS pos "
+          "FROM r JOIN (SELECT unnest(range(0, 5)) AS fold) k ON r.rfold <> k.fold"),
+    ("sz", f"SELECT unnest({list(range(20, 481, 10))}) AS size"),
+    ("fit", "SELECT size, fold, regr_slope(label, x) AS b, regr_intercept(label, x) AS a FROM f JOIN sz ON pos <= size "
+            "GROUP BY 1, 2"),
+    ("val", "SELECT size, fit.fold, 1 - sum((label - a - b * x) ** 2) / (var_pop(label) * count(*)) AS valid_r2 "
+            "FROM fit JOIN r ON r.rfold = fit.fold GROUP BY 1, 2"),
+    ("scored", "SELECT f.*, sz.size, val.valid_r2 FROM f JOIN sz ON f.pos <= sz.size "
+               "JOIN val ON val.size = sz.size AND val.fold = f.fold")]))
 def q_learning_curve(spark, d):
     """Mean train / validation r2 of OLS label ~ l_quantity per training size
     (contiguous 5 folds, first `size` training rows), from prefix sums."""
     from kestrel.operators.sampling import fold_prefixes
     r = fx.reg_table(spark, d).select(*fx.REG_ORDER, F.col("l_quantity").alias("x"))
-    sizes = list(range(20, 481, 10))
-    pre = fold_prefixes(r, fx.REG_ORDER, 5, sizes)
+    pre = fold_prefixes(r, fx.REG_ORDER, 5, LEARN_SIZES)
     fit = pre.groupBy("fold", "size").agg(
         F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("label").alias("sy"),
         F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("label")).alias("sxy"),
@@ -488,14 +586,25 @@ def q_param_count(spark, d):
 
 @register("snk_model")
 def q_snk_model(spark, d):
-    """Save the fitted pipeline under the shared checkpoint folder, load it back, score."""
+    """Save the pipeline of every epoch below the shared folder, keep the table of their scores,
+    resume from the last one, and reload the best: its score must come out again."""
     from pyspark.ml import Pipeline, PipelineModel
     tr, te = _split(_reg(spark, d))
-    pm = Pipeline(stages=[LinearRegression(maxIter=5)]).fit(tr)
-    path = os.path.join(checkpoint_dir(spark), "models", uuid.uuid4().hex)
-    pm.write().overwrite().save(path)
-    back = PipelineModel.load(path)
-    return _reg_scores(spark, "reloaded_linear", back, te)
+    base = os.path.join(checkpoint_dir(spark), "models", uuid.uuid4().hex)
+    ev = RegressionEvaluator(labelCol="label", metricName="rmse")
+    for epoch in range(4):
+        done = []
+        if epoch:  # a restarted run goes on after the last epoch in the table
+            done = [r.epoch for r in spark.read.parquet(f"{base}/scores").collect()]
+        at = max(done, default=-1) + 1
+        model = Pipeline(stages=[GBTRegressor(maxIter=1 + 2 * at, maxDepth=3, seed=0)]).fit(tr)
+        model.write().overwrite().save(f"{base}/epoch-{at}")
+        spark.createDataFrame([(at, float(ev.evaluate(model.transform(te))))], "epoch int, rmse double").write.mode(
+            "append").parquet(f"{base}/scores")
+    scores = spark.read.parquet(f"{base}/scores")
+    best = scores.agg(F.min_by("epoch", "rmse")).first()[0]
+    again = float(ev.evaluate(PipelineModel.load(f"{base}/epoch-{best}").transform(te)))
+    return scores.select("epoch", "rmse", (F.col("epoch") == best).alias("is_best"), F.lit(again).alias("reloaded_rmse"))
 
 
 # ---------------------------------------------------------------- multivariate ridge on ticks
@@ -532,13 +641,13 @@ def q_ridge(spark, d):
     return spark.createDataFrame(out, "symbol string, horizon int, best_alpha double, r2_train double, r2_test double")
 
 
-@register("jn_cross_symbol")
-def q_cross_symbol(spark, d):
-    """Features of one symbol against the target of the other, matched on bin."""
+def cross_symbol(spark, d, features_of: str, target_of: str, alpha: float):
+    """Features of one symbol against the target of the other, matched on bin: correlation of the
+    two targets, and r2 of the ridge fit on the train split."""
     feats = [s.out for s in tk.FEATURE_SPEC]
     rows = tk.lagged_features(q_ticks._split(spark, d))
-    a = rows.where("symbol = 'STOCKA'").drop("symbol")
-    b = rows.where("symbol = 'STOCKB'").select("split", "horizon", "bin", F.col("target").alias("target_b"))
+    a = rows.where(F.col("symbol") == features_of).drop("symbol")
+    b = rows.where(F.col("symbol") == target_of).select("split", "horizon", "bin", F.col("target").alias("target_b"))
     j = a.join(b, ["split", "horizon", "bin"])
     corr = j.groupBy("split", "horizon").agg(F.corr("target", "target_b").alias("corr_targets"),
                                              F.count(F.lit(1)).alias("n"))
@@ -546,7 +655,14 @@ def q_cross_symbol(spark, d):
     res = []
     for r in g:
         gg = linear.unpack_gram(r, len(feats))
-        beta = linear.ridge_solve(gg, 0.01)
+        beta = linear.ridge_solve(gg, alpha)
         res.append((int(r["horizon"]), linear.r2_from_sums(gg, beta)))
     fit = spark.createDataFrame(res, "horizon int, r2_cross_train double")
     return corr.join(fit, "horizon", "left")
+
+
+@register("jn_cross_symbol")
+def q_cross_symbol(spark, d):
+    """The first symbol's features and the second's target, by name."""
+    first, second = (r[0] for r in fx.ticks(spark, d).select("symbol").distinct().orderBy("symbol").take(2))
+    return cross_symbol(spark, d, first, second, alpha=0.01)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from kestrel.plans.q_ticks import _with, tick_ctes
+from kestrel.plans.q_txn import T, swipe_sql
 from kestrel.plans.registry import register
-from kestrel.streaming import ticks as st
+from kestrel.streaming import swipes as sw, ticks as st
 
 STREAM_SQL = _with(tick_ctes()[:1], """
 SELECT symbol, bin,
@@ -23,3 +24,9 @@ def q_stream_bins(spark, d):
     """Tick bins from a file stream (update mode, availableNow) = the batch bins."""
     out = st.run_available(spark, d, None)
     return st.latest_bins(spark, out)
+
+
+@register("str_swipe", sql=swipe_sql([T], "SELECT row_id, account, amount, ts FROM transactions"))
+def q_stream_swipes(spark, d):
+    """Anchored runs over the stream of all transactions, with keyed state."""
+    return sw.run_available(spark, d)

@@ -296,3 +296,47 @@ def q_corr_pair(spark, d):
     b = p.where("symbol = 'STOCKB'").select("split", "bin", F.col("P_mid").alias("b"))
     return a.join(b, ["split", "bin"]).groupBy("split").agg(F.corr("a", "b").alias("corr_mid"),
                                                             F.count(F.lit(1)).alias("n"))
+
+
+def smooth_sql() -> str:
+    names = [s.out for s in tk.FEATURE_SPEC]
+    feats = ", ".join(f"{_pct(s.source, s.shift, s.pct)} AS {s.out}" for s in tk.FEATURE_SPEC)
+    y = _pct(tk.TARGET_SOURCE, -tk.SMOOTH_HORIZON, tk.TARGET_PCT)
+    lag = f"SELECT symbol, split, bin, {feats}, {y} AS y FROM pf WHERE split = 'train' {WINDOW}"
+    parts = []
+    for n in tk.SMOOTH_WINDOWS:
+        over = f"OVER (PARTITION BY symbol ORDER BY bin ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+        cols = ", ".join(f"CASE WHEN count({c}) {over} = {n} THEN avg({c}) {over} END AS {c}" for c in names)
+        parts.append(f"SELECT symbol, {n} AS \"window\", y, {cols} FROM lagged")
+    nn = " AND ".join(f"{c} IS NOT NULL" for c in [*names, "y"])
+    sums = ", ".join(f"sum({c}) AS s_{c}, sum({c} * y) AS sy_{c}" for c in names)
+    return _with(tick_ctes() + [("lagged", lag), ("smooth", "\nUNION ALL\n".join(parts))],
+                 f"SELECT symbol, \"window\", count(*) AS n, sum(y) AS s_y, {sums} FROM smooth WHERE {nn} GROUP BY 1, 2")
+
+
+@register("win_smooth_sums", sql=smooth_sql())
+def q_smooth_sums(spark, d):
+    """Sums over the rows of the smoothing study, per window width."""
+    rows = tk.smoothed_rows(_split(spark, d))
+    names = [s.out for s in tk.FEATURE_SPEC]
+    return rows.groupBy("symbol", "window").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("s_y"),
+        *[x for c in names for x in (F.sum(c).alias(f"s_{c}"), F.sum(F.col(c) * F.col("y")).alias(f"sy_{c}"))])
+
+
+@register("win_smooth_scan")
+def q_smooth_scan(spark, d):
+    """r2 of the 11-feature ridge (alpha by 5-fold search) per symbol and rolling-mean width."""
+    names = [s.out for s in tk.FEATURE_SPEC]
+    sums = linear.gram_sums(tk.smoothed_rows(_split(spark, d)), ["symbol", "window", "fold"], names, "y").collect()
+    folds: dict = {}
+    for r in sums:  # symbols x widths x folds
+        folds.setdefault((r["symbol"], r["window"]), {})[r["fold"]] = linear.unpack_gram(r, len(names))
+    out = []
+    for (symbol, width), parts in sorted(folds.items()):
+        alpha, beta, _ = linear.ridge_cv_from_folds(parts)
+        total = None
+        for g in parts.values():
+            total = g if total is None else linear.add(total, g)
+        out.append((symbol, int(width), float(alpha), linear.r2_from_sums(total, beta)))
+    return spark.createDataFrame(out, "symbol string, window int, best_alpha double, r2_train double")

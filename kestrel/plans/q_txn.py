@@ -29,8 +29,10 @@ SELECT row_id, account, ts, merchant_category, amount, balance, available, is_fr
 WHERE is_dup AND amount <> 0 AND a1 = amount AND b2 = balance AND available > v1""")
 REV_SQL = _w([T, DUP, REV], "SELECT * FROM rev")
 
-SWIPE_SQL = "WITH RECURSIVE " + ",\n".join(f"{n} AS ({q}\n)" for n, q in [T, DUP, (
-    "d", "SELECT row_id, account, amount, ts FROM dup WHERE is_dup"), (
+
+def swipe_sql(ctes, rows: str) -> str:
+    """Rows after the first of an anchored run, among ``rows`` (row_id, account, amount, ts)."""
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({q}\n)" for n, q in [*ctes, ("d", rows), (
     "isl", """
 SELECT *, sum(chg) OVER (PARTITION BY account ORDER BY ts, row_id) AS island
 FROM (SELECT *, CASE WHEN lag(amount) OVER (PARTITION BY account ORDER BY ts, row_id) IS DISTINCT FROM amount
@@ -51,6 +53,9 @@ SELECT r.row_id, r.account, r.amount, r.ts FROM rec JOIN r
 WHERE rec.anchor_k <> rec.k"""
 
 
+SWIPE_SQL = swipe_sql([T, DUP], "SELECT row_id, account, amount, ts FROM dup WHERE is_dup")
+
+
 @register("win_dup_all", sql=_w([T, DUP], "SELECT row_id, account, amount FROM dup WHERE is_dup"))
 def q_dup_all(spark, d):
     return tx.mark_duplicates(fx.transactions(spark, d)).where("is_dup").select("row_id", "account", "amount")

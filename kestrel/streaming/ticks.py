@@ -22,9 +22,10 @@ from kestrel.sources.fixtures import EPOCH_NTZ, TICK_BIN_US
 EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
 
 
-def tick_stream(spark: SparkSession, folder: str, file_glob: str = "events*.parquet") -> DataFrame:
+def tick_stream(spark: SparkSession, folder: str, file_glob: str = "events*.parquet",
+                files_per_trigger: int = 16) -> DataFrame:
     ev = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
-          .option("maxFilesPerTrigger", 16).parquet(folder))
+          .option("maxFilesPerTrigger", files_per_trigger).parquet(folder))
     trade = F.col("event_type") == "purchase"
     eid, px, zero = F.col("event_id"), F.col("value") + F.lit(100), F.lit(0.0)
     return ev.select(
@@ -52,15 +53,20 @@ def windowed_bins(ticks: DataFrame, width: str = "15 minutes", watermark: str =
                  F.avg(F.when(tr, F.col("trdsd"))).alias("t_sd")))
 
 
-def run_available(spark: SparkSession, folder: str, out: str | None = None) -> str:
-    """Process every file present now (availableNow) and return the output folder."""
+def run_available(spark: SparkSession, folder: str, out: str | None = None, watermark: str = "3650 days",
+                  files_per_trigger: int = 16) -> str:
+    """Process every file present now (availableNow) and return the output folder.
+
+    Rows older than the ``watermark`` behind the latest event are dropped, as in any
+    windowed stream.  A backfill reads files in any order, so the default keeps ten years; a
+    live stream sets how late its rows may come (state is kept for that long)."""
     base = os.path.join(checkpoint_dir(spark), "kestrel-stream", uuid.uuid4().hex)
     out = out or os.path.join(base, "out")
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
 
-    q = (windowed_bins(tick_stream(spark, folder)).writeStream.outputMode("update")
+    q = (windowed_bins(tick_stream(spark, folder, files_per_trigger=files_per_trigger), watermark=watermark).writeStream.outputMode("update")
          .option("checkpointLocation", os.path.join(base, "state")).foreachBatch(sink)
          .trigger(availableNow=True).start())
     q.awaitTermination()

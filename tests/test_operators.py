@@ -89,23 +89,6 @@ def test_auc_single_class(spark):
     assert auc(df, "y", "s").first()["auc"] == -1e8
 
 
-def test_anchored_runs_match_loop():
-    from kestrel.operators.txn import _anchored_runs
-    rng = np.random.default_rng(3)
-    t = np.sort(rng.integers(0, 10_000, 200))
-    pdf = pd.DataFrame({"row_id": np.arange(200), "account": 1, "amount": 5.0,
-                        "ts": pd.to_datetime(t, unit="s"), "_us": t * 1_000_000})
-    out = _anchored_runs(180 * 1_000_000, False)(pdf)
-    flags, start = [], 0
-    for i in range(200):
-        if t[i] - t[start] < 180 and i != start:
-            flags.append(True)
-        else:
-            start = i
-            flags.append(False)
-    assert list(out["multi_swipe"]) == flags
-
-
 def test_html_rows_extracts_cells(spark):
     from kestrel.operators.text import html_rows
     html = ('<table class="tabledataformat"><tr class="altrow datarowSeparator"><td>Density</td><td>7.8</td>'
