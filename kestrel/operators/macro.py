@@ -99,10 +99,11 @@ def year_distance(yr: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
     per = (pairs.groupBy("series", "year").agg(F.sum((F.col("value") - F.col("base_value")) ** 2).alias("_ss"))
                 .join(F.broadcast(bn), "series")
                 .withColumn("rmse", F.sqrt(F.col("_ss") / F.col("_nb"))))
-    n_all = yr.select("series").distinct().count()
+    n_all = yr.agg(F.count_distinct("series").alias("_all"))  # one row
     tot = per.groupBy("year").agg(F.sum("rmse").alias("year_sum"), F.count(F.lit(1)).alias("n_series"))
-    w = Window.partitionBy(F.col("n_series") == n_all).orderBy("year_sum", "year")
-    return tot.withColumn("is_best", (F.row_number().over(w) == 1) & (F.col("n_series") == n_all))
+    tot = tot.crossJoin(F.broadcast(n_all)).withColumn("_full", F.col("n_series") == F.col("_all"))
+    w = Window.partitionBy("_full").orderBy("year_sum", "year")  # one row per year
+    return tot.withColumn("is_best", (F.row_number().over(w) == 1) & F.col("_full")).drop("_all", "_full")
 
 
 # ---------------------------------------------------------------- VAR

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import cut_lineage
 from kestrel.sources.tables import load
 
 # Tick layout of the `ticks` view.
@@ -56,6 +57,8 @@ def returns_panel(spark: SparkSession, d: str) -> DataFrame:
 
 
 def macro_series(spark: SparkSession, d: str) -> DataFrame:
+    """Five series.  The result has one row per series and period whatever the tables hold; its
+    lineage is cut, so the plans on top read it again instead of the tables."""
     o = load(spark, d, "orders")
     li = load(spark, d, "lineitem")
     od, sd = F.to_date("o_orderdate"), F.to_date("l_shipdate")
@@ -74,7 +77,7 @@ def macro_series(spark: SparkSession, d: str) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out.select("series", "date", "value")
+    return cut_lineage(out.select("series", "date", "value"))
 
 
 def transactions(spark: SparkSession, d: str) -> DataFrame:
