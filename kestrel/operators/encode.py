@@ -20,14 +20,20 @@ def one_hot(df: DataFrame, col: str, out: str, drop_last: bool = True) -> DataFr
     return OneHotEncoder(inputCols=[col + "_idx"], outputCols=[out], dropLast=drop_last).fit(idx).transform(idx)
 
 
+MAX_CATEGORIES = 2_000
+
+
 def dummies(df: DataFrame, col: str, prefix: str | None = None, with_na: bool = False,
             categories: list[str] | None = None) -> DataFrame:
     """One 0/1 column per category (sorted), no category dropped; with_na adds
-    ``<prefix>_nan`` for nulls.  The category list is one small distinct
-    aggregate (bounded by the number of categories), taken once."""
+    ``<prefix>_nan`` for nulls.  The category list is one distinct aggregate, taken once;
+    a column of more than ``MAX_CATEGORIES`` values is no category column and raises."""
     prefix = prefix or col
     if categories is None:
-        categories = sorted(r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().collect())
+        found = df.select(col).where(F.col(col).isNotNull()).distinct().take(MAX_CATEGORIES + 1)
+        if len(found) > MAX_CATEGORIES:
+            raise ValueError(f"{col!r} has more than {MAX_CATEGORIES} values")
+        categories = sorted(r[0] for r in found)
     cols = {f"{prefix}_{c}": F.coalesce((F.col(col) == F.lit(c)), F.lit(False)).cast("int") for c in categories}
     if with_na:
         cols[f"{prefix}_nan"] = F.col(col).isNull().cast("int")

@@ -83,8 +83,7 @@ def yearly(df: DataFrame) -> DataFrame:
 def year_pairs(yr: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:
     """Each year's value next to the base year's value at the same position."""
     base = yr.where(F.col("year") == base_year).select("series", "pos", F.col("value").alias("base_value"))
-    # the base year has one row per period of one year: a bounded table
-    return yr.where(F.col("year") != base_year).join(F.broadcast(base), ["series", "pos"])
+    return yr.where(F.col("year") != base_year).join(base, ["series", "pos"])
 
 
 def year_distance(yr: DataFrame, base_year: int = BASE_YEAR) -> DataFrame:

@@ -200,8 +200,7 @@ def with_stratified_folds(df: DataFrame, label_col: str, order_cols: list, k: in
     Labels are sorted; position p of the sorted label list goes to fold p % k;
     fold i therefore receives, of class c, the positions of c's block that are
     congruent to i.  Inside each class, rows keep their order and fill folds
-    0..k-1 contiguously with those allocations.  The allocation table has
-    #classes × k rows, so it is broadcast.
+    0..k-1 contiguously with those allocations (a table of #classes × k rows).
     """
     numbered = row_number(df, [label_col], order_cols, "_rn")
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_c"))
@@ -219,7 +218,7 @@ def with_stratified_folds(df: DataFrame, label_col: str, order_cols: list, k: in
                   .withColumn("_lo", F.col("_hi") - F.col("_a"))
                   .where(F.col("_a") > 0)
                   .select(label_col, "_fold", "_lo", "_hi"))
-    j = numbered.join(F.broadcast(alloc), [label_col])
+    j = numbered.join(alloc, [label_col])
     return (j.where((F.col("_rn") > F.col("_lo")) & (F.col("_rn") <= F.col("_hi")))
              .withColumn(out, F.col("_fold")).drop("_rn", "_fold", "_lo", "_hi"))
 

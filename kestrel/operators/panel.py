@@ -140,12 +140,10 @@ def beta_grid(panel: DataFrame, mkt_cal: DataFrame, windows=WINDOWS, half_lives=
     keys = ["uspn", "win_size", "half_life"]
     b = ewm_beta(grid, keys)
     r = b.withColumn("yhat", F.col("x") * F.col("beta")).where(F.col("yhat").isNotNull() & F.col("y").isNotNull())
-    st = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.avg("y").alias("ybar"),
-                              F.sum((F.col("y") - F.col("yhat")) ** 2).alias("ssres"),
-                              F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"))
-    tot = r.join(st.select(*keys, "ybar"), keys).groupBy(*keys).agg(
-        F.sum((F.col("y") - F.col("ybar")) ** 2).alias("sstot"))
-    out = st.join(tot, keys)
+    out = r.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                               (F.var_pop("y") * F.count(F.lit(1))).alias("sstot"),
+                               F.sum((F.col("y") - F.col("yhat")) ** 2).alias("ssres"),
+                               F.avg(F.abs(F.col("y") - F.col("yhat"))).alias("mae"))
     return out.select(*keys, (F.lit(1.0) - F.try_divide(F.col("ssres"), F.col("sstot"))).alias("r2"),
                       F.sqrt(F.col("ssres") / F.col("n")).alias("rmse"), "mae", "n")
 
