@@ -44,8 +44,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: ids of every row, and digests of the ids and of the text decoded from them."""
     vocab = tokenizer_path("byte_bpe_50k.json")
-    ids = bpe_automaton.encode(docs.select("doc_id", "source", "text"), vocab).drop("text")
-    both = bpe_automaton.decode(ids, vocab, out="decoded")
+    both = bpe_automaton.encode(docs.select("doc_id", "source", "text"), vocab, decoded="decoded")
     return both.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -210,9 +210,35 @@ def _read(path: str) -> bytes:
     return js
 
 
-def encode(df: DataFrame, tokenizer: str, text_col: str = "text", out: str = "ids") -> DataFrame:
+def _slices(batch, rows: int = 512):
+    """Small parts of a batch, so that a worker holds few ids at once."""
+    for i in range(0, batch.num_rows, rows):
+        yield batch.slice(i, rows)
+
+
+class Decoder:
+    """Concatenates arc labels and reads them as UTF-8."""
+
+    def __init__(self, js: bytes):
+        self._raw, self._ends = _label_table(js)
+
+    def text(self, ids) -> str:
+        import numpy as np
+
+        ends = self._ends
+        ids = ids[(ids >= 0) & (ids < len(ends) - 1)].astype(np.int64)
+        size = ends[ids + 1] - ends[ids]
+        stop = np.cumsum(size)
+        n = int(stop[-1]) if len(stop) else 0
+        at = np.arange(n) + np.repeat(ends[ids] - (stop - size), size)
+        return self._raw[at].tobytes().decode("utf-8", "replace")
+
+
+def encode(df: DataFrame, tokenizer: str, text_col: str = "text", out: str = "ids",
+           decoded: str | None = None) -> DataFrame:
     """``df`` with ``out array<int>``, the ids of ``text_col`` under the byte-level BPE
-    vocabulary file ``tokenizer`` (read on the driver and broadcast; a fixed file)."""
+    vocabulary file ``tokenizer`` (read on the driver and broadcast; a fixed file).  With
+    ``decoded``, also that column: the ids just made, decoded again in the same pass."""
     ship_package(df.sparkSession)
     js = df.sparkSession.sparkContext.broadcast(_read(tokenizer))
 
@@ -220,15 +246,26 @@ def encode(df: DataFrame, tokenizer: str, text_col: str = "text", out: str = "id
         import numpy as np
         import pyarrow as pa
 
-        cache = _encoder(js.value)
-        for b in batches:
-            docs = [b"".join(cache.values(t.as_py() or "")) for t in b.column(text_col)]
-            ends = np.zeros(len(docs) + 1, np.int64)
-            np.cumsum([len(d) // 4 for d in docs], out=ends[1:])
-            ids = pa.array(np.frombuffer(b"".join(docs), "<i4"), pa.int32())
-            yield _with(b, out, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids))
-
-    return df.mapInArrow(run, _schema(df, out, T.ArrayType(T.IntegerType())))
+        cache, back = _encoder(js.value), Decoder(js.value)
+        for whole in batches:
+            for b in _slices(whole):
+                docs = [b"".join(cache.values(t.as_py() or "")) for t in b.column(text_col)]
+                ends = np.zeros(len(docs) + 1, np.int64)
+                np.cumsum([len(d) // 4 for d in docs], out=ends[1:])
+                ids = np.frombuffer(b"".join(docs), "<i4")
+                made = _with(b, out, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32())))
+                if decoded is not None:
+                    texts = [back.text(ids[i:j]) for i, j in zip(ends, ends[1:])]
+                    made = _with(made, decoded, pa.array(texts, pa.string()))
+                yield made
+
+    schema = _schema(df, out, T.ArrayType(T.IntegerType()))
+    if decoded is not None:
+        at = schema.names.index(decoded) if decoded in schema.names else None
+        field = T.StructField(decoded, T.StringType())
+        schema = T.StructType([*schema.fields[:at], field, *schema.fields[at + 1:]] if at is not None else
+                              [*schema.fields, field])
+    return df.mapInArrow(run, schema)
 
 
 def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", out: str = "text") -> DataFrame:
@@ -240,20 +277,11 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", out: str = "text
         import numpy as np
         import pyarrow as pa
 
-        raw, ends = _label_table(js.value)
-        for b in batches:
-            texts = []
-            for cell in b.column(ids_col):
-                if not cell.is_valid:
-                    texts.append("")
-                    continue
-                ids = cell.values.to_numpy(zero_copy_only=False) if len(cell.values) else np.zeros(0, np.int64)
-                ids = ids[(ids >= 0) & (ids < len(ends) - 1)].astype(np.int64)
-                size = ends[ids + 1] - ends[ids]
-                stop = np.cumsum(size)
-                n = int(stop[-1]) if len(stop) else 0
-                at = np.arange(n) + np.repeat(ends[ids] - (stop - size), size)
-                texts.append(raw[at].tobytes().decode("utf-8", "replace"))
-            yield _with(b, out, pa.array(texts, pa.string()))
+        back = Decoder(js.value)
+        for whole in batches:
+            for b in _slices(whole):
+                texts = [back.text(c.values.to_numpy(zero_copy_only=False) if c.is_valid and len(c.values)
+                                   else np.zeros(0, np.int64)) for c in b.column(ids_col)]
+                yield _with(b, out, pa.array(texts, pa.string()))
 
     return df.mapInArrow(run, _schema(df, out, T.StringType()))

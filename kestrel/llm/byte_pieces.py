@@ -72,7 +72,7 @@ class PieceCache:
     """piece -> ``value(words of the piece)``, where a word is one unit of the byte-level splitter."""
 
     def __init__(self, tokenizer_json: bytes, word: Callable, join: Callable, special: Callable,
-                 limit: int = 200_000, longest: int = 64):
+                 limit: int = 150_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         spec = json.loads(tokenizer_json)

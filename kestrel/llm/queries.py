@@ -52,8 +52,7 @@ def op2_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode to ids, decode the ids, and digest both."""
     vocab = tokenizer_path("byte_bpe_50k.json")
-    ids = bpe_automaton.encode(documents(spark, sf_dir, "doc_id", "text"), vocab).select("doc_id", "ids")
-    both = bpe_automaton.decode(ids, vocab, out="decoded")
+    both = bpe_automaton.encode(documents(spark, sf_dir, "doc_id", "text"), vocab, decoded="decoded")
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))

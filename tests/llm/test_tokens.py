@@ -52,6 +52,9 @@ def test_op3_odd(spark, lib, odd_docs, no_docs, table_dir):
     assert bpe_automaton.encode(no_docs, vocab).count() == 0
     clash = bpe_automaton.encode(odd_docs.withColumn("ids", F.lit("x")), vocab)
     assert dict(clash.dtypes)["ids"] == "array<int>" and clash.columns == [*odd_docs.columns, "ids"]
+    both = bpe_automaton.encode(odd_docs, vocab, decoded="text").select("text", "ids")
+    again = bpe_automaton.decode(both, vocab, out="again")
+    assert [r.text for r in again.collect()] == [r.again for r in again.collect()]
     lost = spark.createDataFrame([(None,), ([],), ([-1, 10 ** 6, 64],), ([162],)], "ids array<int>")
     assert [r.text for r in bpe_automaton.decode(lost, vocab).collect()] == ["", "", "a", "�"]
 
