@@ -66,11 +66,10 @@ def ewm_beta(aligned: DataFrame, keys: list[str], half_life_col: str = "half_lif
     valid rows are cut into blocks of L = 200 h rows: sums inside a block use
     2^((j - bL)/h) (a window over (key, block)), and the two previous blocks'
     totals are carried in with factors 2^(-L/h), 2^(-2L/h) (older blocks weigh
-    below 2^-600).  Nulls are skipped without decay; beta is null before
+    below 2^-400, far under the last bit of a double).  Nulls are skipped without decay; beta is null before
     position istart + warmup (positions count null rows), as in the loop.
     """
     valid = aligned.where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    first = valid.groupBy(*keys).agg(F.min("pos").alias("_istart"))
     m = row_number(valid, keys, ["pos"], "_m", dense_col="pos", width=1 << 20)
     h = F.col(half_life_col).cast("double")
     blk_len = F.greatest(F.lit(1), (F.lit(200.0) * h).cast("long"))
@@ -83,10 +82,11 @@ def ewm_beta(aligned: DataFrame, keys: list[str], half_life_col: str = "half_lif
     wb = Window.partitionBy(*keys, "_b").orderBy("_m").rowsBetween(Window.unboundedPreceding, -1)
     m = m.withColumns({f"_p{k}": F.coalesce(F.sum(f"_e{k}").over(wb), F.lit(0.0)) for k in terms})
     tot = m.groupBy(*keys, "_b").agg(F.first("_L").alias("_L"), F.first(half_life_col).alias("_h"),
+                                     F.min("pos").alias("_pos"),
                                      *[F.sum(f"_e{k}").alias(f"_t{k}") for k in terms])
     wl = Window.partitionBy(*keys).orderBy("_b")
     f1 = F.pow(F.lit(2.0), -F.col("_L") / F.col("_h"))
-    carry = tot.select(*keys, "_b", *[
+    carry = tot.select(*keys, "_b", F.min("_pos").over(Window.partitionBy(*keys)).alias("_istart"), *[
         (F.coalesce(F.lag(f"_t{k}", 1).over(wl) * f1, F.lit(0.0))
          + F.coalesce(F.lag(f"_t{k}", 2).over(wl) * f1 * f1, F.lit(0.0))).alias(f"_c{k}") for k in terms])
     j = m.join(carry, [*keys, "_b"])
@@ -95,7 +95,7 @@ def ewm_beta(aligned: DataFrame, keys: list[str], half_life_col: str = "half_lif
     S = W["1"] + s0
     num = W["xy"] - W["x"] * W["y"] / S
     den = W["xx"] - W["x"] * W["x"] / S
-    j = j.join(first, keys).withColumn(
+    j = j.withColumn(
         "beta", F.when(F.col("pos") >= F.col("_istart") + warmup, F.try_divide(num, den)))
     drop = [c for c in j.columns if c.startswith("_")]
     return j.drop(*drop)

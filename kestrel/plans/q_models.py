@@ -641,28 +641,47 @@ def q_ridge(spark, d):
     return spark.createDataFrame(out, "symbol string, horizon int, best_alpha double, r2_train double, r2_test double")
 
 
-def cross_symbol(spark, d, features_of: str, target_of: str, alpha: float):
-    """Features of one symbol against the target of the other, matched on bin: correlation of the
-    two targets, and r2 of the ridge fit on the train split."""
-    feats = [s.out for s in tk.FEATURE_SPEC]
+def cross_symbol_rows(spark, d, features_of: str, target_of: str):
+    """Feature rows of one symbol next to the target of another, matched on bin."""
     rows = tk.lagged_features(q_ticks._split(spark, d))
     a = rows.where(F.col("symbol") == features_of).drop("symbol")
     b = rows.where(F.col("symbol") == target_of).select("split", "horizon", "bin", F.col("target").alias("target_b"))
-    j = a.join(b, ["split", "horizon", "bin"])
-    corr = j.groupBy("split", "horizon").agg(F.corr("target", "target_b").alias("corr_targets"),
-                                             F.count(F.lit(1)).alias("n"))
-    g = linear.gram_sums(j.where("split = 'train'"), ["horizon"], feats, "target_b").collect()
-    res = []
-    for r in g:
-        gg = linear.unpack_gram(r, len(feats))
-        beta = linear.ridge_solve(gg, alpha)
-        res.append((int(r["horizon"]), linear.r2_from_sums(gg, beta)))
-    fit = spark.createDataFrame(res, "horizon int, r2_cross_train double")
-    return corr.join(fit, "horizon", "left")
-
-
-@register("jn_cross_symbol")
+    return a.join(b, ["split", "horizon", "bin"])
+
+
+def _two_symbols(spark, d):
+    """The first two symbols by name."""
+    return [r[0] for r in fx.ticks(spark, d).select("symbol").distinct().orderBy("symbol").take(2)]
+
+
+@register("jn_cross_symbol", sql=q_ticks._with(q_ticks.feature_ctes(), """
+SELECT a.split, a.horizon, corr(a.target, b.target) AS corr_targets, count(*) AS n
+FROM feat a JOIN feat b ON a.split = b.split AND a.horizon = b.horizon AND a.bin = b.bin
+WHERE a.symbol = 'STOCKA' AND b.symbol = 'STOCKB' GROUP BY 1, 2"""))
 def q_cross_symbol(spark, d):
-    """The first symbol's features and the second's target, by name."""
-    first, second = (r[0] for r in fx.ticks(spark, d).select("symbol").distinct().orderBy("symbol").take(2))
-    return cross_symbol(spark, d, first, second, alpha=0.01)
+    """Correlation of the two symbols' targets per split and horizon."""
+    j = cross_symbol_rows(spark, d, *_two_symbols(spark, d))
+    return j.groupBy("split", "horizon").agg(F.corr("target", "target_b").alias("corr_targets"), F.count(F.lit(1)).alias("n"))
+
+
+@register("jn_cross_symbol_fit")
+def q_cross_symbol_fit(spark, d):
+    """Ridge of the second symbol's target on the first one's features: alpha by 5-fold search on
+    the train split, r2 there and on the test split."""
+    feats = [s.out for s in tk.FEATURE_SPEC]
+    j = cross_symbol_rows(spark, d, *_two_symbols(spark, d))
+    train = with_contiguous_folds(j.where("split = 'train'"), ["horizon"], ["bin"], 5, dense_col="bin")
+    folds: dict = {}
+    for r in linear.gram_sums(train, ["horizon", "fold"], feats, "target_b").collect():
+        folds.setdefault(r["horizon"], {})[r["fold"]] = linear.unpack_gram(r, len(feats))
+    tests = {r["horizon"]: linear.unpack_gram(r, len(feats))
+             for r in linear.gram_sums(j.where("split = 'test'"), ["horizon"], feats, "target_b").collect()}
+    out = []
+    for h, parts in sorted(folds.items()):
+        alpha, beta, scores = linear.ridge_cv_from_folds(parts)
+        total = None
+        for g in parts.values():
+            total = g if total is None else linear.add(total, g)
+        out.append((int(h), float(alpha), max(scores), linear.r2_from_sums(total, beta),
+                    linear.r2_from_sums(tests[h], beta) if h in tests else None))
+    return spark.createDataFrame(out, "horizon int, best_alpha double, cv_r2 double, r2_train double, r2_test double")

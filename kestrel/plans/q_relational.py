@@ -268,8 +268,9 @@ def q_random_split(spark, d):
              .groupBy("split").count()
 
 
-@register("smp_shuffle")
+@register("smp_shuffle", sql=with_views("SELECT l_orderkey, l_linenumber, label FROM reg_table", ["reg_table"]))
 def q_shuffle(spark, d):
+    """All rows in seeded random order (the oracle compares them as a multiset)."""
     from kestrel.operators.sampling import shuffled
     return shuffled(fx.reg_table(spark, d).select("l_orderkey", "l_linenumber", "label"), seed=0)
 

@@ -89,7 +89,8 @@ def _with(ctes, body):
 WINDOW = "WINDOW w AS (PARTITION BY symbol, split ORDER BY bin)"
 
 
-def feature_sql() -> str:
+def feature_ctes() -> list[tuple[str, str]]:
+    """CTEs of the feature rows (final CTE: ``feat``)."""
     feats = ", ".join(f"{_pct(s.source, s.shift, s.pct)} AS {s.out}" for s in tk.FEATURE_SPEC)
     ys = ", ".join(f"{_pct(tk.TARGET_SOURCE, -h, tk.TARGET_PCT)} AS y{h}" for h in tk.HORIZONS)
     names = [s.out for s in tk.FEATURE_SPEC]
@@ -99,7 +100,7 @@ def feature_sql() -> str:
         parts.append(f"SELECT symbol, split, {h} AS horizon, bin, {', '.join(names)}, y{h} AS target FROM wide")
     nn = " AND ".join(f"{c} IS NOT NULL" for c in names + ["target"])
     body = "SELECT * FROM (" + "\nUNION ALL\n".join(parts) + f") WHERE {nn}"
-    return _with(tick_ctes() + [("wide", wide)], body)
+    return tick_ctes() + [("wide", wide), ("feat", body)]
 
 
 def _fold_expr(rn="rn", n="n", k=5):
@@ -266,7 +267,7 @@ def q_pct_change(spark, d):
         "core").drop("core")
 
 
-@register("win_feature_pipeline", sql=feature_sql())
+@register("win_feature_pipeline", sql=_with(feature_ctes(), "SELECT * FROM feat"))
 def q_features(spark, d):
     return tk.lagged_features(_split(spark, d))
 
