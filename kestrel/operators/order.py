@@ -24,6 +24,8 @@ sampled bounds, and nothing is materialised.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,13 +130,14 @@ def with_neighbours(df: DataFrame, key: str, order_cols: list[str], cols: list[s
     for size, cols_in_order in ((fwd, order), (back, [c.desc() for c in order])):
         w = Window.partitionBy("_pid").orderBy(*cols_in_order)
         ends.append(tagged.select("_pid", *need, F.row_number().over(w).alias("_rk")).where(F.col("_rk") <= size)
-                    .orderBy("_pid", "_rk").collect() if size else [])
-    heads, tails = ends
+                    .collect() if size else [])
+    heads = sorted(ends[0], key=lambda r: (r["_pid"], r["_rk"]))
+    tails = sorted(ends[1], key=lambda r: (r["_pid"], -r["_rk"]))
+    head_pids, tail_pids = [r["_pid"] for r in heads], [r["_pid"] for r in tails]
     halo = []
     for p in range(n):
-        after = [r for r in heads if r["_pid"] > p][:fwd] if fwd else []
-        before = sorted((r for r in tails if r["_pid"] < p), key=lambda r: (-r["_pid"], r["_rk"]))[:back] if back else []
-        halo += [(p, *[r[c] for c in need]) for r in (*after, *before)]
+        i, j = bisect_right(head_pids, p), bisect_left(tail_pids, p)
+        halo += [(p, *[r[c] for c in need]) for r in (*heads[i:i + fwd], *tails[max(0, j - back):j])]
     schema = tagged.select("_pid", *need).schema
     extra = df.sparkSession.createDataFrame(halo, schema).withColumn("_core", F.lit(False))
     both = tagged.withColumn("_core", F.lit(True)).unionByName(extra, allowMissingColumns=True)
