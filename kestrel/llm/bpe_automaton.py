@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from kestrel.llm.byte_pieces import PieceCache, byte_alphabet, check_byte_level, special_tokens
+from kestrel.llm.common import laid_out, runs_of
 from kestrel.session import ship_package
 
 _SHIFT = 20
@@ -210,7 +211,7 @@ def _read(path: str) -> bytes:
     return js
 
 
-def _slices(batch, rows: int = 512):
+def _slices(batch, rows: int = 1024):
     """Small parts of a batch, so that a worker holds few ids at once."""
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)
@@ -247,17 +248,24 @@ def encode(df: DataFrame, tokenizer: str, text_col: str = "text", out: str = "id
         import pyarrow as pa
 
         cache, back = _encoder(js.value), Decoder(js.value)
-        for whole in batches:
-            for b in _slices(whole):
-                docs = [b"".join(cache.values(t.as_py() or "")) for t in b.column(text_col)]
-                ends = np.zeros(len(docs) + 1, np.int64)
-                np.cumsum([len(d) // 4 for d in docs], out=ends[1:])
-                ids = np.frombuffer(b"".join(docs), "<i4")
-                made = _with(b, out, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32())))
-                if decoded is not None:
-                    texts = [back.text(ids[i:j]) for i, j in zip(ends, ends[1:])]
-                    made = _with(made, decoded, pa.array(texts, pa.string()))
-                yield made
+
+        def packed(values, index, ends):
+            return laid_out(values, "<i4", index, ends)
+        try:
+            for whole in batches:
+                for b in _slices(whole):
+                    texts = [t or "" for t in b.column(text_col).to_pylist()]
+                    docs = [d for run in runs_of(texts) for d in cache.many(run, packed)]
+                    ends = np.zeros(len(docs) + 1, np.int64)
+                    np.cumsum([len(d) // 4 for d in docs], out=ends[1:])
+                    ids = np.frombuffer(b"".join(docs), "<i4")
+                    made = _with(b, out, pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32())))
+                    if decoded is not None:
+                        again = [back.text(ids[i:j]) for i, j in zip(ends, ends[1:])]
+                        made = _with(made, decoded, pa.array(again, pa.string()))
+                    yield made
+        finally:
+            cache.clear()
 
     schema = _schema(df, out, T.ArrayType(T.IntegerType()))
     if decoded is not None:

@@ -5,9 +5,8 @@ nothing ever joins across the point before a space that precedes a
 non-space character.  Texts are cut at those points with ``str.split``; only
 pieces not seen before by the worker reach the (slow) splitter and the merges.
 
-``PieceCache`` maps a piece to what the operator needs of it.  It holds two
-generations of at most ``limit`` entries, half as many for its units (the older
-goes when the younger is full) and no long pieces, so its memory is bounded whatever the text.
+``PieceCache`` maps a piece to what the operator needs of it.  Its memory is bounded
+whatever the text (see ``Generations``).
 """
 
 from __future__ import annotations
@@ -68,11 +67,38 @@ def split_pieces(text: str) -> list[str]:
     return out if out[0] else out[1:]
 
 
+class Generations:
+    """A map of bounded size: a young generation takes new entries, and when it holds
+    ``limit`` it becomes the old one, which is dropped in turn.  Long keys are not held."""
+
+    def __init__(self, limit: int, longest: int):
+        self.young: dict = {}
+        self.old: dict = {}
+        self._limit, self._longest = limit, longest
+
+    def get(self, key: str):
+        v = self.young.get(key)
+        if v is None:
+            v = self.old.get(key)
+            if v is not None:
+                self.put(key, v)
+        return v
+
+    def clear(self) -> None:
+        self.young, self.old = {}, {}
+
+    def put(self, key: str, value) -> None:
+        if len(key) <= self._longest:
+            if len(self.young) >= self._limit:
+                self.old, self.young = self.young, {}
+            self.young[key] = value
+
+
 class PieceCache:
-    """piece -> ``value(words of the piece)``, where a word is one unit of the byte-level splitter."""
+    """piece -> ``join(word(u) for its units)``, where a unit is one word of the byte-level splitter."""
 
     def __init__(self, tokenizer_json: bytes, word: Callable, join: Callable, special: Callable,
-                 limit: int = 150_000, longest: int = 64):
+                 limit: int = 400_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         spec = json.loads(tokenizer_json)
@@ -82,9 +108,13 @@ class PieceCache:
         self._cut = re.compile("(" + "|".join(
             re.escape(s) for s in sorted(self._special, key=len, reverse=True)) + ")") if self._special else None
         self._word, self._join, self._special_value = word, join, special
-        self._pieces: tuple[dict, dict] = {}, {}
-        self._words: tuple[dict, dict] = {}, {}
-        self._limit, self._longest = limit, longest
+        self._pieces = Generations(limit, longest)
+        self._words = Generations(limit // 2, longest)
+
+    def clear(self) -> None:
+        """Forget everything: called at a task's end, so that idle workers hold little memory."""
+        self._pieces.clear()
+        self._words.clear()
 
     def _units(self, piece: str) -> list[str]:
         """The splitter's units of ``piece`` in byte symbols."""
@@ -93,44 +123,58 @@ class PieceCache:
             return [w.encode().decode("latin-1").translate(_SYMBOLS) for w in found]
         return [w for w, _ in self._split(piece)]
 
-    def _put(self, young: dict, old: dict, key: str, value):
-        if len(key) <= self._longest:
-            if len(young) >= (self._limit if young is self._pieces[0] else self._limit // 2):
-                old.clear()
-                old.update(young)
-                young.clear()
-            young[key] = value
-
-    def _plain(self, text: str, out: list) -> None:
-        young, old = self._pieces
-        for p in split_pieces(text):
-            v = young.get(p)
-            if v is None:
-                v = old.get(p)
-                if v is None:
-                    v = self._join([self._of(w) for w in self._units(p)])
-                self._put(young, old, p, v)
-            out.append(v)
-
-    def _of(self, w: str):
-        young, old = self._words
-        v = young.get(w)
+    def _of_word(self, w: str):
+        v = self._words.get(w)
+        if v is None:
+            v = self._word(w)
+            self._words.put(w, v)
+        return v
+
+    def _of_piece(self, p: str):
+        v = self._pieces.get(p)
         if v is None:
-            v = old.get(w)
-            if v is None:
-                v = self._word(w)
-            self._put(young, old, w, v)
+            v = self._join([self._of_word(w) for w in self._units(p)])
+            self._pieces.put(p, v)
         return v
 
     def values(self, text: str) -> list:
         """Values of the pieces of ``text`` in order; special strings count as pieces of their own."""
-        out: list = []
         if self._cut is None or self._cut.search(text) is None:
-            self._plain(text, out)
-            return out
+            return [self._of_piece(p) for p in split_pieces(text)]
+        out: list = []
         for part in self._cut.split(text):
             if part in self._special:
                 out.append(self._special_value(self._special[part]))
             elif part:
-                self._plain(part, out)
+                out += [self._of_piece(p) for p in split_pieces(part)]
+        return out
+
+    def many(self, texts: list[str], join_coded: Callable) -> list:
+        """One value per text: ``join`` over its pieces.
+
+        Plain texts (single spaces, no special strings) are cut and coded together by
+        Arrow, so each distinct piece is looked up once: ``join_coded(values, index, ends)``
+        joins ``values[index[ends[i]:ends[i + 1]]]`` for every i."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        out: list = [None] * len(texts)
+        plain, tails = [], []
+        for i, t in enumerate(texts):
+            if _JOINED.search(t) is None and (self._cut is None or self._cut.search(t) is None):
+                head, space, tail = t.partition(" ")
+                out[i] = self._of_piece(head) if head else self._join([])
+                if space:
+                    plain.append(i)
+                    tails.append(tail)
+            else:
+                out[i] = self._join(self.values(t))
+        if plain:
+            parts = pc.split_pattern(pa.array(tails, pa.large_string()), " ")
+            coded = parts.flatten().dictionary_encode()
+            values = [self._of_piece(" " + p) for p in coded.dictionary.to_numpy(zero_copy_only=False)]
+            rest = join_coded(values, coded.indices.to_numpy(), parts.offsets.to_numpy().astype(np.int64))
+            for i, v in zip(plain, rest, strict=True):
+                out[i] = self._join([out[i], v])
         return out

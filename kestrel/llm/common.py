@@ -33,3 +33,31 @@ def text_or_empty(col: str = "text") -> Column:
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet").select(*cols)
+
+
+def laid_out(parts: list[bytes], kind: str, index, ends) -> list[bytes]:
+    """``b"".join(parts[k] for k in index[ends[i]:ends[i + 1]])`` for every i, where each part is
+    a run of numbers of numpy type ``kind``."""
+    import numpy as np
+
+    flat = np.frombuffer(b"".join(parts), kind)
+    size = np.fromiter(map(len, parts), np.int64, len(parts)) // flat.itemsize
+    first = np.cumsum(size) - size
+    n = size[index]
+    stop = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
+    out = flat[np.arange(stop[-1]) + np.repeat(first[index] - stop[:-1], n)]
+    cut = stop[ends]
+    return [out[i:j].tobytes() for i, j in zip(cut, cut[1:])]
+
+
+def runs_of(values: list[str], chars: int = 1 << 22):
+    """``values`` in runs of about ``chars`` characters: bounds what is held at once."""
+    run, size = [], 0
+    for v in values:
+        run.append(v)
+        size += len(v)
+        if size >= chars:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run

@@ -26,7 +26,7 @@ from string import punctuation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import shared_path, text_or_empty, written
+from kestrel.llm.common import laid_out, runs_of, shared_path, text_or_empty, written
 from kestrel.session import ship_package
 
 FRAME_IDS = 1 << 26
@@ -208,7 +208,6 @@ class WordIds:
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned ids of each text, ``width`` bytes each."""
-        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
 
@@ -226,16 +225,7 @@ class WordIds:
         for w in self._long.union(w for w in new if len(w) > self._longest):
             self._young.pop(w, None)
         self._long.clear()
-        # lay the ids of all words end to end
-        flat = np.frombuffer(b"".join(ids), self._kind)
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) // self._width
-        first = np.cumsum(size) - size
-        word = coded.indices.to_numpy()
-        n = size[word]
-        stop = np.concatenate([np.zeros(1, np.int64), np.cumsum(n)])
-        out = flat[np.arange(stop[-1]) + np.repeat(first[word] - stop[:-1], n)]
-        cut = stop[parts.offsets.to_numpy()]
-        return [out[i:j].tobytes() for i, j in zip(cut, cut[1:])]
+        return laid_out(ids, self._kind, coded.indices.to_numpy(), parts.offsets.to_numpy())
 
 
 _MADE: dict[tuple, WordIds] = {}
@@ -256,19 +246,6 @@ def _greatest_id(tokenizer_json: bytes) -> int:
     return max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
 
 
-def _chunks(values: list[str], chars: int = 1 << 22):
-    """``values`` in runs of about ``chars`` characters: bounds the words held at once."""
-    run, size = [], 0
-    for v in values:
-        run.append(v)
-        size += len(v)
-        if size >= chars:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
-
-
 def write_ids(df: DataFrame, tokenizer: str, end_id: int, folder: str | None = None, id_col: str = "doc_id",
               text_col: str = "text", num_files: int | None = None, level: int = 3) -> tuple[DataFrame, str]:
     """Encode every text and write the id files; returns (index, folder).
@@ -306,7 +283,7 @@ def write_ids(df: DataFrame, tokenizer: str, end_id: int, folder: str | None = N
                 fs.create_dir(base, recursive=True)
                 out = FrameWriter(fs.open_output_stream(temp), level)
             first, frames, starts, counts = [], [], [], []
-            for texts in _chunks(b.column("text").to_pylist()):
+            for texts in runs_of(b.column("text").to_pylist()):
                 for ids in words.of(texts):
                     ids += end
                     nums = [out.add(ids[i:i + width * FRAME_IDS]) for i in range(0, len(ids), width * FRAME_IDS)]

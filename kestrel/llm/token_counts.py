@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.byte_pieces import PieceCache, byte_alphabet, check_byte_level
+from kestrel.llm.common import runs_of
 from kestrel.session import ship_package
 
 
@@ -82,11 +83,19 @@ def token_counts(df: DataFrame, tokenizer: str, text_col: str = "text", out: str
     js = df.sparkSession.sparkContext.broadcast(raw)
 
     def count(batches):
+        import numpy as np
         import pandas as pd
 
+        def totals(values, index, ends):
+            n = np.concatenate([np.zeros(1, np.int64), np.cumsum(np.array(values, np.int64)[index])])
+            return (n[ends[1:]] - n[ends[:-1]]).tolist()
+
         cache = _counter(js.value)
-        for texts in batches:
-            yield pd.Series([sum(cache.values(t)) for t in texts], dtype="int64")
+        try:
+            for texts in batches:
+                yield pd.Series([n for run in runs_of(texts.tolist()) for n in cache.many(run, totals)], dtype="int64")
+        finally:
+            cache.clear()
 
     count.__annotations__ = _iterator_of_series()
     return df.withColumn(out, F.pandas_udf(count, "long")(F.coalesce(F.col(text_col), F.lit(""))))
