@@ -223,7 +223,7 @@ def q_xgb(spark, d):
     scaled = tr.withColumn("label", (F.col("label") - st["m"]) / st["s"])
     rows = []
     for gamma, sub in ((0.0, 1.0), (0.2, 0.75)):
-        base, trees = md.gain_boost(scaled, FEATS, "label", gamma=gamma, subsample=sub)
+        base, trees = md.gain_boost(scaled, FEATS, "label", rounds=6, gamma=gamma, subsample=sub)
         pred = sum((md.tree_value(t) for t in trees), F.lit(base)) * st["s"] + st["m"]
         ev = RegressionEvaluator(labelCol="label", metricName="r2")
         rows.append((gamma, sub, len(trees), float(ev.evaluate(tr.withColumn("prediction", pred))),
