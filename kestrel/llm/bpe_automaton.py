@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from kestrel.llm.byte_pieces import PieceCache, byte_alphabet, check_byte_level, special_tokens
-from kestrel.llm.common import laid_out, runs_of
+from kestrel.llm.common import laid_out, release_memory, runs_of
 from kestrel.session import ship_package
 
 _SHIFT = 20
@@ -157,32 +157,12 @@ def labels(spec: dict) -> list[bytes]:
     return out
 
 
-_MADE: dict[tuple, object] = {}
-
-
-def _encoder(js: bytes) -> PieceCache:
-    """One per worker process and vocabulary."""
-    import numpy as np
-
-    key = ("encode", hash(js))
-    if key not in _MADE:
-        spec = json.loads(js)
-        auto = MergeAutomaton(spec["model"]["vocab"], spec["model"]["merges"])
-        pack = lambda ids: np.asarray(ids, dtype="<i4").tobytes()
-        _MADE[key] = PieceCache(js, word=lambda w: pack(auto.encode_word(w)), join=b"".join,
-                                special=lambda i: pack([i]))
-    return _MADE[key]
-
-
-def _label_table(js: bytes):
+def _encoder(js: bytes, spec: dict) -> PieceCache:
     import numpy as np
 
-    key = ("decode", hash(js))
-    if key not in _MADE:
-        lab = labels(json.loads(js))
-        ends = np.cumsum([0, *map(len, lab)]).astype(np.int64)
-        _MADE[key] = np.frombuffer(b"".join(lab), np.uint8), ends
-    return _MADE[key]
+    auto = MergeAutomaton(spec["model"]["vocab"], spec["model"]["merges"])
+    pack = lambda ids: np.asarray(ids, dtype="<i4").tobytes()
+    return PieceCache(js, spec, word=lambda w: pack(auto.encode_word(w)), join=b"".join, special=lambda i: pack([i]))
 
 
 def _with(batch, name, arr):
@@ -220,8 +200,12 @@ def _slices(batch, rows: int = 1024):
 class Decoder:
     """Concatenates arc labels and reads them as UTF-8."""
 
-    def __init__(self, js: bytes):
-        self._raw, self._ends = _label_table(js)
+    def __init__(self, spec: dict):
+        import numpy as np
+
+        lab = labels(spec)
+        self._ends = np.cumsum([0, *map(len, lab)]).astype(np.int64)
+        self._raw = np.frombuffer(b"".join(lab), np.uint8)
 
     def text(self, ids) -> str:
         import numpy as np
@@ -247,7 +231,10 @@ def encode(df: DataFrame, tokenizer: str, text_col: str = "text", out: str = "id
         import numpy as np
         import pyarrow as pa
 
-        cache, back = _encoder(js.value), Decoder(js.value)
+        # built per task and dropped at its end: idle workers stay small
+        spec = json.loads(js.value)
+        cache, back = _encoder(js.value, spec), Decoder(spec)
+        del spec
 
         def packed(values, index, ends):
             return laid_out(values, "<i4", index, ends)
@@ -265,7 +252,8 @@ def encode(df: DataFrame, tokenizer: str, text_col: str = "text", out: str = "id
                         made = _with(made, decoded, pa.array(again, pa.string()))
                     yield made
         finally:
-            cache.clear()
+            del cache, back
+            release_memory()
 
     schema = _schema(df, out, T.ArrayType(T.IntegerType()))
     if decoded is not None:
@@ -285,7 +273,7 @@ def decode(df: DataFrame, tokenizer: str, ids_col: str = "ids", out: str = "text
         import numpy as np
         import pyarrow as pa
 
-        back = Decoder(js.value)
+        back = Decoder(json.loads(js.value))
         for whole in batches:
             for b in _slices(whole):
                 texts = [back.text(c.values.to_numpy(zero_copy_only=False) if c.is_valid and len(c.values)

@@ -11,7 +11,6 @@ whatever the text (see ``Generations``).
 
 from __future__ import annotations
 
-import json
 import re
 from collections.abc import Callable
 
@@ -84,9 +83,6 @@ class Generations:
                 self.put(key, v)
         return v
 
-    def clear(self) -> None:
-        self.young, self.old = {}, {}
-
     def put(self, key: str, value) -> None:
         if len(key) <= self._longest:
             if len(self.young) >= self._limit:
@@ -97,11 +93,10 @@ class Generations:
 class PieceCache:
     """piece -> ``join(word(u) for its units)``, where a unit is one word of the byte-level splitter."""
 
-    def __init__(self, tokenizer_json: bytes, word: Callable, join: Callable, special: Callable,
-                 limit: int = 400_000, longest: int = 64):
+    def __init__(self, tokenizer_json: bytes, spec: dict, word: Callable, join: Callable, special: Callable,
+                 limit: int = 300_000, longest: int = 64):
         from tokenizers import Tokenizer
 
-        spec = json.loads(tokenizer_json)
         check_byte_level(spec)
         self._split = Tokenizer.from_buffer(tokenizer_json).pre_tokenizer.pre_tokenize_str
         self._special = special_tokens(spec)
@@ -111,11 +106,6 @@ class PieceCache:
         self._pieces = Generations(limit, longest)
         self._words = Generations(limit // 2, longest)
 
-    def clear(self) -> None:
-        """Forget everything: called at a task's end, so that idle workers hold little memory."""
-        self._pieces.clear()
-        self._words.clear()
-
     def _units(self, piece: str) -> list[str]:
         """The splitter's units of ``piece`` in byte symbols."""
         found = _LATIN.findall(piece)

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.llm.common import written
+from kestrel.llm.common import release_memory, written
 from kestrel.llm.components import components
 from kestrel.session import ship_package
 
@@ -186,15 +186,6 @@ class Circulant:
         return key.view(np.int64)
 
 
-_MADE: dict[tuple, Circulant] = {}
-
-
-def _circulant(*args) -> Circulant:
-    if args not in _MADE:
-        _MADE[args] = Circulant(*args)
-    return _MADE[args]
-
-
 def signatures(df: DataFrame, text_col: str, shingle: int, bands: int, rows: int, seed: int) -> DataFrame:
     """``df`` without ``text_col`` and with __n (set size), __digest and __keys."""
     ship_package(df.sparkSession)
@@ -206,7 +197,7 @@ def signatures(df: DataFrame, text_col: str, shingle: int, bands: int, rows: int
         import numpy as np
         import pyarrow as pa
 
-        ring = _circulant(bands, rows, seed)
+        ring = Circulant(bands, rows, seed)
         for b in batches:
             texts = [_lowered(t) for t in b.column(text_col).to_pylist()]
             size, digest, sig = [], [], []
@@ -222,6 +213,8 @@ def signatures(df: DataFrame, text_col: str, shingle: int, bands: int, rows: int
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(c) for c in names), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), lists],
                 names=[*names, "__n", "__digest", "__keys"])
+        del ring
+        release_memory()
 
     schema = T.StructType([*df.select(*names).schema.fields, T.StructField("__n", T.LongType()),
                            T.StructField("__digest", T.BinaryType()),
@@ -361,6 +354,7 @@ def _block_links(open_: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 members.append((*rest, s.as_py()))
             yield packed(out)
         yield packed(links(members) if members else [])
+        release_memory()
 
     return rows.repartition(*group).sortWithinPartitions(*group, "block").mapInArrow(run, "a binary, b binary")
 
@@ -384,9 +378,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tags = [f"__tag{i}" for i in range(len(tag))]
     docs = written(signatures(named.select("__id", "__text", *tags, *mark), "__text", shingle, bands, rows, seed),
                    "signatures")
+    row = F.struct(F.col("__id").isNull().alias("x"), "__id", "__m1", "__m2")  # a class is read from one row
     classes = written(docs.where("__n > 0").groupBy("__digest").agg(
-        F.min("__id").alias("__first"), F.min(F.struct("__m1", "__m2")).alias("__mark"),
-        F.max("__n").alias("__n"), F.max("__keys").alias("__keys")), "classes")
+        F.min(row).alias("__row"), F.max("__n").alias("__n"), F.max("__keys").alias("__keys")), "classes")
 
     members = classes.select("__digest", F.col("__n").alias("n"), F.explode("__keys").alias("key"))
     hubs = members.groupBy("key").agg(F.min("__digest").alias("hub"), F.max("__digest").alias("last")).where("hub <> last")
@@ -397,8 +391,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     wanted = written(pairs.select("a").union(pairs.select("b")).distinct()
                      .join(classes, F.col("a") == F.col("__digest"))
-                     .select("__digest", F.col("__mark.__m1").alias("__m1"), F.col("__mark.__m2").alias("__m2")), "wanted")
-    texts = named.select("__text", *mark).join(_small(wanted), ["__m1", "__m2"])
+                     .select("__digest", F.col("__row.__id").alias("__first"), F.col("__row.__m1").alias("__m1"),
+                             F.col("__row.__m2").alias("__m2")), "wanted")
+    texts = named.select("__id", "__text", *mark).join(_small(wanted), ["__m1", "__m2"]).where(
+        F.col("__id").eqNullSafe(F.col("__first")))
     sets = written(_sets(texts.select("__digest", "__text"), "__text", shingle).dropDuplicates(["__digest"]), "sets")
 
     sizes = classes.select("__digest", "__n")
@@ -421,7 +417,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                                   .union(second)), "components")
 
     label = classes.join(comp.select(F.col("node").alias("__digest"), "component"), "__digest", "left").select(
-        "__digest", "__first", F.coalesce("component", "__digest").alias("component"))
+        "__digest", F.col("__row.__id").alias("__first"), F.coalesce("component", "__digest").alias("component"))
     least = label.groupBy("component").agg(F.min("__first").alias("component_id"))
     label = written(label.join(least, "component").select("__digest", "component", "component_id"), "labels")
     out = docs.drop("__keys", "__m1", "__m2").join(label, "__digest", "left")

@@ -61,3 +61,17 @@ def runs_of(values: list[str], chars: int = 1 << 22):
             run, size = [], 0
     if run:
         yield run
+
+
+def release_memory() -> None:
+    """Give a worker's freed memory back to the system: called at a task's end, since idle
+    workers stay alive beside the next stage."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):  # a C library without it
+        pass

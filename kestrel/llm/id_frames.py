@@ -26,7 +26,7 @@ from string import punctuation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import laid_out, runs_of, shared_path, text_or_empty, written
+from kestrel.llm.common import laid_out, release_memory, runs_of, shared_path, text_or_empty, written
 from kestrel.session import ship_package
 
 FRAME_IDS = 1 << 26
@@ -300,6 +300,7 @@ def write_ids(df: DataFrame, tokenizer: str, end_id: int, folder: str | None = N
         if out is not None:
             out.close()
             fs.move(temp, f"{base}/{name}")
+        release_memory()
 
     return written(rows.mapInArrow(run, _INDEX), "id-frames-index"), folder
 

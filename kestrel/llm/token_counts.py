@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kestrel.llm.byte_pieces import PieceCache, byte_alphabet, check_byte_level
-from kestrel.llm.common import runs_of
+from kestrel.llm.common import release_memory, runs_of
 from kestrel.session import ship_package
 
 
@@ -57,17 +57,10 @@ def merged_length(word: str, rank: dict[tuple[str, str], int]) -> int:
     return n - merges
 
 
-_MADE: dict[int, PieceCache] = {}
-
-
 def _counter(js: bytes) -> PieceCache:
-    key = hash(js)
-    if key not in _MADE:
-        spec = json.loads(js)
-        rank = {tuple(m.split(" ", 1) if isinstance(m, str) else m): k
-                for k, m in enumerate(spec["model"]["merges"])}
-        _MADE[key] = PieceCache(js, word=lambda w: merged_length(w, rank), join=sum, special=lambda i: 1)
-    return _MADE[key]
+    spec = json.loads(js)
+    rank = {tuple(m.split(" ", 1) if isinstance(m, str) else m): k for k, m in enumerate(spec["model"]["merges"])}
+    return PieceCache(js, spec, word=lambda w: merged_length(w, rank), join=sum, special=lambda i: 1)
 
 
 def token_counts(df: DataFrame, tokenizer: str, text_col: str = "text", out: str = "n_tokens") -> DataFrame:
@@ -95,7 +88,8 @@ def token_counts(df: DataFrame, tokenizer: str, text_col: str = "text", out: str
             for texts in batches:
                 yield pd.Series([n for run in runs_of(texts.tolist()) for n in cache.many(run, totals)], dtype="int64")
         finally:
-            cache.clear()
+            del cache
+            release_memory()
 
     count.__annotations__ = _iterator_of_series()
     return df.withColumn(out, F.pandas_udf(count, "long")(F.coalesce(F.col(text_col), F.lit(""))))
