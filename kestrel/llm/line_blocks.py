@@ -10,8 +10,9 @@
    sliding window of ``WINDOW`` lines.
 3. *Cut.*  A surge point is a line where the sum reaches the page's level and a dive
    point where it falls to nothing again.  Text between a surge and its dive is
-   kept if it holds enough of what the largest part holds; in a marked article
-   the level is one character, so short articles are kept whole.
+   kept if it holds enough of what the largest part holds.  In a marked article
+   the sums count links too and the level is one character, so the same cut keeps
+   its short lines and short articles whole.
 
 The page's level is a share of its largest block sum, so the rule has no fixed
 length and no cap.  Each page is one row of work: no shuffle.
@@ -184,17 +185,10 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     return [(t, w, h) if inside or not marked else ("", 0, False) for t, w, h, inside in out], marked
 
 
-def main_text(page: str | None) -> str:
-    """Text between the surge and dive points of ``page``, lines joined by an empty line."""
-    found, marked = lines(page or "")
-    if marked:
-        return "\n\n".join(t for t, _, _ in found if t)
-    weight = [w for _, w, _ in found]
+def cut(weight: list[int], level: float) -> list[tuple[int, int]]:
+    """(surge, dive) of every run of lines whose block sum reaches ``level``."""
     block = [sum(weight[i:i + WINDOW]) for i in range(len(weight))]
-    if not block or not max(block):
-        return ""
-    level = max(1, SURGE_SHARE * max(block))
-    parts: list[tuple[int, int, int]] = []  # characters, first and last line
+    out: list[tuple[int, int]] = []
     i = 0
     while i < len(block):
         if block[i] < level:
@@ -203,15 +197,29 @@ def main_text(page: str | None) -> str:
         start = i  # surge
         while i < len(block) and block[i] > 0:
             i += 1
-        last = i  # dive
+        out.append((start, i))  # dive
+    return out
+
+
+def main_text(page: str | None) -> str:
+    """Text between the surge and dive points of ``page``, lines joined by an empty line."""
+    found, marked = lines(page or "")
+    # markup vouches for the links and the short lines of a marked article
+    weight = [len(t) if marked else w for t, w, _ in found]
+    most = max((sum(weight[i:i + WINDOW]) for i in range(len(weight))), default=0)
+    if not most:
+        return ""
+    level = 1 if marked else max(1, SURGE_SHARE * most)
+    parts: list[tuple[int, int, int]] = []  # characters, first and last line
+    for start, last in cut(weight, level):
         first = next(k for k in range(start, last) if weight[k] >= level / WINDOW)
         if first and found[first - 1][2] and found[first - 1][0]:
             first -= 1  # the heading right above
         while weight[last - 1] < level / WINDOW:
             last -= 1  # short lines after the last full one
         parts.append((sum(weight[first:last]), first, last))
-    most = max(p[0] for p in parts)
-    return "\n\n".join(t for size, a, b in parts if size >= PART_SHARE * most for t, _, _ in found[a:b] if t)
+    share = 0 if marked else PART_SHARE * max(p[0] for p in parts)
+    return "\n\n".join(t for size, a, b in parts if size >= share for t, _, _ in found[a:b] if t)
 
 
 def extract(df: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -84,6 +84,16 @@ def test_unclosed_container_ends_at_the_article():
     assert main_text("<body><div class=ad><p>buy now<article><p>text of it</p></article></body>") == "text of it"
 
 
+def test_marked_articles_are_cut_by_sums(monkeypatch):
+    asked = []
+    cut = line_blocks.cut
+    monkeypatch.setattr(line_blocks, "cut", lambda weight, level: asked.append((weight, level)) or cut(weight, level))
+    page = ("<p>outside</p><article><h1>Head</h1><p>x</p><p><a href='u'>a link</a></p></article><ul><li>1<li>2<li>3</ul>"
+            "<article><p>second</p></article>")
+    assert main_text(page) == "Head\n\nx\n\na link\n\nsecond"
+    assert asked == [([0, 4, 1, 6, 0, 0, 0, 6], 1)]
+
+
 # ---- 6 ----------------------------------------------------------------------------------------
 
 def test_op6_on_pages(spark):
