@@ -3,19 +3,23 @@
 1. *Strip.*  A page becomes a list of lines: every block-level tag ends a line,
    inline tags vanish, character references are decoded, white space becomes one
    space.  Scripts, styles, comments and the parts that markup names as menus,
-   headers, footers, sidebars, notices, adverts, forms or reader comments leave
-   empty lines.  If the page marks an article or main part, lines outside
-   it are empty too.
+   headers, footers, sidebars, notices, adverts, forms or reader comments are
+   removed; they leave empty lines if the text on their two sides stands in
+   different containers, so an advert inside a text does not cut it.  If the page
+   marks an article or main part, lines outside it are empty too.
 2. *Sum.*  Each line weighs its characters outside links; a block's sum runs over a
    sliding window of ``WINDOW`` lines.
-3. *Cut.*  A surge point is a line where the sum reaches the page's level and a dive
-   point where it falls to nothing again.  Text between a surge and its dive is
-   kept if it holds enough of what the largest part holds.  In a marked article
-   the sums count links too and the level is one character, so the same cut keeps
-   its short lines and short articles whole.
+3. *Cut.*  A surge point is where the sum rises from nothing in a run that reaches the
+   level, and a dive point where it falls to nothing again.  Everything between
+   a surge and its dive is kept, short lines too; only lines at its two ends that are
+   mostly links go.  A run below the level is kept if it stands in the container of
+   a kept line that reaches the level alone.  In a marked article the sums
+   count links too and the level is one character, so the same cut keeps its short
+   lines and short articles whole.
 
-The page's level is a share of its largest block sum, so the rule has no fixed
-length and no cap.  Each page is one row of work: no shuffle.
+The level is ``LEVEL`` characters, or one character on pages that nowhere reach it, so
+the length of other paragraphs does not matter.  Nothing is capped.  Each page
+is one row of work: no shuffle.
 
 Edge cases: null or empty html, and pages without text, give the empty text;
 unclosed elements end at the parent's end, an unclosed container at the article
@@ -34,10 +38,8 @@ from pyspark.sql import types as T
 from kestrel.session import ship_package
 
 WINDOW = 3
-#: A block belongs to a text if its sum reaches this share of the page's largest.
-SURGE_SHARE = 0.12
-#: A further text is kept if it has this share of the largest text's characters.
-PART_SHARE = 0.15
+#: A run of lines is a text if a block sum in it reaches this many characters.
+LEVEL = 50
 
 # Element names of HTML by their role, and words that name boilerplate.
 BLOCKS = frozenset(
@@ -50,6 +52,7 @@ SKIPPED = frozenset(
 RAW = frozenset("script style textarea xmp noembed noframes".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(("article", "main"))
+CONTAINERS = frozenset(("div", "section", "td", *ARTICLE))
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising adsense banner banners sponsor sponsored promo promotion promoted "
     "cookie cookies consent gdpr notice notices alert popup modal overlay "
@@ -87,11 +90,15 @@ def _is_boilerplate(name: str, attrs: str, in_article: bool) -> bool:
     return False
 
 
-def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
-    """((text, characters outside links, is a heading) of every line, is there an article).
+def lines(page: str) -> tuple[list[tuple[str, int, bool, int]], bool]:
+    """((text, characters outside links, is a heading, container) of every line, is there an article).
 
-    Boilerplate leaves a window of empty lines, so that blocks on its two sides do not meet."""
-    out: list[tuple[str, int, bool, bool]] = []
+    Boilerplate between two containers leaves a window of empty lines, so that blocks on its
+    two sides do not meet."""
+    out: list[tuple[str, int, bool, bool, int]] = []
+    within: list[tuple[str, int]] = []  # open containers
+    opened = 0
+    removed = False  # boilerplate since the last line
     words: list[str] = []
     linked = heading = 0
     skip: list[str] = []  # open elements since the boilerplate container, it first
@@ -100,10 +107,14 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
     at, n = 0, len(page)
 
     def end():
-        nonlocal linked
+        nonlocal linked, removed
         text = " ".join("".join(words).split())
         if text:
-            out.append((text, max(0, len(text) - linked), bool(heading), bool(article)))
+            at = within[-1][1] if within else 0
+            if removed and out and out[-1][4] != at:
+                out.extend([("", 0, False, bool(article), at)] * WINDOW)
+            removed = False
+            out.append((text, max(0, len(text) - linked), bool(heading), bool(article), at))
         words.clear()
         linked = 0
 
@@ -152,8 +163,12 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
                     skip.append(name)
                 continue
         if closing:
-            if name in ARTICLE:
+            if name in CONTAINERS:
                 end()
+                if any(name == c for c, _ in within):
+                    while within.pop()[0] != name:
+                        pass
+            if name in ARTICLE:
                 article = max(0, article - 1)
             elif name == "a":
                 links = max(0, links - 1)
@@ -167,9 +182,13 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             continue
         if name not in VOID and _is_boilerplate(name, attrs, bool(article)):
             end()
-            out.extend([("", 0, False, bool(article))] * WINDOW)
+            removed = True
             skip.append(name)
             continue
+        if name in CONTAINERS:
+            end()
+            opened += 1
+            within.append((name, opened))
         if name in ARTICLE:
             end()
             article += 1
@@ -181,23 +200,22 @@ def lines(page: str) -> tuple[list[tuple[str, int, bool]], bool]:
             heading = int(name[0] == "h" and name[1:].isdigit())
             links = 0
     end()
-    marked = seen and any(t for t, _, _, inside in out if inside)
-    return [(t, w, h) if inside or not marked else ("", 0, False) for t, w, h, inside in out], marked
+    marked = seen and any(t for t, _, _, inside, _ in out if inside)
+    return [(t, w, h, c) if inside or not marked else ("", 0, False, c) for t, w, h, inside, c in out], marked
 
 
-def cut(weight: list[int], level: float) -> list[tuple[int, int]]:
-    """(surge, dive) of every run of lines whose block sum reaches ``level``."""
+def cut(weight: list[int], level: float) -> list[tuple[int, int, bool]]:
+    """(surge, dive, does a block sum reach ``level``) of every run of lines with positive sums."""
     block = [sum(weight[i:i + WINDOW]) for i in range(len(weight))]
-    out: list[tuple[int, int]] = []
+    out: list[tuple[int, int, bool]] = []
     i = 0
     while i < len(block):
-        if block[i] < level:
-            i += 1
-            continue
-        start = i  # surge
+        start = i
         while i < len(block) and block[i] > 0:
             i += 1
-        out.append((start, i))  # dive
+        if i > start:
+            out.append((start, i, max(block[start:i]) >= level))
+        i += 1
     return out
 
 
@@ -205,21 +223,22 @@ def main_text(page: str | None) -> str:
     """Text between the surge and dive points of ``page``, lines joined by an empty line."""
     found, marked = lines(page or "")
     # markup vouches for the links and the short lines of a marked article
-    weight = [len(t) if marked else w for t, w, _ in found]
+    weight = [len(t) if marked else w for t, w, _, _ in found]
     most = max((sum(weight[i:i + WINDOW]) for i in range(len(weight))), default=0)
-    if not most:
-        return ""
-    level = 1 if marked else max(1, SURGE_SHARE * most)
-    parts: list[tuple[int, int, int]] = []  # characters, first and last line
-    for start, last in cut(weight, level):
-        first = next(k for k in range(start, last) if weight[k] >= level / WINDOW)
-        if first and found[first - 1][2] and found[first - 1][0]:
-            first -= 1  # the heading right above
-        while weight[last - 1] < level / WINDOW:
-            last -= 1  # short lines after the last full one
-        parts.append((sum(weight[first:last]), first, last))
-    share = 0 if marked else PART_SHARE * max(p[0] for p in parts)
-    return "\n\n".join(t for size, a, b in parts if size >= share for t, _, _ in found[a:b] if t)
+    level = 1 if marked or most < LEVEL else LEVEL
+    parts: list[tuple[int, int, bool]] = []
+    for first, last, strong in cut(weight, level):
+        while first < last and 2 * weight[first] < max(1, len(found[first][0])):
+            first += 1
+        while last > first and 2 * weight[last - 1] < max(1, len(found[last - 1][0])):
+            last -= 1
+        if first < last:
+            if first and found[first - 1][2] and found[first - 1][0]:
+                first -= 1  # the heading right above
+            parts.append((first, last, strong))
+    full = {found[i][3] for a, b, strong in parts if strong for i in range(a, b) if weight[i] >= level}
+    return "\n\n".join(t for a, b, strong in parts if strong or all(found[i][3] in full for i in range(a, b) if found[i][0])
+                       for t, _, _, _ in found[a:b] if t)
 
 
 def extract(df: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:

@@ -94,6 +94,17 @@ def test_marked_articles_are_cut_by_sums(monkeypatch):
     assert asked == [([0, 4, 1, 6, 0, 0, 0, 6], 1)]
 
 
+@pytest.mark.parametrize("lengths", [[900, 900, 900, None, 350], [60, 6000, 500, 5000, 70, 120], [20, None, 6000, None, 15],
+                                     [900, "links", 20], [12, 9, None, 7], [900, None, None, 30, 30, "links", 30]])
+@pytest.mark.parametrize("wrap", ["body", "div", "section"])
+def test_unmarked_pages_lose_no_paragraph(lengths, wrap):
+    other = {None: '<div class="advert"><p>' + prose(60, 30) + "</p><div>buy</div></div>", "links": MENU}
+    texts = {i: prose(i, n)[:n - 1].replace(" ", "x") + "." for i, n in enumerate(lengths) if isinstance(n, int)}
+    body = "".join(f"<p>{texts[i]}</p>" if i in texts else other[n] for i, n in enumerate(lengths))
+    page = f"<nav>{MENU}</nav><{wrap}>{body}</{wrap}><footer><p>{prose(61, 20)}</p></footer>"
+    assert main_text(page) == "\n\n".join(texts.values())
+
+
 # ---- 6 ----------------------------------------------------------------------------------------
 
 def test_op6_on_pages(spark):
