@@ -11,7 +11,8 @@ their distinct (key, day) pairs, both with map-side combining.  Thus the window
 that finds the latest interval sees at most one row per day of a value, even
 if a third of all captures share a host.  The states go back to the captures in an
 equi-join on (key, day), whose large keys AQE splits.  Nothing is broadcast or
-collected.
+collected but one number, the path depth of the deepest entry, beyond which no
+prefix of an address can be listed.
 
 Edge cases: null or unparsable addresses have no keys and are not listed; a null
 fetch day matches nothing; on a day with both an add and a remove of a value the
@@ -41,14 +42,16 @@ def path_of(url: Column) -> Column:
     return F.regexp_replace(F.trim(path), r"/+$", "")
 
 
-def with_keys(df: DataFrame, url_col: str, out: str, path_depth: int = 3) -> DataFrame:
+def with_keys(df: DataFrame, url_col: str, out: str, path_depth: int | None = None) -> DataFrame:
     """``df`` with ``out``, every list value that covers its address: the host, its parent
-    domains of two labels or more, the host with its first ``path_depth`` path segments,
-    and the whole address."""
+    domains of two labels or more, the host with every number of leading path segments (up to
+    ``path_depth``, if given), and the whole address."""
     url, host, path = F.col(url_col), F.col("__host"), F.col("__path")
     labels, steps = F.col("__labels"), F.col("__steps")
     d = df.withColumns({"__host": host_of(url), "__path": path_of(url)})
-    d = d.withColumns({"__labels": F.split(host, r"\."), "__steps": F.slice(F.split(path, "/"), 2, path_depth)})
+    steps_of = F.split(path, "/")
+    d = d.withColumns({"__labels": F.split(host, r"\."),
+                       "__steps": F.slice(steps_of, 2, F.size(steps_of) if path_depth is None else path_depth)})
     parents = F.transform(F.sequence(F.lit(2), F.greatest(F.size(labels), F.lit(2))),
                           lambda k: F.array_join(F.slice(labels, -k, k), "."))
     prefixes = F.transform(steps, lambda s, i: F.when(
@@ -70,9 +73,12 @@ def validity_intervals(entries: DataFrame) -> DataFrame:
 
 
 def listed_captures(captures: DataFrame, entries: DataFrame, url_col: str = "url", day_col: str = "fetch_day",
-                    path_depth: int = 3) -> DataFrame:
+                    path_depth: int | None = None) -> DataFrame:
     """``captures`` with n_listed (list values that hold for it on its day), first_listed (the least
-    of them) and listed."""
+    of them) and listed.  Addresses are probed with as many path segments as the deepest entry
+    has, unless ``path_depth`` says fewer."""
+    deepest = entries.agg(F.max(F.size(F.split("value", "/")) - 1)).first()[0] or 0
+    path_depth = deepest if path_depth is None else min(path_depth, deepest)
     kept = [c for c in captures.columns if c not in ("n_listed", "first_listed", "listed")]
     rows = captures.select(F.struct(*kept).alias("__row"), F.col(url_col).alias("__url"), F.col(day_col).alias("__day"))
     # the verdict depends on address and day alone

@@ -138,6 +138,27 @@ def test_op6_odd(spark, table_dir):
     assert queries.op6_url_lists(spark, table_dir(pages=empty)).count() == 0
 
 
+def test_deep_paths_and_domains(spark):
+    """Against every prefix and parent domain, built in plain Python."""
+    hosts = ["h.org", "a.h.org", "x.y.a.h.org", "x.y.a.h.org.uk", "b.org"]
+    paths = ["", "/a", "/a/b/c/d", "/a/b/c/d/e", "/a/b/c/d/e/f/g/h/i/j/k", "/a/b/c/x/e", "/a//c/d/e"]
+    caps = [(i, "https://" + h + p, day(3 + i % 3)) for i, (h, p) in enumerate((h, p) for h in hosts for p in paths)]
+    ents = [("h.org/a/b/c/d", 1), ("h.org/a/b/c/d/e/f/g/h/i", 4), ("a.h.org", 1), ("a.h.org/a/b/c/d/e", 2), ("h.org", 5),
+            ("y.a.h.org.uk", 1), ("org.uk", 4), ("x.y.a.h.org/a//c/d", 1), ("b.org/a/b/c/d/e/f/g/h/i/j/k", 1)]
+
+    def listed(url, on):
+        host, _, path = url.removeprefix("https://").partition("/")
+        labels, steps = host.split("."), path.split("/") if path else []
+        keys = {".".join(labels[-k:]) for k in range(2, len(labels) + 1)} | {
+            "/".join([host, *steps[:k]]) for k in range(1, len(steps) + 1) if steps[k - 1]}
+        return sorted(v for v, d in ents if v in keys and day(d) <= on)
+
+    got = url_lists.listed_captures(spark.createDataFrame(caps, "id long, url string, fetch_day date"),
+                                    spark.createDataFrame([(v, day(d), True) for v, d in ents], "value string, day date, added boolean"))
+    want = [(i, u, on, len(hit), hit[0] if hit else None, bool(hit)) for i, u, on in caps for hit in [listed(u, on)]]
+    same_rows(got.collect(), want)
+
+
 def test_intervals(spark):
     ent = spark.createDataFrame([("v", day(d), a) for d, a in ((1, True), (3, False), (3, False), (4, False), (6, True), (7, True))],
                                 "value string, day date, added boolean")
