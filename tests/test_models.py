@@ -74,6 +74,27 @@ def test_knn_is_exact_and_its_broadcast_bounded(spark):
         md.knn_votes(train, test, [1], "id", "f", "y", max_train=59)
 
 
+def test_knn_merges_blocks_and_has_no_bound_of_its_own(spark):
+    import inspect
+
+    assert inspect.signature(md.knn_votes).parameters["max_train"].default is None
+    r = np.random.default_rng(4)
+    pts = [(i, [float(v) for v in r.integers(0, 3, 3)], int(r.integers(0, 3))) for i in range(700)]
+    df = spark.createDataFrame(pts, "id long, f array<double>, y int")
+    train, test = df.where("id < 100"), df.where("id >= 100")
+    got = [(x.id, x.k, x.pred) for x in md.knn_votes(train, test.union(test.where("id < 110")), [3, 200], "id", "f", "y",
+                                                     block_bytes=24 * 30).collect()]
+    want = []
+    for i, f, _ in pts[100:] + pts[100:110]:
+        near = sorted(pts[:100], key=lambda p: (sum((a - b) ** 2 for a, b in zip(p[1], f)), p[0]))
+        for k in (3, 200):
+            votes = [p[2] for p in near[:k]]
+            want.append((i, k, min(set(votes), key=lambda c: (-votes.count(c), c))))
+    assert sorted(got) == sorted(want)
+    assert md.knn_votes(train.limit(0), test, [3], "id", "f", "y").count() == 0
+    assert md.knn_votes(train, test.limit(0), [3], "id", "f", "y").count() == 0
+
+
 def test_search_visits_every_point_and_fold(rows):
     df = md.assemble(rows, NAMES).withColumnRenamed("y", "label").select("features", "label", "fold")
     train, test = df, df.where("fold = 0")
