@@ -204,6 +204,25 @@ def test_gain_boost_first_tree_and_penalty(spark):
     assert not isinstance(flat[0], tuple)
 
 
+def test_xgb_query_runs_all_rounds_of_the_operator(spark, monkeypatch):
+    import inspect
+
+    from conftest import SF_SMALL
+    from kestrel.plans import q_models
+
+    asked = []
+
+    def boost(*args, **kw):
+        got = inspect.signature(gain_boost).bind(*args, **kw)
+        got.apply_defaults()
+        asked.append(got.arguments["rounds"])
+        return 0.0, [0.0] * asked[-1]
+    gain_boost = md.gain_boost
+    monkeypatch.setattr(md, "gain_boost", boost)
+    rows = q_models.q_xgb(spark, SF_SMALL).collect()
+    assert asked == [10, 10] and [r.trees for r in rows] == [10, 10]
+
+
 def test_kernel_sums(spark, rows):
     """The polynomial features reproduce the kernel, and the sums equal numpy's."""
     x = rows.toPandas()
