@@ -253,7 +253,7 @@ def knn_votes(train: DataFrame, test: DataFrame, ks: list[int], id_col: str, fea
 
 def model_search(train: DataFrame, test: DataFrame, zoo: dict, score, k: int = 3, fold_col: str = "fold",
                  threads: int = 4) -> list[tuple]:
-    """k-fold search over the full grid of every model of ``zoo``, refit of the best point, and
+    """k-fold search over every point of the grids in ``zoo``, refit of the best point, and
     scores on train and held-out rows.
 
     Rows (model, kind, grid_id, params, fold, score): kind ``fold`` per grid point and fold, ``mean``

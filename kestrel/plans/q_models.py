@@ -557,7 +557,7 @@ def _zoo_parts(spark, d, cls: bool):
 
 @register("tun_model_zoo")
 def q_zoo(spark, d):
-    """Every regressor: 3-fold search over its full grid, refit, r2 on train and held-out rows."""
+    """The regressors of the zoo: 3-fold search over their small grids (README), refit, r2 on train and held-out rows."""
     tr, te = _zoo_parts(spark, d, False)
 
     def r2(model, rows):
@@ -567,7 +567,7 @@ def q_zoo(spark, d):
 
 @register("tun_model_zoo_cls")
 def q_zoo_cls(spark, d):
-    """Every classifier: 3-fold search over its full grid, refit, AUC on train and held-out rows."""
+    """The classifiers of the zoo: 3-fold search over their small grids (README), refit, AUC on train and held-out rows."""
     tr, te = _zoo_parts(spark, d, True)
 
     def auc(model, rows):
