@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import bpe_automaton, circulant_minhash, curriculum, exact_dedup, id_frames, line_blocks, ngram_ratio, shard_shuffle, token_counts, url_lists
+from kestrel.llm import (bpe_automaton, circulant_minhash, curriculum, dual_tree, exact_dedup, id_frames, line_blocks,
+                         ngram_ratio, shard_shuffle, token_counts, url_lists)
 from kestrel.llm.common import documents, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +145,27 @@ def page_entries(captures: DataFrame) -> DataFrame:
 def op6_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = page_captures(spark, sf_dir)
     return url_lists.listed_captures(captures, page_entries(captures))
+
+
+@register("op12_dual_tree", r"""
+    WITH d AS (SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+         n AS (SELECT doc_id, words, len(words) AS n FROM d WHERE len(words) > 0),
+         c AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM n),
+         q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(
+                      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+         o AS (SELECT doc_id, n, unnest(words) AS term FROM n),
+         f AS (SELECT doc_id, n, term, count(*) AS tf FROM o WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+         w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+               FROM f, c GROUP BY term, n_docs),
+         s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) //
+                      (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+               FROM f JOIN w USING (term) JOIN q USING (term), c GROUP BY ALL),
+         r AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                      doc_id, score FROM s WHERE score > 0)
+    SELECT * FROM r WHERE rank <= 50""")
+def op12_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet").select("item_id", "text")
+    return dual_tree.search(documents(spark, sf_dir, "doc_id", "text"), items, k=50)
