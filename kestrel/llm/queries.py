@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kestrel.llm import (bpe_automaton, circulant_minhash, curriculum, dual_tree, exact_dedup, id_frames, line_blocks,
-                         ngram_ratio, shard_shuffle, token_counts, url_lists)
+                         ngram_ratio, shard_shuffle, token_counts, turn_repair, url_lists)
 from kestrel.llm.common import documents, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,31 @@ def op12_dual_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 50 best documents of every benchmark item."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet").select("item_id", "text")
     return dual_tree.search(documents(spark, sf_dir, "doc_id", "text"), items, k=50)
+
+
+def damaged_conversations(conversations: DataFrame) -> DataFrame:
+    """Rows damaged by a checksum of their place: dropped, emptied, cut, repeated or given to the user."""
+    conv, turn = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn"))
+    kind = F.crc32(F.concat(conv, F.lit(":"), turn)) % 20
+    text = F.coalesce(F.col("text"), F.lit(" "))
+    return conversations.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, F.lit("user")).otherwise(F.coalesce(F.col("role"), F.lit(" "))).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")).drop("copy")
+
+
+@register("op13_turn_repair")
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage the conversations, repair them and digest the repaired turns."""
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return repaired_digests(rows)
+
+
+def repaired_digests(conversations: DataFrame) -> DataFrame:
+    found = turn_repair.summary(turn_repair.repair(damaged_conversations(conversations)))
+    every = conversations.select(F.col("conv_id").alias("id")).distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    empty = "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"  # of nothing
+    return every.join(found, every.id.eqNullSafe(found.conv_id), "left").select(
+        F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(empty)).alias("repaired_sha256"))
