@@ -10,10 +10,9 @@ with a term, L terms in them, n terms of the document, df documents with the ter
    result (ids and counts, no text) is written to the shared folder.  N, L and df are
    aggregates over it.
 2. *Trees.*  A chunk of documents is a matrix with one row per document and one column per
-   term: what the term adds to a score.  Documents with the same strongest term stand
-   together; ``LEAF`` rows make a leaf, ``FANOUT`` nodes a parent, and a node holds the maxima
-   of its columns.  Items are halved by likeness down to ``ITEM_LEAF``; a node holds all terms
-   of its items.  The bound of a pair of nodes is the sum of the document node's maxima over
+   term: what the term adds to a score.  Documents and items are halved by likeness (which of
+   two unlike rows is nearer), documents down to ``LEAF`` rows, items down to ``ITEM_LEAF``.  ``FANOUT``
+   document nodes make a parent; a node holds the maxima of its columns, an item node all terms of its items.  The bound of a pair of nodes is the sum of the document node's maxima over
    the item node's terms: no pair below can score more.
 3. *Search.*  Both trees are descended together, whole sets of document nodes at once.  Pairs
    whose bound is below the weakest k-th score of the node's items are cut.  Pairs
@@ -49,7 +48,7 @@ from pyspark.sql import functions as F
 from kestrel.llm.common import release_memory, text_or_empty, written
 from kestrel.session import ship_package
 
-LEAF, FANOUT, ITEM_LEAF = 32, 8, 4
+LEAF, FANOUT, ITEM_LEAF = 8, 8, 2
 #: Cells of a chunk's matrix (8 bytes each).
 CELLS = 1 << 22
 NO_ID = (1 << 63) - 1
@@ -127,6 +126,26 @@ class Best:
             self.least[item] = max(self.least[item], self.score[item][-1])
 
 
+def by_likeness(m):
+    """Order of the rows of ``m``: halved at multiples of ``LEAF`` by which of two unlike rows is nearer."""
+    import numpy as np
+
+    unit = (m / np.sqrt(np.maximum((m * m).sum(axis=1), 1))[:, None]).astype(np.float32)
+    out, todo = [], [np.arange(len(m))]
+    while todo:
+        rows = todo.pop()
+        if len(rows) <= LEAF:
+            out.append(rows)
+            continue
+        part = unit[rows]
+        near = part @ part[0]
+        far = part @ part[int(near.argmin())]
+        order = np.argsort(far - near, kind="stable")
+        half = -(-len(rows) // (2 * LEAF)) * LEAF
+        todo += [rows[order[half:]], rows[order[:half]]]
+    return np.concatenate(out)
+
+
 class Chunk:
     """Documents as a matrix of what each term adds to a score, and the maxima of their tree."""
 
@@ -138,7 +157,7 @@ class Chunk:
         self.column[used] = np.arange(len(used))
         m = np.zeros((len(docs), len(used)))
         m[rows, self.column[cols]] = adds
-        order = np.lexsort((docs, -m.max(axis=1), m.argmax(axis=1)))
+        order = by_likeness(m)
         self.docs, self.m = docs[order], m[order]
         self.levels = [np.maximum.reduceat(self.m, np.arange(0, len(docs), LEAF))]
         while len(self.levels[-1]) > FANOUT:

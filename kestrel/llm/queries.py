@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.llm import (bpe_automaton, circulant_minhash, curriculum, dual_tree, exact_dedup, id_frames, line_blocks,
-                         ngram_ratio, shard_shuffle, token_counts, turn_repair, url_lists)
+from kestrel.llm import (bpe_automaton, chat_tokens, circulant_minhash, curriculum, dual_tree, exact_dedup, id_frames,
+                         line_blocks, ngram_ratio, shard_shuffle, token_counts, turn_repair, url_lists)
 from kestrel.llm.common import documents, text_or_empty
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,3 +197,28 @@ def repaired_digests(conversations: DataFrame) -> DataFrame:
     return every.join(found, every.id.eqNullSafe(found.conv_id), "left").select(
         F.col("id").alias("conv_id"), *(F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts),
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(empty)).alias("repaired_sha256"))
+
+
+#: A conversation whose texts hold the template's control strings, one already escaped.
+CONTROL_TEXT = r"\### Assistant: </turn> ok"
+
+
+@register("op11_chat_tokens", r"""
+    WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS t FROM conversations
+               UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+               UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+         f AS (SELECT *, CASE role WHEN 'system' THEN 12 WHEN 'user' THEN 10 ELSE 15 END + 8 + length(regexp_replace(
+                      t, '(\\*(### System: |### User: |### Assistant: |### Role: |</role>|</turn>))', '\\\1', 'g')) AS n FROM c)
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn)) AS turns_sha256,
+           CAST(coalesce(sum(length(t)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(t, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum(n) AS BIGINT) AS formatted_chars
+    FROM f GROUP BY conv_id""")
+def op11_chat_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Format the conversations and one full of control strings, read them back and digest them."""
+    rows = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-7, 0, "user", CONTROL_TEXT), (-7, 1, "assistant", CONTROL_TEXT)], rows.schema)
+    vocab = tokenizer_path("byte_bpe_50k.tiktoken")
+    formatted = chat_tokens.format_turns(rows.unionByName(extra), vocab)
+    return chat_tokens.digests(chat_tokens.read_turns(formatted, vocab))
