@@ -137,5 +137,5 @@ def test_repaired_rows(spark):
     rows = [(1, 1, "assistant", "A."), (1, 2, "user", "U."), (1, 3, "user", "U."), (1, 4, "user", " ")]
     out = turn_repair.repair(spark.createDataFrame(rows, ROWS)).orderBy("at").collect()
     assert [(r.edit, r.fault, r.turn, r.role, r.text) for r in out] == [
-        ("D", None, 1, None, "A."), ("K", None, 2, "user", "U."), ("D", "duplicate", 3, None, "U."),
+        ("I", None, None, "user", ""), ("K", None, 1, "assistant", "A."), ("K", None, 2, "user", "U."), ("D", "duplicate", 3, None, "U."),
         ("D", "blank", 4, None, " "), ("I", None, None, "assistant", "")]
