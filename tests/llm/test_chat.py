@@ -59,7 +59,7 @@ def test_escaping_is_reversible():
         assert chat_tokens.unescape(safe) == text
         bare = safe
         for c in chat_tokens.CONTROLS:
-            bare = bare.replace("\\" + c, "")
+            bare = bare.replace("\\" + c, "\0")
         assert not any(c in bare for c in chat_tokens.CONTROLS)
 
 
