@@ -158,7 +158,8 @@ def _counted(rows: DataFrame) -> DataFrame:
     last = F.regexp_extract("text", rf"(?s)({NOT_SPACE})[\x20\x09-\x0D]*\z", 1)
     kinds = rows.select("conv", "turn", "role", "digest", (last == "").alias("blank"),
                         (~last.isin(".", "!", "?")).alias("cut"))
-    runs = kinds.groupBy("conv", "turn", "role", "digest", "blank", "cut").agg(F.count(F.lit(1)).alias("n"))
+    runs = written(kinds.groupBy("conv", "turn", "role", "digest", "blank", "cut").agg(F.count(F.lit(1)).alias("n")),
+                   "turn-runs")  # read three times
     order = F.struct(F.col("turn").isNotNull().alias("numbered"), F.col("turn").alias("turn"))
     again = (runs.groupBy("conv", "role", "digest").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("turns"))
              .where("turns > 1").select(F.col("conv").alias("c"), F.col("role").alias("r"),
