@@ -15,18 +15,17 @@ SELECT symbol, bin,
        count(*) FILTER (WHERE trdpx <> 0) AS n_trade,
        avg(trdpx) FILTER (WHERE trdpx <> 0) AS t_px, avg(trdsz) FILTER (WHERE trdpx <> 0) AS t_sz,
        avg(trdsd) FILTER (WHERE trdpx <> 0) AS t_sd
-FROM (SELECT *, CAST(floor(time / 900000000) AS BIGINT) AS bin FROM ticks)
+FROM (SELECT *, CAST(floor(time / 900000000) AS BIGINT) AS bin FROM (SELECT DISTINCT * FROM ticks))
 GROUP BY symbol, bin""")
 
 
 @register("str_tick_bins", sql=STREAM_SQL)
 def q_stream_bins(spark, d):
-    """Tick bins from a file stream (update mode, availableNow) = the batch bins."""
-    out = st.run_available(spark, d, None)
-    return st.latest_bins(spark, out)
+    """Distinct ticks of a file stream in closed windows (append mode, availableNow) = the batch bins."""
+    return st.run_available(spark, d)
 
 
 @register("str_swipe", sql=swipe_sql([T], "SELECT row_id, account, amount, ts FROM transactions"))
 def q_stream_swipes(spark, d):
-    """Anchored runs over the stream of all transactions, with keyed state."""
+    """Anchored runs over the stream of all transactions, taken in event-time order by keyed state and timers."""
     return sw.run_available(spark, d)

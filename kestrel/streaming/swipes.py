@@ -1,65 +1,165 @@
-"""Streaming multi-swipes: anchored runs per account with keyed state.
+"""Streaming multi-swipes: anchored runs per account in event-time order.
 
-The state of an account is the start and the amount of its current run (two
-numbers).  Rows of a micro-batch are taken in time order; a row continues the run if it
-has the same non-zero amount and comes less than ``window_s`` seconds after the
-run's first row, and is emitted; any other row starts a new run.  Micro-batches must
-arrive in time order per account; a row older than the run's start starts a new run.
+Files may come in any order and cut.  The rows of an account wait in its state until the
+watermark has passed, then they are taken by (time, row id): a row continues the run if it
+has the run's non-zero amount and comes less than ``window_s`` seconds after the run's
+first row, and is emitted; any other row starts a new run.
+
+*State* of an account (RocksDB, ``transformWithStateInPandas``):
+
+* waiting rows by time slice of ``slice_s`` seconds; a micro-batch appends one entry per slice
+  and never reads what is there.  A timer at the end of the earliest slice takes all slices
+  that the watermark has passed, one at a time, so a worker holds one slice of one
+  account, however busy the account is;
+* the current run's start and amount (two numbers), removed by a timer when no row can
+  continue it.
+
+*Late rows*, whose slice had ended before the watermark with which their micro-batch began,
+and rows without a time are flagged and stored in a table of their own; they take no part in runs.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-from kestrel.operators.txn import SWIPE_WINDOW_S
-from kestrel.session import checkpoint_dir, ship_package
-from kestrel.streaming.ticks import EVENTS_SCHEMA
+from kestrel.operators.txn import SWIPE_WINDOW_S, AnchoredRuns
+from kestrel.session import ship_package
+from kestrel.streaming.events import Job, event_stream
 
 OUT = "row_id long, account long, amount double, ts timestamp_ntz"
+_FLAGGED = "row_id long, account long, amount double, us long, late boolean"
+_ROW = np.dtype([("us", "<i8"), ("row_id", "<i8"), ("amount", "<f8")])
+
+
+def transactions_of(events: DataFrame) -> DataFrame:
+    """Transaction columns of the event stream; ``us`` is the time in microseconds."""
+    return events.select(F.col("event_id").alias("row_id"), F.col("user_id").alias("account"),
+                         F.unix_micros("ets").alias("us"),
+                         (F.floor(F.col("value") / F.lit(25)) * F.lit(25)).cast("double").alias("amount"))
+
+
+def continued(rows: np.ndarray, start: int | None, amount: float, window_us: int) -> tuple[np.ndarray, int, float]:
+    """Which of the ordered ``rows`` continue a run, and the run (start, amount) after them.
+
+    ``start`` is the current run's first time (None: no run)."""
+    same = np.zeros(len(rows), bool)
+    same[0] = start is not None and rows["amount"][0] == amount
+    same[1:] = rows["amount"][1:] == rows["amount"][:-1]
+    part = np.cumsum(~same)  # 0: still the current run's amount
+    runs = AnchoredRuns(window_us)
+    if same[0]:
+        runs._group, runs._start = (0,), start
+    follows = runs.mark([part], rows["us"]) & (rows["amount"] != 0)
+    return follows, runs._start, float(rows["amount"][-1])
 
 
-def transaction_stream(spark: SparkSession, folder: str, file_glob: str = "events*.parquet",
-                       files_per_trigger: int = 16) -> DataFrame:
-    ev = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
-          .option("maxFilesPerTrigger", files_per_trigger).parquet(folder))
-    return ev.select(F.col("event_id").alias("row_id"), F.col("user_id").alias("account"), "ts",
-                     (F.floor(F.col("value") / F.lit(25)) * F.lit(25)).cast("double").alias("amount"))
+class SwipeProcessor(StatefulProcessor):
+    """See the module text.  Times are microseconds, timers milliseconds."""
 
+    def __init__(self, window_s: int, slice_s: int):
+        self._window, self._slice = window_s * 1_000_000, slice_s * 1_000_000
 
-def swipe_runs(txn: DataFrame, window_s: int = SWIPE_WINDOW_S) -> DataFrame:
-    """Stream of the rows after the first of an anchored run."""
+    def init(self, handle) -> None:
+        self._handle = handle
+        self._waiting = handle.getMapState("waiting", "slice long, entry long", "rows binary")
+        self._entries = handle.getValueState("entries", "n long")
+        self._run = handle.getValueState("run", "start long, amount double")
+
+    def _end_ms(self, at: int) -> int:
+        return (at + self._slice) // 1000
+
+    def _frame(self, account, rows: np.ndarray, late: bool) -> pd.DataFrame:
+        return pd.DataFrame({"row_id": rows["row_id"], "account": account, "amount": rows["amount"], "us": rows["us"],
+                             "late": late})
+
+    def handleInputRows(self, key, rows, timerValues):
+        now = timerValues.getCurrentWatermarkInMs()
+        entry = self._entries.get()[0] if self._entries.exists() else 0
+        timed = set()
+        for frame in rows:
+            untimed = frame["us"].isna()
+            if untimed.any():
+                yield frame.loc[untimed, ["row_id", "account", "amount", "us"]].assign(late=True)
+                frame = frame.loc[~untimed]
+            part = np.empty(len(frame), _ROW)
+            for c in _ROW.names:
+                part[c] = frame[c].to_numpy()
+            part = np.sort(part, order=("us", "row_id"))
+            at = part["us"] // self._slice * self._slice
+            late = (at + self._slice) // 1000 <= now
+            if late.any():
+                yield self._frame(key[0], part[late], True)
+                part, at = part[~late], at[~late]
+            cuts = [*np.flatnonzero(np.diff(at, prepend=at[:1] - 1)).tolist(), len(at)]
+            for i, j in zip(cuts, cuts[1:]):
+                self._waiting.updateValue((int(at[i]), entry), (part[i:j].tobytes(),))
+                entry += 1
+            if len(at):
+                timed.add(self._end_ms(int(at[0])))
+        self._entries.update((entry,))
+        if timed:
+            self._handle.registerTimer(min(timed))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        now = timerValues.getCurrentWatermarkInMs()
+        start, amount = self._run.get() if self._run.exists() else (None, 0.0)
+        waiting = sorted(tuple(k) for k in self._waiting.keys())
+        due = [k for k in waiting if self._end_ms(k[0]) <= now]
+        i = 0
+        while i < len(due):
+            j = i
+            while j < len(due) and due[j][0] == due[i][0]:
+                j += 1
+            rows = np.sort(np.concatenate([np.frombuffer(self._waiting.getValue(k)[0], _ROW) for k in due[i:j]]),
+                           order=("us", "row_id"))
+            follows, start, amount = continued(rows, start, amount, self._window)
+            for k in due[i:j]:
+                self._waiting.removeKey(k)
+            if follows.any():
+                yield self._frame(key[0], rows[follows], False)
+            i = j
+        if start is not None:
+            over = (start + self._window + self._slice) // 1000  # no row that is in time can continue the run then
+            if over <= now:
+                self._run.clear()
+            else:
+                self._run.update((start, amount))
+                self._handle.registerTimer(over + 1)
+        if len(waiting) > len(due):
+            self._handle.registerTimer(self._end_ms(waiting[len(due)][0]))
+        elif due:
+            self._entries.clear()
+
+    def close(self) -> None:
+        pass
+
+
+def swipe_runs(txn: DataFrame, window_s: int = SWIPE_WINDOW_S, slice_s: int = 3600) -> DataFrame:
+    """Stream of the rows after the first of an anchored run (late = false) and of the late rows."""
     ship_package(txn.sparkSession)
-    width = window_s * 1_000_000
+    found = txn.groupBy("account").transformWithStateInPandas(
+        statefulProcessor=SwipeProcessor(window_s, slice_s), outputStructType=_FLAGGED, outputMode="Append",
+        timeMode="EventTime")
+    return found.select("row_id", "account", "amount", F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"), "late")
+
+
+def swipe_job(spark: SparkSession, folder: str, window_s: int = SWIPE_WINDOW_S, files_per_trigger: int = 16,
+              watermark: str = "3650 days", slice_s: int = 3600, base: str | None = None) -> Job:
+    """The stream over the event files of ``folder``.  ``watermark`` says how late a row may come;
+    the default of a backfill takes files in any order."""
+    return Job(spark, lambda beats: swipe_runs(transactions_of(
+        event_stream(spark, folder, beats, watermark, files_per_trigger)), window_s, slice_s), base, ("late",))
 
-    def walk(key, frames, state: GroupState):
-        rows = pd.concat(list(frames)).sort_values(["ts", "row_id"])
-        start, amount = state.get if state.exists else (None, 0.0)
-        follows = []
-        for us, a in zip(rows["ts"].astype("datetime64[us]").astype("int64"), rows["amount"]):
-            same = start is not None and a != 0 and a == amount and 0 <= us - start < width
-            follows.append(same)
-            if not same:
-                start, amount = int(us), float(a)
-        state.update((start, amount))
-        if any(follows):
-            yield rows.loc[follows, ["row_id", "account", "amount", "ts"]]
 
-    return txn.groupBy("account").applyInPandasWithState(walk, OUT, "start long, amount double", "append",
-                                                         GroupStateTimeout.NoTimeout)
+def swipe_rows(job: Job, late: bool = False) -> DataFrame:
+    """The rows of runs written so far, or the late rows."""
+    return job.read(f"{OUT}, late boolean").where(F.col("late") == late).select("row_id", "account", "amount", "ts")
 
 
 def run_available(spark: SparkSession, folder: str, window_s: int = SWIPE_WINDOW_S, files_per_trigger: int = 16) -> DataFrame:
-    """Process every file present now (availableNow) and return the emitted rows."""
-    base = os.path.join(checkpoint_dir(spark), "kestrel-stream", uuid.uuid4().hex)
-    out = os.path.join(base, "out")
-    q = (swipe_runs(transaction_stream(spark, folder, files_per_trigger=files_per_trigger), window_s).writeStream
-         .outputMode("append").option("checkpointLocation", os.path.join(base, "state"))
-         .foreachBatch(lambda batch, i: batch.write.mode("append").parquet(out)).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.schema(OUT).parquet(out)
+    """Process every file present now, close the stream and return the rows of runs."""
+    return swipe_rows(swipe_job(spark, folder, window_s, files_per_trigger).run().close())

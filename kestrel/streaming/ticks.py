@@ -1,36 +1,28 @@
-"""Streaming tick bins: event files -> watermark -> 15-minute windows.
+"""Streaming tick bins: event files -> watermark -> no repeated ticks -> 15-minute windows.
 
-The stream reads the `events` Parquet files of a folder as they land, derives
-the tick columns (same projection as the batch view), and aggregates quote and
-trade means per (symbol, event-time window).  Update mode emits every changed
-window (append would hold back windows still open under the watermark);
-``foreachBatch`` writes each micro-batch to Parquet with its batch id, and the
-reader keeps the last version of each window.
+Equal ticks are removed as in the batch operator, with state that is kept until the
+watermark has passed the tick.  A window is emitted once, when the watermark closes it; ticks
+later than that are dropped, so ``watermark`` says how late they may come.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kestrel.session import checkpoint_dir
 from kestrel.sources.fixtures import EPOCH_NTZ, TICK_BIN_US
+from kestrel.streaming.events import Job, event_stream
 
-EVENTS_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+_MEANS = ["q_bid", "q_bidsz", "q_ask", "q_asksz", "t_px", "t_sz", "t_sd"]
+_OUT = "symbol string, start timestamp_ntz, n_quote long, n_trade long, " + ", ".join(f"{c} double" for c in _MEANS)
 
 
-def tick_stream(spark: SparkSession, folder: str, file_glob: str = "events*.parquet",
-                files_per_trigger: int = 16) -> DataFrame:
-    ev = (spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", file_glob)
-          .option("maxFilesPerTrigger", files_per_trigger).parquet(folder))
+def ticks_of(events: DataFrame) -> DataFrame:
+    """Tick columns of the event stream."""
     trade = F.col("event_type") == "purchase"
     eid, px, zero = F.col("event_id"), F.col("value") + F.lit(100), F.lit(0.0)
-    return ev.select(
-        F.when(F.col("user_id") % 2 == 0, F.lit("STOCKA")).otherwise(F.lit("STOCKB")).alias("symbol"),
-        F.col("ts").cast("timestamp").alias("ets"),  # watermarks need timestamp, not timestamp_ntz
+    return events.select(
+        F.when(F.col("user_id") % 2 == 0, F.lit("STOCKA")).otherwise(F.lit("STOCKB")).alias("symbol"), "ets",
         F.when(trade, zero).otherwise(px).alias("bid"),
         F.when(trade, zero).otherwise((eid % 10 + 1).cast("double")).alias("bidsz"),
         F.when(trade, zero).otherwise(px + (eid % 5 + 1).cast("double") * F.lit(0.1)).alias("ask"),
@@ -40,46 +32,33 @@ def tick_stream(spark: SparkSession, folder: str, file_glob: str = "events*.parq
         F.when(trade, F.when(eid % 2 == 0, F.lit(1.0)).otherwise(F.lit(-1.0))).otherwise(zero).alias("trdsd"))
 
 
-def windowed_bins(ticks: DataFrame, width: str = "15 minutes", watermark: str = "1 hour") -> DataFrame:
+def windowed_bins(ticks: DataFrame, width: str = "15 minutes") -> DataFrame:
+    """Quote and trade means per symbol and window of the distinct ticks."""
     q = F.col("trdpx") == 0
     tr = ~q
-    return (ticks.withWatermark("ets", watermark)
+    bins = (ticks.dropDuplicatesWithinWatermark(ticks.columns)
             .groupBy("symbol", F.window("ets", width).alias("w"))
-            .agg(F.count_if(q).alias("n_quote"),
+            .agg(F.count_if(q).alias("n_quote"), F.count_if(tr).alias("n_trade"),
                  F.avg(F.when(q, F.col("bid"))).alias("q_bid"), F.avg(F.when(q, F.col("bidsz"))).alias("q_bidsz"),
                  F.avg(F.when(q, F.col("ask"))).alias("q_ask"), F.avg(F.when(q, F.col("asksz"))).alias("q_asksz"),
-                 F.count_if(tr).alias("n_trade"),
                  F.avg(F.when(tr, F.col("trdpx"))).alias("t_px"), F.avg(F.when(tr, F.col("trdsz"))).alias("t_sz"),
                  F.avg(F.when(tr, F.col("trdsd"))).alias("t_sd")))
+    return bins.withColumn("start", F.col("w.start").cast("timestamp_ntz")).drop("w")
 
 
-def run_available(spark: SparkSession, folder: str, out: str | None = None, watermark: str = "3650 days",
-                  files_per_trigger: int = 16) -> str:
-    """Process every file present now (availableNow) and return the output folder.
-
-    Rows older than the ``watermark`` behind the latest event are dropped, as in any
-    windowed stream.  A backfill reads files in any order, so the default keeps ten years; a
-    live stream sets how late its rows may come (state is kept for that long)."""
-    base = os.path.join(checkpoint_dir(spark), "kestrel-stream", uuid.uuid4().hex)
-    out = out or os.path.join(base, "out")
+def tick_job(spark: SparkSession, folder: str, watermark: str = "3650 days", files_per_trigger: int = 16,
+             base: str | None = None) -> Job:
+    """The stream over the event files of ``folder``; a backfill's default takes files in any order."""
+    return Job(spark, lambda beats: windowed_bins(ticks_of(event_stream(spark, folder, beats, watermark, files_per_trigger))), base)
 
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
 
-    q = (windowed_bins(tick_stream(spark, folder, files_per_trigger=files_per_trigger), watermark=watermark).writeStream.outputMode("update")
-         .option("checkpointLocation", os.path.join(base, "state")).foreachBatch(sink)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return out
+def bins_written(job: Job) -> DataFrame:
+    """The bins written so far, with the batch operator's bin number."""
+    us = F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, start)")
+    return job.read(_OUT).select("symbol", (us / F.lit(TICK_BIN_US)).cast("long").alias("bin"),
+                                 "n_quote", "n_trade", *_MEANS)
 
 
-def latest_bins(spark: SparkSession, out: str) -> DataFrame:
-    """Last emitted version of each (symbol, window), with the batch bin number."""
-    d = spark.read.parquet(out)
-    cols = [c for c in d.columns if c not in ("symbol", "w", "batch_id")]
-    last = d.groupBy("symbol", "w").agg(F.max_by(F.struct(*cols), F.col("batch_id")).alias("v"))
-    start_ntz = F.col("w.start").cast("timestamp_ntz")
-    us = F.expr(f"timestampdiff(MICROSECOND, {EPOCH_NTZ}, start_ntz)")
-    return (last.withColumn("start_ntz", start_ntz)
-                .select("symbol", (us / F.lit(TICK_BIN_US)).cast("long").alias("bin"),
-                        *[F.col("v." + c).alias(c) for c in cols]))
+def run_available(spark: SparkSession, folder: str, files_per_trigger: int = 16) -> DataFrame:
+    """Process every file present now, close the stream and return the bins."""
+    return bins_written(tick_job(spark, folder, files_per_trigger=files_per_trigger).run().close())

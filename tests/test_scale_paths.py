@@ -164,28 +164,3 @@ def test_one_busy_bin_is_spread(spark):
     plan = tk.tick_bins(fx.ticks(spark, SF_SMALL), fx.TICK_BIN_US)._jdf.queryExecution().executedPlan().toString()
     at = [x for x in plan.split("\n") if "Exchange hashpartitioning(" in x]
     assert len(at) == 2 and sum("time#" in x for x in at) == 1 and all("symbol#" in x for x in at)  # all columns, then the partial sums
-
-
-# ---- streams --------------------------------------------------------------------------------------------
-
-def events_in_files(spark, folder, cuts):
-    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet").toPandas().sort_values("event_id")
-    for name, rows in cuts(ev):
-        spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string") \
-            .coalesce(1).write.parquet(str(folder / name))
-        part = next((folder / name).glob("part-*.parquet"))
-        part.rename(folder / f"events-{name}.parquet")
-
-
-def test_bins_from_files_out_of_order(spark, tmp_path):
-    from kestrel.streaming import ticks as st
-    events_in_files(spark, tmp_path, lambda ev: [("a", ev.iloc[600:]), ("b", ev.iloc[:600])])
-    out = st.latest_bins(spark, st.run_available(spark, str(tmp_path), files_per_trigger=1))
-    whole = st.latest_bins(spark, st.run_available(spark, SF_SMALL))
-    same(out, whole)
-
-
-def test_swipes_over_two_triggers(spark, tmp_path):
-    from kestrel.streaming import swipes as sw
-    events_in_files(spark, tmp_path, lambda ev: [("a", ev.sort_values("ts").iloc[:500]), ("b", ev.sort_values("ts").iloc[500:])])
-    same(sw.run_available(spark, str(tmp_path), files_per_trigger=1), sw.run_available(spark, SF_SMALL))
