@@ -3,8 +3,7 @@
 Library estimators (``pyspark.ml``) cover linear, tree, forest, boosted, SVM,
 naive Bayes and MLP models.  What they lack is built here from aggregates:
 penalised least squares from Gram sums, support vector regression (one
-aggregate per Newton step for all grid points), exact nearest neighbours,
-AdaBoost's weight update (a column expression between tree fits),
+aggregate per Newton step for all grid points), AdaBoost's weight update (a column expression between tree fits),
 random Fourier features (a vector column), Gaussian discriminants (per-class
 moments + a scoring expression).
 """
@@ -26,6 +25,7 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kestrel.operators.neighbours import knn_votes  # noqa: F401  (part of this module's interface)
 from kestrel.session import cut_lineage
 
 
@@ -187,68 +187,6 @@ def svr_fit(df: DataFrame, feats: list[str], label: str, grid: list[tuple[str, f
     raise RuntimeError("support vector regression did not converge")
 
 
-# ---------------------------------------------------------------- k nearest neighbours
-
-def knn_votes(train: DataFrame, test: DataFrame, ks: list[int], id_col: str, features: str, label: str,
-              max_train: int | None = None, block_bytes: int = 4 << 20) -> DataFrame:
-    """(id, k, pred): exact k-nearest-neighbour vote of every test row, ties in distance by the
-    training id and ties in votes by the smaller label.
-
-    Both sides are cut by row number into blocks of at most ``block_bytes`` of coordinates.  A task
-    meets one training block with one test block and keeps the nearest rows of each test row;
-    an aggregate merges them per test row.  Thus neither the driver nor a task holds a whole
-    side.  A caller's own ``max_train`` raises for a larger training side."""
-    from kestrel.operators.order import row_number
-    from kestrel.session import ship_package
-    spark = train.sparkSession
-    ship_package(spark)
-    n, wide = train.agg(F.count(F.lit(1)), F.max(F.size(features))).first()
-    if max_train is not None and n > max_train:
-        raise ValueError(f"{n} training rows; the caller allows {max_train}")
-    m = test.count()
-    most = max(1, block_bytes // (8 * max(1, wide or 1)))
-    # small test sides are cut finer, for a few tasks per core
-    few = min(most, max(256, -(-m // (4 * spark.sparkContext.defaultParallelism))))
-    a_blocks, b_blocks = max(1, -(-n // most)), max(1, -(-m // few))
-
-    def blocks(df, cols, rows, mine, other, count):
-        d = row_number(df.select(*cols), [], [id_col], "_rn")
-        # new columns: both sides may come from one frame
-        d = d.select(*[F.col(c).alias(c) for c in (*cols, "_rn")], F.expr(f"(_rn - 1) div {rows}").alias(mine))
-        return d.withColumn(other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long")))).groupBy("_a", "_b")
-
-    left = blocks(train.select(F.col(id_col), F.col(features), F.col(label).cast("long").alias(label)),
-                  [id_col, features, label], most, "_a", "_b", b_blocks)
-    right = blocks(test, [id_col, features], few, "_b", "_a", a_blocks)
-    keep = max(ks)
-
-    def nearest(a, b):
-        import pyarrow as pa
-
-        a = a.sort_by([(id_col, "ascending")])
-        points, x = (np.array(t.column(features).to_pylist(), np.float64) for t in (a, b))
-        near, far = np.zeros((len(x), min(keep, len(points))), np.int64), np.zeros((len(x), min(keep, len(points))))
-        step = max(1, (4 << 20) // max(1, points.size))
-        for i in range(0, len(x) if len(points) else 0, step):
-            d = ((x[i:i + step, None, :] - points[None, :, :]) ** 2).sum(-1)
-            near[i:i + step] = np.argsort(d, axis=1, kind="stable")[:, :keep]
-            far[i:i + step] = np.take_along_axis(d, near[i:i + step], axis=1)
-        at = pa.array(near.ravel())
-        row = pa.array(np.repeat(np.arange(len(x)), near.shape[1]))
-        return pa.table({"_rn": b.column("_rn").take(row), id_col: b.column(id_col).take(row), "_d": pa.array(far.ravel()),
-                         "_t": a.column(id_col).take(at), "_y": a.column(label).take(at)})
-
-    found = left.cogroup(right).applyInArrow(nearest, f"_rn long, {id_col} long, _d double, _t long, _y long")
-    best = found.groupBy("_rn").agg(F.first(id_col).alias(id_col), F.slice(
-        F.array_sort(F.collect_list(F.struct("_d", "_t", "_y"))), 1, keep).alias("_near"))
-    best = best.select(id_col, "_near", F.explode(F.array(*[F.lit(k) for k in ks])).alias("k"))
-    votes = F.slice(F.col("_near")["_y"], F.lit(1), F.col("k"))
-    best = best.select(id_col, "k", votes.alias("_v"))
-    ranked = F.array_sort(F.transform(F.array_distinct("_v"), lambda y: F.struct(
-        (-F.size(F.filter("_v", lambda v: v == y))).alias("n"), y.alias("y"))))
-    return best.select(F.col(id_col).cast("long").alias(id_col), "k", ranked[0]["y"].cast("int").alias("pred"))
-
-
 # ---------------------------------------------------------------- search
 
 def model_search(train: DataFrame, test: DataFrame, zoo: dict, score, k: int = 3, fold_col: str = "fold",
