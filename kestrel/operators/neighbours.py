@@ -199,8 +199,8 @@ def nearest(train: DataFrame, test: DataFrame, k: int, id_col: str, features: st
     if not n or not m:
         return spark.createDataFrame([], schema)
     most = max(1, block_bytes // (8 * max(1, wide)))
-    # small test sides are cut finer, for a few tasks per core
-    few = min(most, max(256, -(-m // (4 * spark.sparkContext.defaultParallelism))))
+    # test sides below a block for each task are cut finer
+    few = min(most, -(-m // (4 * spark.sparkContext.defaultParallelism)))
     wanted = min(MAX_PIVOTS, max(1, (8 << 20) // (8 * max(1, wide))), -(-2 * n // most))
     chosen = train.select(features, F.xxhash64(id_col).alias("_h")).orderBy("_h", features).limit(wanted)
     pivots = np.unique(np.array([r[0] for r in chosen.collect()], np.float64), axis=0)
