@@ -58,6 +58,37 @@ def test_shards_are_mixed(spark):
                                       sorted((r.doc_id, r.shard) for r in other))) < 1000
 
 
+def places(df, cols=("doc_id", "text")):
+    return sorted(((*(r[c] for c in cols), r.shard, r.slot) for r in df.collect()), key=repr)
+
+
+def test_one_permutation_on_every_cluster(spark, odd_docs):
+    """Neither shuffle partitions nor the cut of the input change a record's place."""
+    more = odd_docs.unionByName(spark.range(500).select(
+        F.col("id").alias("doc_id"), F.concat(F.lit("t "), F.col("id") % 7).alias("text"), F.lit("en").alias("lang"),
+        F.lit("s").alias("source"), F.col("id").alias("n_chars")))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    for parts in (3, 211):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        found.append(places(shard_shuffle.shuffle_into_shards(more.repartition(parts), 5)))
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1] and len(found[0]) == more.count()
+
+
+def test_equal_rows_are_spread(spark, monkeypatch):
+    """A third of all rows are one record: no bucket holds much more than the others."""
+    monkeypatch.setattr(shard_shuffle, "LEAST_BUCKETS", 32)
+    docs = spark.range(9000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"),
+                                    F.when(F.col("id") % 3 > 0, F.concat(F.lit("x"), F.col("id"))).otherwise("same").alias("text"))
+    sizes = shard_shuffle._numbered(docs, 17).groupBy(
+        F.pmod(F.xxhash64(F.lit(17), "__mark", "__copy"), F.lit(32))).count().toPandas()["count"]
+    assert len(sizes) == 32 and sizes.sum() == 9000 and sizes.max() < 1.4 * sizes.median()
+    check_shards(shard_shuffle.shuffle_into_shards(docs, 16).withColumns({
+        "size": shard_shuffle.record_size(), "text_crc32": F.crc32("text"), "law": F.lit("rows"),
+        "grown_shard": F.lit(None)}).collect(), docs.collect())
+
+
 def test_fisher_yates_is_uniform():
     seen = Counter(tuple(shard_shuffle.fisher_yates(3, 1, b)) for b in range(6000))
     assert len(seen) == 6 and all(800 < n < 1200 for n in seen.values())
