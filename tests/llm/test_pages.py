@@ -84,14 +84,45 @@ def test_unclosed_container_ends_at_the_article():
     assert main_text("<body><div class=ad><p>buy now<article><p>text of it</p></article></body>") == "text of it"
 
 
-def test_marked_articles_are_cut_by_sums(monkeypatch):
-    asked = []
-    cut = line_blocks.cut
-    monkeypatch.setattr(line_blocks, "cut", lambda weight, level: asked.append((weight, level)) or cut(weight, level))
+def test_sums_decide_on_given_pages(spark, monkeypatch):
+    """Without the sums, menus of the given pages stay; with them, only the article does."""
+    pages = [r[0] for r in spark.read.parquet(f"{SF_SMALL}/pages.parquet").select("html").collect()]
+    unmarked = [re.sub(r"<(/?)article>", r"<\1div>", p) for p in pages]
+    want = [article_of(p) for p in pages]
+    assert [main_text(p) for p in pages] == want and [main_text(p) for p in unmarked] == want
+    monkeypatch.setattr(line_blocks, "cut", lambda weight, level: [(0, len(weight), True)])
+    monkeypatch.setattr(line_blocks, "_whole_run", lambda found, a, b: (a, b))
+    monkeypatch.setattr(line_blocks.Line, "menu", False)
+    changed = [main_text(p) != w for p, w in zip(unmarked, want)]
+    assert all(changed)
+
+
+def test_links_of_marked_articles():
     page = ("<p>outside</p><article><h1>Head</h1><p>x</p><p><a href='u'>a link</a></p></article><ul><li>1<li>2<li>3</ul>"
             "<article><p>second</p></article>")
     assert main_text(page) == "Head\n\nx\n\na link\n\nsecond"
-    assert asked == [([0, 4, 1, 6, 0, 0, 0, 6], 1)]
+    inner = "".join(f"<li><a href='{i}'>part {i}</a></li>" for i in range(5))
+    for menu in (f"<ul>{inner}</ul>", f"<nav>{inner}</nav>", f'<div class="social-links">{inner}</div>'):
+        assert main_text(f"<article><h1>Head</h1><p>{PARAS[0]}</p>{menu}<p>{PARAS[1]}</p>{menu}</article>") == "\n\n".join(
+            ["Head", *PARAS[:2]])
+    assert main_text("<article><p><a href='x'>only a link</a></p></article>") == "only a link"
+
+
+AD = '<div class="advert"><p>' + prose(60, 30) + "</p></div>"
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<div><p>{PARAS[0]}</p></div>{AD}<div><p>The end.</p></div>", [PARAS[0], "The end."]),
+    (f"<div><p>{PARAS[0]}</p><p><a href='x'>Read the whole report</a></p></div>", [PARAS[0], "Read the whole report"]),
+    (f"<article><p>{PARAS[0]}</p><p><a href='x'>Read the whole report</a></p></article>", [PARAS[0], "Read the whole report"]),
+    (f"<div><p>{PARAS[0]}</p></div>{AD}<div><p>So it was.</p></div>{AD}<div><p>{PARAS[1]}</p></div>", [PARAS[0], "So it was.", PARAS[1]]),
+    (f'<article><div class="article-header"><h1>Title</h1></div><p>{PARAS[0]}</p></article>', ["Title", PARAS[0]]),
+    (f'<article><p>{PARAS[0]}</p><div class="social-history"><p>{PARAS[1]}</p></div></article>', PARAS[:2]),
+    (f'<div><div class="entry-header"><h1>Title</h1></div><p>{PARAS[0]}</p></div>', ["Title", PARAS[0]]),
+    (f'<div><p>{PARAS[0]}</p></div><div class="site-footer-2"><p>{PARAS[1]}</p></div>', PARAS[:1]),
+])
+def test_no_text_is_lost(page, want):
+    assert main_text(f"<html><body><nav>{MENU}</nav>{page}<footer><p>{PARAS[3]}</p></footer></body></html>") == "\n\n".join(want)
 
 
 @pytest.mark.parametrize("lengths", [[900, 900, 900, None, 350], [60, 6000, 500, 5000, 70, 120], [20, None, 6000, None, 15],
