@@ -377,85 +377,6 @@ def kernel_gram(df: DataFrame, feats: list[str], label: str, part_col: str, kern
     return out
 
 
-# ---------------------------------------------------------------- second-order boosting
-
-def gain_boost(df: DataFrame, feats: list[str], label: str, rounds: int = 10, depth: int = 3, eta: float = 0.3,
-               gamma: float = 0.0, lam: float = 1.0, subsample: float = 1.0, bins: int = 32, seed: int = 0):
-    """Second-order gradient boosting for squared loss: a split must gain more than ``gamma``, where
-    gain = (GL^2 / (HL + lam) + GR^2 / (HR + lam) - G^2 / (H + lam)) / 2, and a leaf is -G / (H + lam).
-
-    Features are cut at their exact quantiles; each tree level is ONE aggregate of gradient sums by
-    (node, feature, bin), at most 2^depth * features * bins rows for the driver, which picks the
-    splits.  Rows of a round are a seeded hash sample.  Returns (base score, list of trees), a tree
-    being nested (feature, cut, left, right) or a leaf value."""
-    from kestrel.operators.order import exact_quantiles
-    probs = [i / bins for i in range(1, bins)]
-    cuts = {r["column"]: sorted({r[f"q{i}"] for i in range(len(probs))})
-            for r in exact_quantiles(df, [], feats, probs).collect()}
-    # bin i holds cuts[i - 1] < x <= cuts[i]
-    d = df.select(*feats, label).dropna().withColumns({f"_b{j}": sum((
-        (F.col(c) > q).cast("int") for q in cuts.get(c, [])), F.lit(0)) for j, c in enumerate(feats)})
-    d = cut_lineage(d.withColumn("_key", F.xxhash64(F.lit(seed), *feats, label)))
-    base = d.agg(F.avg(label)).first()[0] or 0.0
-    pred, trees = F.lit(float(base)), []
-    for m in range(rounds):
-        g = (pred - F.col(label)).alias("_g")
-        part = d.select("*", g)
-        if subsample < 1.0:
-            part = part.where(F.pmod(F.xxhash64(F.lit(m), "_key"), F.lit(1000)) < int(subsample * 1000))
-        nodes: dict[int, object] = {1: None}  # heap numbering; None: open
-        splits: dict[int, tuple] = {}
-        for _ in range(depth + 1):
-            at = F.lit(1)
-            for node in sorted(splits):
-                j, b = splits[node]
-                at = F.when(at == node, F.when(F.col(f"_b{j}") <= b, 2 * node).otherwise(2 * node + 1)).otherwise(at)
-            cells = F.inline(F.array(*[F.struct(F.lit(j).alias("f"), F.col(f"_b{j}").alias("b")) for j in range(len(feats))]))
-            sums = part.select(at.alias("node"), "_g", cells).groupBy("node", "f", "b").agg(
-                F.sum("_g").alias("g"), F.count(F.lit(1)).alias("h")).collect()
-            table = np.zeros((len(feats), bins + 1, 2))
-            opened = False
-            for node in [n for n, v in nodes.items() if v is None]:
-                table[:] = 0
-                for r in sums:
-                    if r["node"] == node:
-                        table[r["f"], r["b"]] = r["g"], r["h"]
-                tot = table[0].sum(axis=0)
-                left = np.cumsum(table, axis=1)[:, :-1]
-                right = tot - left
-                gain = (left[..., 0] ** 2 / (left[..., 1] + lam) + right[..., 0] ** 2 / (right[..., 1] + lam)
-                        - tot[0] ** 2 / (tot[1] + lam)) / 2
-                gain[(left[..., 1] == 0) | (right[..., 1] == 0)] = -np.inf
-                j, b = np.unravel_index(int(np.argmax(gain)), gain.shape)
-                nodes[node] = -eta * tot[0] / (tot[1] + lam)
-                if node < 1 << depth and gain[j, b] > gamma:
-                    splits[node] = (int(j), int(b))
-                    nodes[2 * node] = nodes[2 * node + 1] = None
-                    opened = True
-            if not opened:
-                break
-
-        def build(node):
-            if node not in splits:
-                return float(nodes[node])
-            j, b = splits[node]
-            return feats[j], cuts[feats[j]][b], build(2 * node), build(2 * node + 1)
-        trees.append(build(1))
-        pred = pred + tree_value(trees[-1])
-        if m % 5 == 4 and m + 1 < rounds:  # keep the expression short
-            d = cut_lineage(d.withColumn("_pred", pred))
-            pred = F.col("_pred")
-    return float(base), trees
-
-
-def tree_value(tree):
-    """Column of a tree of ``gain_boost``."""
-    if not isinstance(tree, tuple):
-        return F.lit(tree)
-    c, cut, left, right = tree
-    return F.when(F.col(c) <= cut, tree_value(left)).otherwise(tree_value(right))
-
-
 # ---------------------------------------------------------------- Gaussian NB / QDA
 
 def gaussian_nb(df: DataFrame, feats: list[str], label: str, var_smoothing: float = 1e-9) -> DataFrame:

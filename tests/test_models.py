@@ -180,49 +180,6 @@ def test_scaling_uses_the_train_rows(spark):
     assert [r.x for r in z] == [-1.0, 1.0, 7.0]
 
 
-def test_gain_boost_first_tree_and_penalty(spark):
-    """The root split is the best of all cuts by the gain formula; a large gamma leaves a single leaf."""
-    r = np.random.default_rng(7)
-    x = r.integers(0, 12, size=(200, 2)).astype(float)
-    y = np.where(x[:, 0] > 4, 3.0, -1.0) + 0.3 * x[:, 1] + r.normal(scale=0.1, size=200)
-    df = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y": y}))
-    base, trees = md.gain_boost(df, ["a", "b"], "y", rounds=6, depth=2, eta=0.5)
-    g = base - y
-
-    def gain(j, cut):
-        left = x[:, j] <= cut
-        if left.all() or not left.any():
-            return -math.inf
-        return sum(g[m].sum() ** 2 / (m.sum() + 1) for m in (left, ~left)) / 2 - g.sum() ** 2 / 201 / 2
-    c, cut, _, _ = trees[0]
-    best = max(((gain(j, q), j, q) for j in range(2) for q in sorted(set(x[:, j]))))
-    assert c == "ab"[best[1]] and math.isclose(gain("ab".index(c), cut), best[0])
-    p = sum((md.tree_value(t) for t in trees), F.lit(base))
-    r2 = mt.regression_metrics(df.withColumn("p", p), "y", "p").first()["r2"]
-    assert r2 > 0.9
-    _, flat = md.gain_boost(df, ["a", "b"], "y", rounds=1, gamma=1e9)
-    assert not isinstance(flat[0], tuple)
-
-
-def test_xgb_query_runs_all_rounds_of_the_operator(spark, monkeypatch):
-    import inspect
-
-    from conftest import SF_SMALL
-    from kestrel.plans import q_models
-
-    asked = []
-
-    def boost(*args, **kw):
-        got = inspect.signature(gain_boost).bind(*args, **kw)
-        got.apply_defaults()
-        asked.append(got.arguments["rounds"])
-        return 0.0, [0.0] * asked[-1]
-    gain_boost = md.gain_boost
-    monkeypatch.setattr(md, "gain_boost", boost)
-    rows = q_models.q_xgb(spark, SF_SMALL).collect()
-    assert asked == [10, 10] and [r.trees for r in rows] == [10, 10]
-
-
 def test_kernel_sums(spark, rows):
     """The polynomial features reproduce the kernel, and the sums equal numpy's."""
     x = rows.toPandas()
