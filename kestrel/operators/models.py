@@ -10,6 +10,7 @@ moments + a scoring expression).
 
 from __future__ import annotations
 
+import functools
 import math
 
 import numpy as np
@@ -36,41 +37,66 @@ def assemble(df: DataFrame, feats: list[str], out: str = "features") -> DataFram
 # ---------------------------------------------------------------- registry
 
 def regressor_zoo(label: str = "label") -> dict:
-    """name -> (estimator, parameter grid)."""
-    lr = LinearRegression(labelCol=label, maxIter=10)
-    lasso = LinearRegression(labelCol=label, elasticNetParam=1.0, standardization=False)
+    """name -> (estimator, parameter grid) of the regressors that are fitted one by one."""
     dt = DecisionTreeRegressor(labelCol=label, seed=0)
-    rf = RandomForestRegressor(labelCol=label, seed=0)
-    gbt = GBTRegressor(labelCol=label, seed=0)
-    return {
-        "linear": (lr, ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.3]).addGrid(lr.elasticNetParam, [0.0, 0.8])
-                   .build()),
-        "lasso": (lasso, ParamGridBuilder().addGrid(lasso.regParam, [0.01, 0.1, 1.0]).build()),
-        "tree": (dt, ParamGridBuilder().addGrid(dt.maxDepth, [3, 5]).build()),
-        "forest": (rf, ParamGridBuilder().addGrid(rf.numTrees, [10]).addGrid(rf.maxDepth, [5])
-                   .addGrid(rf.minWeightFractionPerNode, [0.0, 0.1]).build()),
-        "boosting": (gbt, ParamGridBuilder().addGrid(gbt.maxIter, [10]).addGrid(gbt.stepSize, [0.1])
-                     .addGrid(gbt.maxDepth, [3]).build()),
-    }
+    return {"tree": (dt, ParamGridBuilder().addGrid(dt.maxDepth, [3, 5]).build())}
 
 
 def classifier_zoo(label: str = "label") -> dict:
+    """name -> (estimator, parameter grid) of the classifiers that are fitted one by one."""
     lr = LogisticRegression(labelCol=label, maxIter=10)
     dt = DecisionTreeClassifier(labelCol=label, maxDepth=5, seed=0)
-    rf = RandomForestClassifier(labelCol=label, seed=0)
-    gbt = GBTClassifier(labelCol=label, seed=0)
     svc = LinearSVC(labelCol=label, standardization=False, maxIter=20)
     nb = NaiveBayes(labelCol=label, modelType="gaussian")
     return {
         "logistic": (lr, ParamGridBuilder().addGrid(lr.regParam, [0.01, 0.1]).build()),
         "tree": (dt, ParamGridBuilder().build()),
-        "forest": (rf, ParamGridBuilder().addGrid(rf.numTrees, [10]).addGrid(rf.maxDepth, [5]).build()),
-        "boosting": (gbt, ParamGridBuilder().addGrid(gbt.maxIter, [10]).addGrid(gbt.maxDepth, [3]).build()),
         "linear_svc": (svc, ParamGridBuilder().addGrid(svc.regParam, [0.01]).build()),
         "naive_bayes": (nb, ParamGridBuilder().build()),
     }
 
 
+def gram_search(folds: list[dict], test: dict, points: list[tuple[str, object]], score) -> list[tuple]:
+    """Search rows (kind, grid_id, params, fold, score) of models fitted on Gram sums alone.
+
+    ``points``: (params, fit from sums); ``score(sums, coefficients)`` is larger for better fits."""
+    from kestrel.operators import linear
+    total = functools.reduce(linear.add, folds)
+    rows, means = [], []
+    for g, (params, fit) in enumerate(points):
+        cv = [score(own, fit(linear.add(total, own, -1.0))) for own in folds]
+        means.append(float(np.mean(cv)))
+        rows += [("fold", g, params, f, float(v)) for f, v in enumerate(cv)] + [("mean", g, params, None, means[-1])]
+    best = int(np.argmax(means))
+    w = points[best][1](total)
+    return rows + [("train", best, points[best][0], None, float(score(total, w))),
+                   ("test", best, points[best][0], None, float(score(test, w)))]
+
+
+def tree_search(train: DataFrame, test: DataFrame, feats: list[str], label: str, points: list, rounds: list[int],
+                fold_col: str, folds: int, **options) -> list[tuple]:
+    """Search rows (kind, grid_id, params, fold, score) of forests or boosting: every number of trees in
+    ``rounds`` is a prefix of one fit, and all points and folds grow together."""
+    from kestrel.operators import boosting as bo
+    found, final, n = bo.search(train, feats, label, points, rounds, fold_col, folds, **options)
+    rows = []
+    for g, (p, r, own, mean) in enumerate(found):
+        params = ", ".join(f"{k}={v}" for k, v in sorted({**vars(p), "trees": r}.items()))
+        rows += [("fold", g, params, f, float(v)) for f, v in enumerate(own)] + [("mean", g, params, None, mean)]
+    best = max(range(len(found)), key=lambda i: found[i][3])
+    params = next(x[2] for x in rows if x[0] == "mean" and x[1] == best)
+    p = final.column(final.fits[0], n)
+    for kind, part in (("train", train), ("test", test)):
+        d = part.select(F.col(label).cast("double").alias("_y"), p.alias("_p"))
+        if options.get("metric") == "accuracy":
+            cut = 0.0 if options.get("loss") == "logistic" else 0.5
+            score = F.avg(((F.col("_p") > cut) == (F.col("_y") > 0.5)).cast("double"))
+        else:
+            score = 1 - F.sum((F.col("_y") - F.col("_p")) ** 2) / (F.var_pop("_y") * F.count("_y"))
+        rows.append((kind, best, params, None, float(d.agg(score).first()[0])))
+    return rows
+
+
 def cross_validate(est, grid, df: DataFrame, evaluator: Evaluator, fold_col: str | None = None,
                    k: int = 5, parallelism: int = 4, seed: int = 0):
     """k-fold CV (deterministic folds when ``fold_col`` is given), mean score, refit best."""
@@ -189,7 +215,7 @@ def svr_fit(df: DataFrame, feats: list[str], label: str, grid: list[tuple[str, f
 
 # ---------------------------------------------------------------- search
 
-def model_search(train: DataFrame, test: DataFrame, zoo: dict, score, k: int = 3, fold_col: str = "fold",
+def model_search(train: DataFrame, test: DataFrame, zoo: dict, score, k: int = 5, fold_col: str = "fold",
                  threads: int = 4) -> list[tuple]:
     """k-fold search over every point of the grids in ``zoo``, refit of the best point, and
     scores on train and held-out rows.

@@ -68,10 +68,10 @@ def q_src_panel(spark, d):
 
 @register("src_npy", sql=with_views("SELECT id, points FROM points", ["points"]))
 def q_src_npy(spark, d):
-    """Per-id arrays land as one Parquet row per id (array<array<double>>)."""
-    p = fl.scratch_path(spark, "clouds")
-    fx.points(spark, d).select("id", "points").write.mode("overwrite").parquet(p)
-    return spark.read.parquet(p)
+    """One array file per id, read back with its header checked."""
+    from kestrel.sources import keyed_files as kf
+    p = kf.write_arrays(fx.points(spark, d), "id", "points", fl.scratch_path(spark, "clouds"))
+    return kf.read_arrays(spark, p, columns=4).select(F.col("key").cast("long").alias("id"), F.col("rows").alias("points"))
 
 
 @register("src_cached_convert", sql=with_views("SELECT * FROM transactions", ["transactions"]))
@@ -168,10 +168,16 @@ def q_snk_ids(spark, d):
                                                         "ELSE s END AS slug FROM (SELECT page_id, pos, href, replace(replace(replace(name, "
                                                         "' ', '_'), '/', '_'), ',', '') AS s FROM page_items)")]))
 def q_file_per_row(spark, d):
+    """One file per item name, named by it; an item's rows are the file's lines."""
     from kestrel.functions.scalar import slug
+    from kestrel.sources import keyed_files as kf
     items = fx.page_items(spark, d).select(slug(F.col("name")).alias("slug"), "page_id", "pos", "href")
-    p = fl.write_per_key(items, "slug", fl.scratch_path(spark, "per-row"))
-    return fl.read_per_key(spark, p, items.schema, "slug")
+    line = F.concat(F.to_json(F.struct("page_id", "pos", "href")), F.lit("\n"))
+    p = kf.write_keyed(items.withColumn("line", line), "slug", "line", fl.scratch_path(spark, "per-row"), ".jsonl", ["page_id", "pos"])
+    rows = kf.read_keyed(spark, p, ".jsonl").select(F.col("key").alias("slug"), F.explode(
+        F.split(F.rtrim(F.decode("content", "utf-8"), F.lit("\n")), "\n")).alias("line"))
+    shape = items.select("page_id", "pos", "href").schema
+    return rows.select("slug", F.inline(F.array(F.from_json("line", shape))))
 
 
 @register("snk_array_per_id", sql=with_views("""

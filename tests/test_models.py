@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 from kestrel.operators import encode, linear, metrics as mt, models as md
@@ -98,11 +99,13 @@ def test_knn_merges_blocks_and_has_no_bound_of_its_own(spark):
 def test_search_visits_every_point_and_fold(rows):
     df = md.assemble(rows, NAMES).withColumnRenamed("y", "label").select("features", "label", "fold")
     train, test = df, df.where("fold = 0")
-    zoo = {k: v for k, v in md.regressor_zoo().items() if k in ("linear", "tree")}
+    lr = LinearRegression(labelCol="label", maxIter=10)
+    zoo = {**md.regressor_zoo(), "linear": (lr, ParamGridBuilder().addGrid(lr.regParam, [0.0, 0.3]).addGrid(
+        lr.elasticNetParam, [0.0, 0.8]).build())}
 
     def r2(model, part):
         return mt.regression_metrics(model.transform(part), "label", "prediction").first()["r2"]
-    got = md.model_search(train, test, zoo, r2)
+    got = md.model_search(train, test, zoo, r2, k=3)
     for name, (_, grid) in zoo.items():
         folds = {(g, f): s for m, kind, g, _, f, s in got if m == name and kind == "fold"}
         means = {g: s for m, kind, g, _, _, s in got if m == name and kind == "mean"}
@@ -119,6 +122,11 @@ def test_search_visits_every_point_and_fold(rows):
     plain = next(g for g, p in enumerate(zoo["linear"][1]) if all(v == 0.0 for v in p.values()))
     assert math.isclose(next(s for m, k, g, _, f, s in got if (m, k, g, f) == ("linear", "fold", plain, 1)), want, abs_tol=1e-6)
     assert all(", ".join(sorted(p.split(", "))) == p for *_, p, _, _ in got)
+    sums = {r["fold"]: linear.unpack_gram(r, 3) for r in linear.gram_sums(rows, ["fold"], NAMES, "y").collect()}
+    points = [("plain", lambda g: md.elastic_net(g, 0.0, 0.0)), ("none", lambda g: np.zeros(4))]
+    own = md.gram_search([sums[f] for f in range(3)], sums[0], points, linear.r2_with_intercept)
+    assert math.isclose(next(v for k, g, _, f, v in own if (k, g, f) == ("fold", 0, 1)), want, abs_tol=1e-6)
+    assert [(k, g) for k, g, *_ in own[-2:]] == [("train", 0), ("test", 0)]
 
 
 def test_boosted_trees_predict_better_than_one(spark, rows):
