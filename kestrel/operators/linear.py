@@ -128,3 +128,63 @@ def ridge_cv_from_folds(folds: dict[int, dict], alphas=RIDGE_ALPHAS) -> tuple[fl
         scores.append(float(np.mean(rs)))
     best = int(np.nanargmax(scores)) if not all(np.isnan(scores)) else 0
     return alphas[best], ridge_solve(total, alphas[best]), scores
+
+
+# ---------------------------------------------------------------- least-angle path
+
+def lars_path(g: dict) -> tuple[np.ndarray, np.ndarray]:
+    """(alphas, slopes) at the knots of the lasso path of mean(err^2) / 2 + alpha * |w|_1 with a free
+    intercept: least-angle steps on centred sums, a feature leaves where its slope meets zero
+    (Efron et al. 2004).  Alphas fall from the first knot, where all slopes are zero, to 0;
+    slopes are linear between knots.  A feature that depends on active ones never enters."""
+    n, xs = g["n"], g["xs"]
+    xx = g["xx"] / n - np.outer(xs, xs) / n ** 2
+    xy = g["xy"] / n - xs * g["sy"] / n ** 2
+    k = len(xs)
+    w, active, barred = np.zeros(k), [], set(np.flatnonzero(np.diag(xx) <= 0).tolist())
+    left = None  # the feature that has just left
+    top = float(np.abs(xy[[j for j in range(k) if j not in barred]]).max(initial=0.0))
+    alphas, slopes = [top], [w.copy()]
+    alpha = top
+    while alpha > 0:
+        c = xy - xx @ w
+        for j in sorted(set(range(k)) - set(active) - barred, key=lambda j: -abs(c[j])):
+            if j != left and abs(c[j]) >= alpha * (1 - 1e-10):
+                block = xx[np.ix_(active, active)]
+                rest = xx[j, j] - (xx[j, active] @ np.linalg.solve(block, xx[active, j]) if active else 0.0)
+                if rest <= 1e-12 * xx[j, j]:
+                    barred.add(j)
+                else:
+                    active.append(j)
+        left = None
+        if not active:
+            break
+        sign = np.sign(c[active])
+        step = np.linalg.solve(xx[np.ix_(active, active)], sign)  # slopes per unit of alpha
+        fall = xx[:, active] @ step  # change of correlations
+        size, leaving = alpha, None
+        for j in set(range(k)) - set(active) - barred:
+            for side in (1.0, -1.0):
+                if 1 - side * fall[j] > 1e-14:
+                    d = (alpha - side * c[j]) / (1 - side * fall[j])
+                    if 1e-14 * top < d < size:
+                        size, leaving = d, None
+        for i, j in enumerate(active):
+            if w[j] * step[i] < 0 and -w[j] / step[i] < size:
+                size, leaving = -w[j] / step[i], j
+        w[active] += size * step
+        alpha = alpha - size if alpha - size > 1e-13 * top else 0.0
+        if leaving is not None:
+            w[leaving] = 0.0
+            active.remove(leaving)
+            left = leaving
+        alphas.append(alpha)
+        slopes.append(w.copy())
+    return np.array(alphas), np.array(slopes)
+
+
+def at_alpha(g: dict, path: tuple[np.ndarray, np.ndarray], alpha: float) -> np.ndarray:
+    """(intercept, slopes) of a path at ``alpha``."""
+    alphas, slopes = path
+    w = np.array([np.interp(alpha, alphas[::-1], s[::-1]) for s in slopes.T])
+    return np.concatenate([[(g["sy"] - w @ g["xs"]) / g["n"]], w])

@@ -140,7 +140,9 @@ def var_gram(var_in: DataFrame, p: int, cols=VAR_ORDER) -> tuple[np.ndarray, np.
 
 def var_fit(var_in: DataFrame, p: int, cols=VAR_ORDER) -> dict:
     """OLS per equation from the Gram sums; ML residual covariance; AIC/BIC/HQC
-    (Lütkepohl 2005): ld + c(n) * free, free = K*K*p + K."""
+    (Lütkepohl 2005): ld + c(n) * free, free = K*K*p + K.  ``stderr`` and ``t`` belong to ``coef``:
+    residual covariance over n - K*p - 1 degrees of freedom and the inverse of X'X; null matrices (NaN)
+    without degrees of freedom."""
     xx, xy, yy, n = var_gram(var_in, p, cols)
     K = len(cols)
     coef = np.linalg.lstsq(xx, xy, rcond=None)[0]
@@ -148,7 +150,12 @@ def var_fit(var_in: DataFrame, p: int, cols=VAR_ORDER) -> dict:
     sigma = sse / n
     sign, ld = np.linalg.slogdet(sigma)
     free = K * K * p + K
-    return dict(p=p, n=n, coef=coef, sigma=sigma, aic=ld + 2.0 * free / n,
+    rest = n - len(xx)
+    spread = np.maximum(np.outer(np.diag(np.linalg.pinv(xx)), np.diag(sse)), 0)
+    stderr = np.sqrt(spread / rest) if rest > 0 else np.full(coef.shape, np.nan)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        t = coef / stderr
+    return dict(p=p, stderr=stderr, t=t, n=n, coef=coef, sigma=sigma, aic=ld + 2.0 * free / n,
                 bic=ld + np.log(n) * free / n, hqic=ld + 2.0 * np.log(np.log(n)) * free / n)
 
 

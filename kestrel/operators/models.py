@@ -423,25 +423,44 @@ def gaussian_nb(df: DataFrame, feats: list[str], label: str, var_smoothing: floa
     return df.withColumn("prediction", best["k"])
 
 
-def qda_2d(df: DataFrame, f1: str, f2: str, label: str) -> DataFrame:
-    """Quadratic discriminant on two features: per-class mean and covariance
-    (sample, ddof 1) in one groupBy, 2 x 2 inverse in closed form; scoring is a
-    column expression."""
-    mom = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"), F.avg(f1).alias("_m1"), F.avg(f2).alias("_m2"),
-                                F.var_samp(f1).alias("_v1"), F.var_samp(f2).alias("_v2"),
-                                F.covar_samp(f1, f2).alias("_c")).collect()
-    total = sum(r["_n"] for r in mom)
+def qda(df: DataFrame, feats: list[str], label: str) -> DataFrame:
+    """Quadratic discriminant: per-class prior, mean and covariance (sample, ddof 1) from one aggregate of
+    outer products, a Cholesky factor per class, scores by its inverse as column expressions.
+
+    A class whose covariance is singular (or has one row) gets 1e-9 of its mean variance, ten times more
+    until a factor exists, on the diagonal; without any variance, 1e-9.  Rows with a null
+    feature have a null prediction, and class labels that are null are left out."""
+    from kestrel.operators.linear import gram_sums, unpack_gram
+    k = len(feats)
+    centre = df.agg(*[F.coalesce(F.avg(c), F.lit(0.0)) for c in feats]).first()  # against cancellation
+    moved = df.dropna(subset=[*feats, label]).select(F.col(label).alias("_y"), F.lit(0.0).alias("_t"), *[
+        (F.col(c) - F.lit(float(m))).alias(f"_x{i}") for i, (c, m) in enumerate(zip(feats, centre))])
+    sums = gram_sums(moved, ["_y"], [f"_x{i}" for i in range(k)], "_t").collect()
+    total = sum(r["n"] for r in sums)
     scores = []
-    for r in mom:
-        a, b, c = r["_v1"], r["_c"], r["_v2"]
-        det = a * c - b * b
-        i11, i12, i22 = c / det, -b / det, a / det
-        d1, d2 = F.col(f1) - F.lit(r["_m1"]), F.col(f2) - F.lit(r["_m2"])
-        s = (F.lit(math.log(r["_n"] / total) - 0.5 * math.log(det))
-             - 0.5 * (d1 * d1 * i11 + 2 * d1 * d2 * i12 + d2 * d2 * i22))
-        scores.append(F.struct(s.alias("s"), F.lit(r[label]).alias("k")))
+    for r in sorted(sums, key=lambda r: r["_y"]):
+        g = unpack_gram(r, k)
+        mean = g["xs"] / g["n"]
+        cov = (g["xx"] - np.outer(mean, mean) * g["n"]) / max(g["n"] - 1, 1)
+        more, unit = 0.0, float(np.trace(cov)) / k or 1.0
+        while True:
+            try:
+                factor = np.linalg.cholesky(cov + more * unit * np.eye(k))
+                if np.diag(factor).min() > 1e-8 * math.sqrt(unit):
+                    break
+            except np.linalg.LinAlgError:
+                pass
+            more = more * 10 or 1e-9
+        inverse = np.linalg.inv(factor)
+        x = [F.col(c) - F.lit(float(centre[i] + mean[i])) for i, c in enumerate(feats)]
+        z = [sum((x[i] * float(inverse[j, i]) for i in range(j + 1)), F.lit(0.0)) for j in range(k)]
+        s = F.lit(math.log(g["n"] / total) - float(np.log(np.diag(factor)).sum())) - 0.5 * sum((v * v for v in z), F.lit(0.0))
+        scores.append(F.struct(s.alias("s"), F.lit(r["_y"]).alias("k")))
+    if not scores:
+        return df.withColumn("prediction", F.lit(None).cast(df.schema[label].dataType))
     best = F.reduce(F.array(*scores[1:]), scores[0], lambda acc, x: F.when(x["s"] > acc["s"], x).otherwise(acc))
-    return df.withColumn("prediction", best["k"])
+    known = functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in feats])
+    return df.withColumn("prediction", F.when(known, best["k"]))
 
 
 # ---------------------------------------------------------------- evaluator

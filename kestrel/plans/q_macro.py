@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from kestrel.operators import macro as mc
@@ -122,8 +123,8 @@ def q_var_sums(spark, d):
 @register("mdl_var")
 def q_var(spark, d):
     """Lag-order table (AIC/BIC/HQC, p = 0..10; an order with more coefficients than the sample
-    carries is listed as such) + 2-step forecast of the VAR(3) fit and its coefficients, from Gram
-    sums (small matrices) solved on the driver."""
+    carries is listed as such) + 2-step forecast of the VAR(3) fit, its coefficients, their standard errors
+    and t values, from Gram sums (small matrices) solved on the driver."""
     vin = mc.var_input(fx.macro_series(spark, d)).cache()
     n_rows = vin.count()
     K = len(VARS)
@@ -142,6 +143,9 @@ def q_var(spark, d):
         for i, line in enumerate(fit["coef"]):
             for name, v in zip(VARS, line):
                 rows.append((f"coef_{name}", 3, i, None, None, None, float(v)))
+        for kind in ("stderr", "t"):
+            for i, line in enumerate(fit[kind]):
+                rows += [(f"{kind}_{name}", 3, i, None, None, None, float(v) if np.isfinite(v) else None) for name, v in zip(VARS, line)]
     else:
         rows.append(("forecast_too_short_sample", 3, n_rows, None, None, None, None))
     vin.unpersist()

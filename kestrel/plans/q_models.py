@@ -96,7 +96,8 @@ LASSO_ALPHAS = [1e-4, 1e-3, 0.01, 0.1, 1.0]
 
 @register("mdl_lasso")
 def q_lasso(spark, d):
-    """Lasso over five penalties: 5-fold held-out r2, r2 on the test rows and the coefficients."""
+    """Lasso over five penalties, read off the least-angle path of each fold and of all rows: 5-fold held-out r2,
+    r2 on the test rows and the coefficients; and the knots of the path of all rows (null scores)."""
     z = [f"{c}_z" for c in FEATS]
     tr, te = _scaled(spark, d)
     folds = {r["fold"]: linear.unpack_gram(r, len(z)) for r in linear.gram_sums(tr, ["fold"], z, "label_z").collect()}
@@ -104,12 +105,15 @@ def q_lasso(spark, d):
     total = None
     for g in folds.values():
         total = g if total is None else linear.add(total, g)
+    rest = [linear.add(total, g, -1.0) for g in folds.values()]
+    paths, whole = [linear.lars_path(g) for g in rest], linear.lars_path(total)
     rows = []
     for a in LASSO_ALPHAS:
-        cv = [linear.r2_with_intercept(g, md.elastic_net(linear.add(total, g, -1.0), a, 1.0)) for g in folds.values()]
-        w = md.elastic_net(total, a, 1.0)
-        rows.append((a, float(sum(cv) / len(cv)), linear.r2_with_intercept(test, w), [float(x) for x in w]))
-    return spark.createDataFrame(rows, "alpha double, cv_r2 double, test_r2 double, coef array<double>")
+        cv = [linear.r2_with_intercept(g, linear.at_alpha(r, p, a)) for g, r, p in zip(folds.values(), rest, paths)]
+        w = linear.at_alpha(total, whole, a)
+        rows.append(("grid", a, float(sum(cv) / len(cv)), linear.r2_with_intercept(test, w), [float(x) for x in w]))
+    rows += [("knot", float(a), None, None, [float(x) for x in linear.at_alpha(total, whole, a)]) for a in whole[0]]
+    return spark.createDataFrame(rows, "kind string, alpha double, cv_r2 double, test_r2 double, coef array<double>")
 
 
 # The penalty and regularisation grids of the two fits.
@@ -149,7 +153,7 @@ def q_sgd(spark, d):
 @register("mdl_svr_linear")
 def q_svr(spark, d):
     """Linear support vector regression, 8 grid points: objective, gradient norm at the end
-    and coefficients on the scaled train rows, mean squared error on the test rows."""
+    and coefficients on the scaled train rows, r2 on the test rows."""
     z = [f"{c}_z" for c in FEATS]
     tr, te = _scaled(spark, d)
     fits = md.svr_fit(tr, z, "label_z", SVR_GRID)
@@ -304,27 +308,45 @@ def q_svc(spark, d):
 
 @register("cal_platt")
 def q_platt(spark, d):
-    """Platt scaling: logistic regression on the SVM margin."""
-    tr, te = _split(_cls(spark, d))
-    svm = LinearSVC(labelCol="y", regParam=0.01, maxIter=50).fit(tr)
-    marg = lambda df: svm.transform(df).select("y", vector_to_array("rawPrediction")[1].alias("m"))
-    cal = LogisticRegression(labelCol="y", maxIter=50).fit(md.assemble(marg(tr), ["m"]))
-    p = cal.transform(md.assemble(marg(te), ["m"]))
-    return p.select("y", "m", vector_to_array("probability")[1].alias("p1"))
+    """Platt scaling of the SVM margin: the sigmoid is fitted on margins of rows the SVM has not seen (5 folds),
+    and applied to the test rows' margins of the SVM of all train rows."""
+    from kestrel.operators import calibration as cal, svm
+    tr, te, z = _zoo_parts(spark, d, True)
+    tr = cut_lineage(tr.select("fold", "y", *z))
+    fits = svm.Svm(tr, z, "y", {"linear": svm.linear}, [1.0], "fold", [-1, *range(5)])
+    a, b = cal.platt(fits.margins(tr, "linear", 1.0, "fold"), "margin", "y")
+    test = fits.margins(te.select("y", *z), "linear", 1.0).withColumnRenamed("margin", "m")
+    return test.select("y", "m", cal.sigmoid(F.col("m"), a, b).alias("p1"))
+
+
+SVC_CS = [0.025, 0.5, 1.0]
 
 
 @register("mdl_kernel_approx")
-def q_kernel(spark, d):
-    from kestrel.operators.encode import zscore
-    c = _cls(spark, d)
-    z = zscore(c, CLS_FEATS, fit_on=c.where("split = 'train'"), suffix="_z")
-    f = md.random_fourier(z, [x + "_z" for x in CLS_FEATS], n_components=40, gamma=0.5, out="features_rff")
-    tr, te = _split(f)
-    m = LinearSVC(labelCol="y", featuresCol="features_rff", regParam=0.01, maxIter=50).fit(tr)
-    return _cls_scores(spark, "rff_svc", m, te)
+def q_kernel_approx(spark, d):
+    """Support vector classification with linear, polynomial (degree 3) and RBF kernels by explicit features and
+    three C: accuracy on each of 5 held-out folds, its mean, and on the test rows for the fit on all train rows."""
+    from kestrel.operators import svm
+    tr, te, z = _zoo_parts(spark, d, True)
+    tr, te = cut_lineage(tr.select("fold", "y", *z)), cut_lineage(te.select("y", *z))
+    gamma = 1 / len(z)
+    maps = {"linear": svm.linear, "poly": svm.tensor_sketch(len(z), gamma, 3, 64),
+            "rbf": svm.nystroem(svm.bounded_sample(tr, z), gamma, 64)}
+    fits = svm.Svm(tr, z, "y", maps, SVC_CS, "fold", [-1, *range(5)])
+    right = ((F.col("margin") > 0) == (F.col("y") > 0.5)).cast("double")
+    rows = []
+    for kernel in maps:
+        for c in SVC_CS:
+            own = {r[0]: r[1] for r in fits.margins(tr, kernel, c, "fold").groupBy("fold").agg(F.avg(right)).collect()}
+            cv = [float(own[f]) for f in sorted(own)]
+            test = fits.margins(te, kernel, c).agg(F.avg(right)).first()[0]
+            rows.append((kernel, c, cv, float(sum(cv) / len(cv)), float(test), fits.gradient[kernel, c, -1]))
+    best = max(rows, key=lambda r: r[3])
+    return spark.createDataFrame([(*r, r is best) for r in rows],
+                                 "kernel string, c double, fold_accuracy array<double>, cv_accuracy double, test_accuracy double, "
+                                 "gradient double, best boolean")
 
 
-# The parameter grid of the kernel fits.
 KERNELS = [("linear", 1.0), *[(k, g) for k in ("poly", "rbf") for g in (0.01, 0.1, 1.0, 10.0)]]
 KERNEL_ALPHAS = [1e-4, 1e-2, 0.1, 1.0]
 
@@ -376,23 +398,35 @@ def q_nb(spark, d):
     return p.groupBy("y", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("mdl_qda", sql=with_views("""
-SELECT y, prediction, count(*) AS n
-FROM (SELECT c.y, (SELECT m.y FROM mom m ORDER BY ln(m.n / m.total) - 0.5 * ln(m.v1 * m.v2 - m.cov * m.cov)
-        - 0.5 * ((c.label - m.m1) ** 2 * m.v2 - 2 * (c.label - m.m1) * (c.p_retailprice - m.m2) * m.cov
-                 + (c.p_retailprice - m.m2) ** 2 * m.v1) / (m.v1 * m.v2 - m.cov * m.cov) DESC LIMIT 1) AS prediction
-      FROM cls c) GROUP BY 1, 2""", ["reg_table"], [CLS_VIEW, (
-    "mom", "SELECT *, sum(n) OVER () AS total FROM (SELECT y, count(*) AS n, avg(label) AS m1, avg(p_retailprice) AS m2, "
-           "var_samp(label) AS v1, var_samp(p_retailprice) AS v2, covar_samp(label, p_retailprice) AS cov "
-           "FROM cls GROUP BY y)")]))
+def _qda_sql(feats: list[str]) -> str:
+    """Confusion counts of the discriminant: Cholesky factors and substitution written out."""
+    k = len(feats)
+    mom = ", ".join([f"avg({c}) AS m{i}" for i, c in enumerate(feats)] + [
+        f"covar_samp({feats[i]}, {feats[j]}) AS c{i}{j}" for i in range(k) for j in range(i + 1)])
+
+    def less(i, j):
+        return "".join(f" - l{i}{m} * l{j}{m}" for m in range(j))
+    factor = ", ".join([f"sqrt(c{i}{i}{less(i, i)}) AS l{i}{i}" if i == j else f"(c{i}{j}{less(i, j)}) / l{j}{j} AS l{i}{j}"
+                        for i in range(k) for j in range(i + 1)])
+    solved = ", ".join(f"({c} - m{j}" + "".join(f" - l{j}{i} * z{i}" for i in range(j)) + f") / l{j}{j} AS z{j}"
+                       for j, c in enumerate(feats))
+    score = "ln(n / total)" + "".join(f" - ln(l{j}{j}) - 0.5 * z{j} * z{j}" for j in range(k))
+    return with_views(f"""
+SELECT y, prediction, count(*) AS n FROM (SELECT any_value(y) AS y, arg_max(k, score) AS prediction FROM (
+    SELECT rid, cls.y, f.y AS k, {solved}, {score} AS score FROM cls, f) GROUP BY rid) GROUP BY 1, 2""", ["reg_table"], [
+        ("cls", "SELECT *, row_number() OVER () AS rid, CASE WHEN l_quantity >= 25 THEN 1.0 ELSE 0.0 END AS y FROM reg_table"),
+        ("mom", f"SELECT y, count(*) AS n, sum(count(*)) OVER () AS total, {mom} FROM cls GROUP BY y"),
+        ("f", f"SELECT *, {factor} FROM mom")])
+
+
+@register("mdl_qda", sql=_qda_sql(CLS_FEATS))
 def q_qda(spark, d):
+    """Confusion counts of the quadratic discriminant on all class features."""
     c = fx.reg_table(spark, d).withColumn("y", (F.col("l_quantity") >= 25).cast("double"))
-    p = md.qda_2d(c, "label", "p_retailprice", "y")
+    p = md.qda(c, CLS_FEATS, "y")
     return p.groupBy("y", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
-# ---------------------------------------------------------------- tuning
-
 @register("mdl_ridge_uni", sql=with_views(
     "SELECT * FROM res", ["dataset_family"],
     q_ticks.ridge_uni_sql("dataset_family", ["dataset_id"], ["x"], "y",
@@ -450,6 +484,25 @@ def q_per_dataset(spark, d):
                     (F.lit(1.0) - F.try_divide(ssres, F.col("syy") - F.col("sy") * F.col("sy") / F.col("n"))).alias("r2"))
 
 
+# Penalties of the searches per data set.
+PER_DATASET = {"ridge": [0.01, 0.1, 1.0, 10.0], "lasso": LASSO_ALPHAS}
+
+
+@register("tun_per_dataset_cv")
+def q_per_dataset_cv(spark, d):
+    """Ridge and lasso for every data set: split, 5 contiguous folds, chosen penalty, r2 on train and held-out rows."""
+    from kestrel.operators import per_group as pg
+    from kestrel.operators.sampling import split_by_key
+    from kestrel.sources.tables import load
+    order = ["l_orderkey", "l_linenumber", "l_partkey"]
+    li = split_by_key(load(spark, d, "lineitem").select(
+        F.col("l_suppkey").alias("dataset_id"), "l_quantity", "l_discount", "l_tax",
+        (F.col("l_extendedprice") / F.lit(1000.0)).alias("price"), *order), "l_orderkey", 0.75)
+    tr, te = _split(li)
+    rows = with_contiguous_folds(tr, ["dataset_id"], order, 5).unionByName(te.withColumn("fold", F.lit(-1).cast("long")))
+    return pg.search(rows, "dataset_id", ["l_quantity", "l_discount", "l_tax"], "price", "fold", 5, PER_DATASET)
+
+
 LEARN_SIZES = list(range(20, 481, 10))
 
 
