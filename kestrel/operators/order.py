@@ -24,10 +24,13 @@ sampled bounds, and nothing is materialised.
 
 from __future__ import annotations
 
+import functools
+import math
 from bisect import bisect_left, bisect_right
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.session import cut_lineage
 
@@ -147,17 +150,94 @@ def with_neighbours(df: DataFrame, key: str, order_cols: list[str], cols: list[s
     return both.withColumns(named).where("_core").drop("_pid", "_core")
 
 
+#: Groups whose brackets the driver holds, and rows of a bracket that one task sorts.
+BRACKET_GROUPS, BRACKET_ROWS = 10_000, 2_000_000
+_SKETCH = 10_000
+
+
 def exact_quantiles(df: DataFrame, group_cols: list[str], cols: list[str], probs: list[float]) -> DataFrame:
     """(group..., column, q0, q1, ...): exact quantiles with linear interpolation, nulls ignored.
 
-    Equal values are counted first (map-side), then a distributed running sum over the
-    distinct values finds the values at the two ranks around each quantile; no task
-    holds all values of a group.
+    A first pass gives mergeable sketches, whose ranks are off by 1 / 10,000 at most: they
+    bracket each quantile.  A second pass counts the rows below a bracket and the distinct values
+    inside, and the values at the two ranks are read off; nothing is sorted as a whole.  A bracket of
+    more than ``BRACKET_ROWS`` rows is narrowed by further sketches of the rows inside.  The
+    brackets of up to ``BRACKET_GROUPS`` groups are broadcast; with more groups, equal values are counted
+    and summed up in order by a range shuffle instead.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
-    counts = (df.select(*group_cols, F.inline(cells)).where("value IS NOT NULL")
-              .groupBy(*group_cols, "column", "value").agg(F.count(F.lit(1)).alias("_n")))
     keys = [*group_cols, "column"]
+    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols])
+    cells = df.select(*group_cols, F.inline(cells)).where("value IS NOT NULL")
+    e = 1.5 / _SKETCH
+    ends = [min(max(p + d, 0.0), 1.0) for p in probs for d in (-e, e)]
+    first = cells.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("value", ends, _SKETCH).alias("_at"))
+    groups = first.limit(BRACKET_GROUPS + 1).collect()
+    if len(groups) > BRACKET_GROUPS:
+        return _ranked_quantiles(cells, keys, probs)
+    brackets = []  # group, quantile, rows below the lower rank, and the bracket (none: open)
+    for g in groups:
+        for i, p in enumerate(probs):
+            rank = math.floor(p * (g["_n"] - 1))
+            lo, hi = g["_at"][2 * i:2 * i + 2]
+            small = g["_n"] <= BRACKET_ROWS
+            lo = -math.inf if small or p <= e else lo
+            hi = math.nan if small or p >= 1 - e else hi  # NaN is above all values
+            brackets.append([*(g[k] for k in keys), i, rank, lo, hi, 0.0 if small else 2 * e * g["_n"]])
+    spark = df.sparkSession
+    types = {f.name: f.dataType for f in cells.schema.fields}
+    schema = T.StructType([*(T.StructField(f"_k{j}", types[k]) for j, k in enumerate(keys)), T.StructField("_i", T.IntegerType()),
+                           T.StructField("_rank", T.LongType()), T.StructField("_lo", T.DoubleType()), T.StructField("_hi", T.DoubleType())])
+
+    def met():
+        """Cells below or inside a bracket, once for every quantile of their group."""
+        b = F.broadcast(spark.createDataFrame([x[:-1] for x in brackets], schema))
+        same = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)])
+        return cells.join(b, same).where(F.col("value") <= F.col("_hi"))
+    below = F.col("value") < F.col("_lo")
+    for _ in range(8):
+        wide = {tuple(x[:len(keys) + 1]): x for x in brackets if x[-1] > BRACKET_ROWS and x[-3] != x[-2]}
+        if not wide:
+            break
+        inside = F.when(~below, F.col("value"))
+        found = met().groupBy(*keys, "_i").agg(F.count_if(below).alias("_below"), F.count(inside).alias("_in"), F.percentile_approx(
+            inside, [k / _SKETCH for k in range(_SKETCH + 1)], _SKETCH).alias("_at")).where(F.col("_in") > BRACKET_ROWS).collect()
+        moved = False
+        for r in found:
+            x = wide.get(tuple(r[:len(keys) + 1]))
+            if x is None:
+                continue
+            at = (x[-4] - r["_below"]) / r["_in"] * _SKETCH  # the rank's place in the sketch
+            low, high = math.floor(at) - 2, math.ceil(at) + 3
+            lo = r["_at"][low] if low > 0 else x[-3]
+            hi = r["_at"][high] if high < _SKETCH else x[-2]
+            moved |= lo != x[-3] or hi != x[-2]
+            x[-3:] = [lo, hi, 6 * r["_in"] / _SKETCH]
+        if not moved:
+            break  # equal values
+    counted = met().groupBy(*keys, "_i", "_rank", F.when(~below, F.col("value")).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
+    w = Window.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.withColumn("_upto", F.sum("_c").over(w)).where("_v IS NOT NULL")
+    pairs = upto.groupBy(*keys, "_i").agg(F.min(F.when(F.col("_upto") > F.col("_rank"), F.col("_v"))).alias("_a"),
+                                          F.min(F.when(F.col("_upto") > F.col("_rank") + 1, F.col("_v"))).alias("_b"))
+    # the value at the next rank may stand behind the bracket only if the quantile is at the lower one
+    table = spark.createDataFrame([(*x[:len(keys) + 1], *_share(probs[x[len(keys)]], n)) for x, n in zip(
+        brackets, [g["_n"] for g in groups for _ in probs])], T.StructType([*schema.fields[:len(keys) + 1], T.StructField("_f", T.DoubleType())]))
+    same = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_k{j}")) for j, k in enumerate(keys)])
+    both = pairs.withColumnRenamed("_i", "_q").join(F.broadcast(table), same & (F.col("_q") == F.col("_i")))
+    q = F.when(F.col("_f") == 0, F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_f"))
+    return both.groupBy(*keys).agg(*[F.max(F.when(F.col("_i") == i, q)).alias(f"q{i}") for i in range(len(probs))])
+
+
+def _share(p: float, n: int) -> tuple[float]:
+    """How far the quantile lies between its two ranks."""
+    return (p * (n - 1) - math.floor(p * (n - 1)),)
+
+
+def _ranked_quantiles(cells: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
+    """Equal values are counted first (map-side), then a distributed running sum over the
+    distinct values finds the values at the two ranks around each quantile; no task
+    holds all values of a group."""
+    counts = cells.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("_n"))
     ranked = running_sum(counts, keys, ["value"], ["_n"])
     total = ranked.groupBy(*keys).agg(F.max("_n_cum").alias("_total"))
     at = [F.lit(p) * (F.col("_total") - 1) for p in probs]

@@ -75,7 +75,12 @@ def test_neighbours_across_partitions(spark):
             assert all(got[i] == (pad[j], pad[j + 2], pad[j + 3]) for j, i in enumerate(ids))
 
 
-def test_exact_quantiles(spark):
+@pytest.mark.parametrize("rows, groups, sketch", [(2_000_000, 10_000, 10_000), (20, 10_000, 20), (5, 10_000, 10), (20, 1, 20)])
+def test_exact_quantiles(spark, monkeypatch, rows, groups, sketch):
+    """Whole groups, brackets, narrowed brackets, and more groups than the driver holds."""
+    monkeypatch.setattr(order, "BRACKET_ROWS", rows)
+    monkeypatch.setattr(order, "BRACKET_GROUPS", groups)
+    monkeypatch.setattr(order, "_SKETCH", sketch)
     r = np.random.default_rng(0)
     pdf = pd.DataFrame({"g": r.choice(["x", "y"], 301), "a": r.integers(0, 20, 301).astype(float), "b": r.normal(size=301)})
     got = {(x.g, x.column): x for x in order.exact_quantiles(spark.createDataFrame(pdf), ["g"], ["a", "b"], [0.0, 0.3, 0.5, 1.0]).collect()}
