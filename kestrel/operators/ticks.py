@@ -248,13 +248,14 @@ def folded_cells(wide: DataFrame, w: Window, cells: list[tuple[dict, dict]], k:
     none of these columns is null.  Running counts of valid rows, in the window that
     made the columns plus per-segment offsets, number the rows of each cell; the cells
     of a row are laid out last, so an aggregate on top combines them before any shuffle.
+    The wide columns are computed twice, for the offsets and for the rows, and never written:
+    ``wide`` should stand on a narrow table that is cheap to read again.
     """
     def valid(cols):
         return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols.values()])
     so_far = w.rowsBetween(Window.unboundedPreceding, 0)
-    wide = cut_lineage(wide.select("*", *[F.count_if(valid(cols)).over(so_far).alias(f"_rn{i}")
-                                          for i, (_, cols) in enumerate(cells)]))
-    ends = wide.groupBy("symbol", "_seg").agg(*[F.max(f"_rn{i}").alias(f"_c{i}") for i in range(len(cells))])
+    ends = wide.groupBy("symbol", "_seg").agg(*[F.count_if(valid(cols)).alias(f"_c{i}") for i, (_, cols) in enumerate(cells)])
+    wide = wide.select("*", *[F.count_if(valid(cols)).over(so_far).alias(f"_rn{i}") for i, (_, cols) in enumerate(cells)])
     whole = Window.partitionBy("symbol")
     before = whole.orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select("symbol", "_seg", *[x for i in range(len(cells)) for x in (
@@ -280,7 +281,7 @@ def smoothed_rows(split_df: DataFrame, windows=SMOOTH_WINDOWS, horizon: int = SM
     y = Lagged("y", TARGET_SOURCE, TARGET_PCT, -horizon)
     reach = max(s.shift + s.pct for s in spec) + max(windows)
     h_df, w = _window_parts(base, [*spec, y, Lagged("_reach", "P_bid", 0, reach)], segment)
-    wide = h_df.select("symbol", "split", "_seg", "bin", "core", *[lagged_expr(s, w).alias(s.out) for s in [*spec, y]])
+    wide = cut_lineage(h_df).select("symbol", "split", "_seg", "bin", "core", *[lagged_expr(s, w).alias(s.out) for s in [*spec, y]])
     names = [s.out for s in spec]
 
     def mean(c, n):
@@ -313,8 +314,8 @@ def scan_fold_sums(split_df: DataFrame, horizons=SCAN_HORIZONS, lookbacks=SCAN_L
         for hz in horizons:
             specs[f"_y__{L}__{hz}"] = Lagged(f"_y__{L}__{hz}", "P_mid", L, -hz)
     h_df, w = _window_parts(base, list(specs.values()), segment)
-    wide = h_df.select("symbol", "split", "_seg", "bin", "core",
-                       *[lagged_expr(s, w).alias(n) for n, s in specs.items()]).where("core").drop("core")
+    wide = cut_lineage(h_df).select("symbol", "split", "_seg", "bin", "core", *[
+        lagged_expr(s, w).alias(n) for n, s in specs.items()]).where("core").drop("core")
     cells = [({"look_back": L, "horizon": hz}, {f: f"{f}__{L}" for f in ALL_FEATURES} | {"y": f"_y__{L}__{hz}"})
              for L in lookbacks for hz in horizons]
     long = folded_cells(wide, w, cells, k)
