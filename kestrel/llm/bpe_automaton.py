@@ -8,24 +8,27 @@ added in rank order, each as a merge gadget for ``u v -> w``:
 * arcs labelled ``w`` wherever an arc ``u`` could be taken at that moment,
 * the arc ``v`` out of state ``u`` is cut.
 
-The copies are kept as shared (persistent) versions: a state remembers which
-state it copied and at which step, and a cut remembers its step.  Thus 50,000
-merges compile in a fraction of a second into tables as large as the
-vocabulary, while a full matrix would hold |V|^2 arcs.  A merge whose own arc is
-gone when its turn comes makes a label that no path can use.  An arc is looked
-up by walking the copies back; arcs that were asked for stay in an arc table.
-
-**Encoding.**  Each string has exactly one accepted path.  The encoder follows
-arcs with the longest label first and steps back on a dead end; positions known
-to be dead are not entered twice, so a word takes time linear in its length times
-the longest label.
+The arcs are a table of differences: a state names its default state (whose arcs it
+copied) and a label its default label (where whose arcs it was laid), both with the step of the copy,
+and the table holds the arcs that differ, i.e. the cut ones, with their step.  A
+transition follows defaults until it meets a cut or a byte symbol.  Written out, the arcs of a
+vocabulary of 50,000 would be 2.5 billion entries; the table has one a merge.  A merge whose own arc is
+gone when its turn comes makes a label that no path can use.
+
+**Encoding.**  Each string has exactly one accepted path, and so has each start of it.  The state
+after a start is therefore one label: the label that ends there and has an arc from the state where it
+begins.  Labels that end at a symbol are found in a table of their tails and tried the longest
+first; the state where a label begins is settled in the same way when it is asked for, once for the
+word.  No path is taken and left again, so a word takes time linear in its
+length times the longest label; the labels of the path are read off from the end.
 
 **Decoding** emits the labels (byte strings) of the arcs and reads the bytes as
 UTF-8, malformed sequences replaced.
 
 Edge cases: null text is encoded as the empty text (no ids, never null); null
-ids decode to the empty text; ids outside the vocabulary emit nothing; an output
-column that already exists in the input is replaced.
+ids decode to the empty text; ids outside the vocabulary emit nothing; a very long text is
+encoded whole, in runs of words, and its row is held in the task; repeated rows are encoded alike, an
+empty table gives none; an output column that already exists in the input is replaced.
 """
 
 from __future__ import annotations
@@ -64,15 +67,11 @@ class MergeAutomaton:
                 self._usable[a + b] = w
                 self._cut[u << _SHIFT | v] = k
         self._size = {i: len(s) for s, i in self._usable.items()}
-        self._heads: dict[str, int] = {}  # start of a usable label -> longest usable label in it
-        for j in range(1, max(map(len, self._usable)) + 1):
-            for s, i in self._usable.items():
-                if len(s) >= j:
-                    h = s[:j]
-                    if h not in self._heads:
-                        self._heads[h] = self._usable[h] if h in self._usable else self._heads.get(h[:-1], -1)
-        self._shorter: dict[int, int] = {}
-        self._text = {i: s for s, i in self._usable.items()}
+        self._tails: dict[str, int] = {}  # ends of usable labels of several symbols -> the label, -1 if none
+        for s, i in self._usable.items():
+            for j in range(1, len(s)):
+                self._tails.setdefault(s[j:], -1)
+        self._tails.update(self._usable)
 
     def _lookup(self, t: int, s: int, step: int) -> bool:
         """Is there an arc ``s`` out of state ``t`` before gadget ``step``?"""
@@ -98,51 +97,56 @@ class MergeAutomaton:
             ok = self._arcs[key] = self._lookup(t, s, 1 << 60)
         return ok
 
-    def _longest(self, word: str, at: int) -> int:
-        """The longest usable label at ``at``; -1 if none."""
-        get, end, n, best = self._heads.get, at + 1, len(word), -1
-        while end <= n:
-            t = get(word[at:end])
-            if t is None:
-                break
-            best, end = t, end + 1
-        return best
-
-    def _less(self, t: int) -> int:
-        """The longest usable label that properly starts ``t``; -1 if none."""
-        r = self._shorter.get(t)
-        if r is None:
-            r = self._shorter[t] = self._heads.get(self._text[t][:-1], -1)
-        return r
-
     def encode_word(self, word: str) -> list[int]:
         """Labels of the accepted path of ``word`` (in byte symbols)."""
-        n, size = len(word), self._size
+        n = len(word)
         if not n:
             return []
         whole = self._usable.get(word)
-        if whole is not None:  # a usable label is the path of its own text
+        if whole is not None:  # one arc from the start
             return [whole]
-        path: list[int] = []
-        dead: set[int] = set()
-        at, t = 0, self._longest(word, 0)
+        state = {0: -1}  # state[i]: the last label of the path of word[:i]
+        self._settle(word, n, state)
+        path, i, size = [], n, self._size
+        while i:
+            path.append(state[i])
+            i -= size[state[i]]
+        path.reverse()
+        return path
+
+    def _settle(self, word: str, i: int, state: dict[int, int]) -> None:
+        """Add ``state[i]``, and the states before it that it asks for."""
+        tails, arcs, arc = self._tails.get, self._arcs.get, self.arc
+        todo = []  # positions that wait for a state before them, and the labels left to try there
         while True:
-            if t < 0:  # no arc leads on from here
-                dead.add(at)
-                if not path:
+            ends, j = [], i - 1  # labels that end at i, shortest first, and where they begin
+            while j >= 0:
+                t = tails(word[j:i])
+                if t is None:
+                    break
+                if t >= 0:
+                    ends.append((t, j))
+                j -= 1
+            while True:
+                if not ends:
                     raise ValueError(f"symbols outside the alphabet in {word[:40]!r}")
-                back = path.pop()
-                at -= size[back]
-                t = self._less(back)
-                continue
-            end = at + size[t]
-            if end not in dead and (not path or self.arc(path[-1], t)):
-                path.append(t)
-                if end == n:
-                    return path
-                at, t = end, self._longest(word, end)
-            else:
-                t = self._less(t)
+                t, j = ends[-1]
+                before = state.get(j)
+                if before is None:
+                    todo.append((i, ends))
+                    i = j
+                    break
+                if j:
+                    ok = arcs(before << _SHIFT | t)
+                    if ok is None:
+                        ok = arc(before, t)
+                    if not ok:
+                        ends.pop()
+                        continue
+                state[i] = t
+                if not todo:
+                    return
+                i, ends = todo.pop()
 
 
 def labels(spec: dict) -> list[bytes]:
