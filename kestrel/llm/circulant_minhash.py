@@ -26,7 +26,9 @@ only for classes that have a candidate.
 Edge cases: null and empty texts have an empty set and are linked with nothing;
 a text with fewer words than a shingle is one shingle; rows without an id join
 classes like others, and a component of only such rows has a null id; rows that
-repeat id and text share everything (in ``keep_first`` one of them stays).
+repeat id and text share everything (in ``keep_first`` one of them stays).  A very long text is read
+whole; its set is as large as its distinct shingles.  An empty table gives no rows.  Other columns are not
+read before the end, so their names do not matter there.
 """
 
 from __future__ import annotations

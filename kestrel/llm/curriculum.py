@@ -19,7 +19,8 @@ source; only scalars reach the driver.
 Edge cases: null text has size 0; sources are ordered by code point, the null
 source last; a document without words is taken with 0 words wherever its place
 falls; an empty table or one without words gives targets of 0 and takes
-nothing.  Equal rows count separately.  Output columns replace columns of the
+nothing.  A very long text is split whole to count its words; it takes
+one place as long as it is.  Equal rows count separately.  Output columns replace columns of the
 same name.
 """
 

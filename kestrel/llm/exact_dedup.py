@@ -15,7 +15,8 @@ the rows of those hashes - and only those - are told apart by their text.
 Edge cases: null text counts as empty.  Of equal texts the row with the smallest
 (or, with ``keep="max"``, largest) non-null id stays; if no row of a class has an
 id, ``keep_id`` is null.  Of rows that repeat both id and text, exactly one is
-kept (the greatest by its remaining columns in ``keep_one``).  An empty table
+kept (the greatest by its remaining columns in ``keep_one``).  A very long text
+is a grouping key like any other and crosses the shuffle once a class and task.  An empty table
 gives an empty result.
 """
 

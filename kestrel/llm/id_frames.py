@@ -14,8 +14,9 @@ and then renamed, so a repeated task replaces whole files by equal ones.  Where
 each document lies is kept in a Parquet index beside them.
 
 Edge cases: null text is the empty text (the end id alone); a null id sorts
-first; repeated rows are kept, ties ordered by text; an empty table writes no
-files and gives an empty index.
+first; repeated rows are kept, ties ordered by text; a very long text becomes several frames;
+an empty table writes no files and gives an empty index; other columns than id and text are not read, so their
+names do not matter.  A worker keeps the words it has met, two generations of bounded size, for its life.
 """
 
 from __future__ import annotations

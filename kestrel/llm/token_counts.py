@@ -7,7 +7,9 @@ neighbour pairs are pushed.  Each merge shortens the list by one, so the count i
 initial symbols minus merges.  Words met before come from a bounded cache.
 
 Edge cases: null counts as the empty text (0 tokens).  Special strings inside a
-text count as one token each, as the public library does by default.  An output
+text count as one token each, as the public library does by default.  A very long
+text is counted whole, in runs of words, and is held with its batch in the task; repeated rows each get
+their count, and an empty table gives no rows.  An output
 column that already exists is replaced.
 """
 

@@ -17,7 +17,8 @@ prefix of an address can be listed.
 Edge cases: null or unparsable addresses have no keys and are not listed; a null
 fetch day matches nothing; on a day with both an add and a remove of a value the
 remove wins; a remove before any add has no effect; repeated entries count once;
-repeated captures each give a row; columns of the captures may bear any names but
+repeated captures each give a row; very long addresses have as many keys as path segments; without
+entries no capture is listed, and without captures there are no rows; columns of the captures may bear any names but
 those of the result, which they lose to it.
 """
 
