@@ -483,10 +483,14 @@ class MetricEvaluator(Evaluator):
         return True
 
 
+# The text pipeline's grid.
+TEXT_FEATURES, TEXT_PENALTIES = [10, 100, 1000], [0.1, 0.01]
+
+
 def text_pipeline(label: str = "label"):
     from pyspark.ml.feature import HashingTF, Tokenizer
     tok = Tokenizer(inputCol="text", outputCol="words")
     tf = HashingTF(inputCol="words", outputCol="features")
     lr = LogisticRegression(maxIter=10, labelCol=label)
-    grid = ParamGridBuilder().addGrid(tf.numFeatures, [10, 100, 1000]).addGrid(lr.regParam, [0.1, 0.01]).build()
+    grid = ParamGridBuilder().addGrid(tf.numFeatures, TEXT_FEATURES).addGrid(lr.regParam, TEXT_PENALTIES).build()
     return Pipeline(stages=[tok, tf, lr]), grid
