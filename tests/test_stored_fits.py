@@ -38,3 +38,10 @@ def test_a_start_from_a_sample_ends_at_the_same_fit(spark, monkeypatch):
     assert 0 < sizes[0] < 200 and sizes[1] == 400
     for fit, w in cold.weights.items():
         assert np.allclose(warm.weights[fit], w, atol=1e-6)
+
+
+def test_boosting_over_weights_stores_plain_columns(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(md, "stored", lambda df, write=md.stored: kept.append(write(df)) or kept[-1])
+    fitted = md.adaboost_r2(spark.createDataFrame(rows()), ["a", "b"], "y", rounds=3, depth=2)
+    assert all(k.columns == ["a", "b", "y", "_w"] for k in kept) and len(kept) == len(fitted)
