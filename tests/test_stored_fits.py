@@ -45,3 +45,12 @@ def test_boosting_over_weights_stores_plain_columns(spark, monkeypatch):
     monkeypatch.setattr(md, "stored", lambda df, write=md.stored: kept.append(write(df)) or kept[-1])
     fitted = md.adaboost_r2(spark.createDataFrame(rows()), ["a", "b"], "y", rounds=3, depth=2)
     assert all(k.columns == ["a", "b", "y", "_w"] for k in kept) and len(kept) == len(fitted)
+
+
+def test_train_and_test_rows_are_joined_once(spark):
+    from kestrel.plans import q_models as qm
+    df = spark.createDataFrame(rows()).withColumn("split", F.when(F.col("fold") > 0, "train").otherwise("test"))
+    joined = df.join(spark.createDataFrame([(0, 1.0), (1, 2.0), (2, 3.0)], "fold int, z double"), "fold")
+    tr, te = qm._kept(joined, ["a", "z"], "y")
+    assert (tr.count(), te.count()) == (266, 134) and "Join" not in tr._jdf.queryExecution().toString()
+    assert sorted(r.features[1] for r in te.distinct().collect())[0] == 1.0
