@@ -54,3 +54,18 @@ def test_train_and_test_rows_are_joined_once(spark):
     tr, te = qm._kept(joined, ["a", "z"], "y")
     assert (tr.count(), te.count()) == (266, 134) and "Join" not in tr._jdf.queryExecution().toString()
     assert sorted(r.features[1] for r in te.distinct().collect())[0] == 1.0
+
+
+def test_text_search_is_that_of_the_pipeline(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"{'good' if i % 3 else 'bad'} w{i % 7} x{i % 5}", float(i % 3 > 0 or i % 11 == 0), i % 2)
+                                  for i in range(80)], "id long, text string, label double, fold int")
+    ev = BinaryClassificationEvaluator(numBins=0)
+    pipe, grid = md.text_pipeline()
+    want = md.cross_validate(pipe, grid, docs, ev, fold_col="fold", k=2)
+    kept = []
+    monkeypatch.setattr(md, "stored", lambda df, write=md.stored: kept.append(write(df)) or kept[-1])
+    got_grid, scores, model = md.text_search(docs, ev, "fold", 2)
+    assert [sorted((p.name, v) for p, v in g.items()) for g in got_grid] == [sorted((p.name, v) for p, v in g.items()) for g in grid]
+    assert len(kept) == 1 and "text" not in kept[0].columns and np.allclose(scores, want.avgMetrics, atol=1e-9)
+    a, b = ({r.id: r.probability[1] for r in m.transform(docs).collect()} for m in (want.bestModel, model))
+    assert a == pytest.approx(b, abs=1e-9)
