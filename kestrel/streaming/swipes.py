@@ -7,12 +7,14 @@ first row, and is emitted; any other row starts a new run.
 
 *State* of an account (RocksDB, ``transformWithStateInPandas``):
 
-* waiting rows by time slice of ``slice_s`` seconds; a micro-batch appends one entry per slice
-  and never reads what is there.  A timer at the end of the earliest slice takes all slices
-  that the watermark has passed, one at a time, so a worker holds one slice of one
-  account, however busy the account is;
+* waiting rows, as a list with one entry per micro-batch while no more than ``HELD_ROWS`` of them are
+  listed.  Of a busier account the rest waits by time slice of ``slice_s`` seconds, one entry per slice and micro-batch.
+  A micro-batch never reads what is there, and an account costs it a fixed number of calls to the state, not one
+  per row.  A timer at the end of the earliest slice takes all rows whose slice the watermark has
+  passed: a worker holds the list and one slice of one account, however busy the account is;
 * the current run's start and amount (two numbers), removed by a timer when no row can
-  continue it.
+  continue it;
+* the number of entries by slice, of listed rows, and the time of the account's one timer.
 
 *Late rows*, whose slice had ended before the watermark with which their micro-batch began,
 and rows without a time are flagged and stored in a table of their own; they take no part in runs.
@@ -32,6 +34,8 @@ from kestrel.streaming.events import Job, event_stream
 
 OUT = "row_id long, account long, amount double, ts timestamp_ntz"
 _FLAGGED = "row_id long, account long, amount double, us long, late boolean"
+#: Rows of an account that wait in one list; what is beyond waits by time slice.
+HELD_ROWS = 1 << 14
 _ROW = np.dtype([("us", "<i8"), ("row_id", "<i8"), ("amount", "<f8")])
 
 
@@ -57,6 +61,11 @@ def continued(rows: np.ndarray, start: int | None, amount: float, window_us: int
     return follows, runs._start, float(rows["amount"][-1])
 
 
+def in_order(rows: np.ndarray) -> np.ndarray:
+    """``rows`` by time and row id."""
+    return rows[np.lexsort((rows["row_id"], rows["us"]))]
+
+
 class SwipeProcessor(StatefulProcessor):
     """See the module text.  Times are microseconds, timers milliseconds."""
 
@@ -65,11 +74,12 @@ class SwipeProcessor(StatefulProcessor):
 
     def init(self, handle) -> None:
         self._handle = handle
-        self._waiting = handle.getMapState("waiting", "slice long, entry long", "rows binary")
-        self._entries = handle.getValueState("entries", "n long")
+        self._waiting = handle.getListState("waiting", "rows binary")
+        self._sliced = handle.getMapState("sliced", "slice long, entry long", "rows binary")
+        self._entries = handle.getValueState("entries", "sliced long, held long, timer long")
         self._run = handle.getValueState("run", "start long, amount double")
 
-    def _end_ms(self, at: int) -> int:
+    def _end_ms(self, at):
         return (at + self._slice) // 1000
 
     def _frame(self, account, rows: np.ndarray, late: bool) -> pd.DataFrame:
@@ -78,8 +88,8 @@ class SwipeProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues):
         now = timerValues.getCurrentWatermarkInMs()
-        entry = self._entries.get()[0] if self._entries.exists() else 0
-        timed = set()
+        before = self._entries.get() or (0, 0, None)
+        sliced, held, timer = before
         for frame in rows:
             untimed = frame["us"].isna()
             if untimed.any():
@@ -88,50 +98,83 @@ class SwipeProcessor(StatefulProcessor):
             part = np.empty(len(frame), _ROW)
             for c in _ROW.names:
                 part[c] = frame[c].to_numpy()
-            part = np.sort(part, order=("us", "row_id"))
+            part = in_order(part)
             at = part["us"] // self._slice * self._slice
-            late = (at + self._slice) // 1000 <= now
+            late = self._end_ms(at) <= now
             if late.any():
                 yield self._frame(key[0], part[late], True)
                 part, at = part[~late], at[~late]
-            cuts = [*np.flatnonzero(np.diff(at, prepend=at[:1] - 1)).tolist(), len(at)]
-            for i, j in zip(cuts, cuts[1:]):
-                self._waiting.updateValue((int(at[i]), entry), (part[i:j].tobytes(),))
-                entry += 1
-            if len(at):
-                timed.add(self._end_ms(int(at[0])))
-        self._entries.update((entry,))
-        if timed:
-            self._handle.registerTimer(min(timed))
+            if not len(part):
+                continue
+            if held + len(part) <= HELD_ROWS:
+                self._waiting.appendValue((part.tobytes(),))
+                held += len(part)
+            else:
+                cuts = [*np.flatnonzero(np.diff(at, prepend=at[:1] - 1)).tolist(), len(at)]
+                for i, j in zip(cuts, cuts[1:]):
+                    self._sliced.updateValue((int(at[i]), sliced), (part[i:j].tobytes(),))
+                    sliced += 1
+            timer = self._timer(timer, self._end_ms(int(at[0])))
+        if (sliced, held, timer) != before:
+            self._entries.update((sliced, held, timer))
+
+    def _timer(self, old: int | None, at: int) -> int:
+        """The account's one timer: ``old`` (None: there is none) or ``at``, if that is earlier."""
+        if old is not None and old <= at:
+            return old
+        if old is not None:
+            self._handle.deleteTimer(old)
+        self._handle.registerTimer(at)
+        return at
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         now = timerValues.getCurrentWatermarkInMs()
-        start, amount = self._run.get() if self._run.exists() else (None, 0.0)
-        waiting = sorted(tuple(k) for k in self._waiting.keys())
-        due = [k for k in waiting if self._end_ms(k[0]) <= now]
+        sliced, held, _ = self._entries.get() or (0, 0, None)
+        start, amount = run = self._run.get() or (None, 0.0)
+        listed = in_order(np.concatenate([np.empty(0, _ROW), *(np.frombuffer(r[0], _ROW) for r in self._waiting.get())])) if held \
+            else np.empty(0, _ROW)
+        n = int(np.count_nonzero(self._end_ms(listed["us"] // self._slice * self._slice) <= now))
+        keys = sorted(tuple(k) for k in self._sliced.keys()) if sliced else []
+        done = sum(self._end_ms(k[0]) <= now for k in keys)
+        due: dict[int, list] = {}
+        for k in keys[:done]:
+            due.setdefault(k[0], []).append(k)
         i = 0
-        while i < len(due):
-            j = i
-            while j < len(due) and due[j][0] == due[i][0]:
-                j += 1
-            rows = np.sort(np.concatenate([np.frombuffer(self._waiting.getValue(k)[0], _ROW) for k in due[i:j]]),
-                           order=("us", "row_id"))
-            follows, start, amount = continued(rows, start, amount, self._window)
-            for k in due[i:j]:
-                self._waiting.removeKey(k)
-            if follows.any():
-                yield self._frame(key[0], rows[follows], False)
+        for at, entries in (*due.items(), (None, [])):  # the slices, each with the listed rows up to its end, and what is left
+            j = n if at is None else min(n, int(np.searchsorted(listed["us"], at + self._slice)))
+            rows = listed[i:j]
+            if entries:
+                rows = in_order(np.concatenate([rows, *(np.frombuffer(self._sliced.getValue(k)[0], _ROW) for k in entries)]))
+            if len(rows):
+                follows, start, amount = continued(rows, start, amount, self._window)
+                if follows.any():
+                    yield self._frame(key[0], rows[follows], False)
+            for k in entries:
+                self._sliced.removeKey(k)
             i = j
+        if n:
+            held = len(listed) - n
+            if held:
+                self._waiting.put([(listed[n:].tobytes(),)])
+            else:
+                self._waiting.clear()
+        ahead = [self._end_ms(int(listed["us"][n]) // self._slice * self._slice)] if held else []
+        if len(keys) > done:
+            ahead.append(self._end_ms(keys[done][0]))
+        elif done:
+            sliced = 0
         if start is not None:
             over = (start + self._window + self._slice) // 1000  # no row that is in time can continue the run then
-            if over <= now:
+            if over > now:
+                ahead.append(over + 1)
+                if (start, amount) != run:
+                    self._run.update((start, amount))
+            elif run[0] is not None:
                 self._run.clear()
-            else:
-                self._run.update((start, amount))
-                self._handle.registerTimer(over + 1)
-        if len(waiting) > len(due):
-            self._handle.registerTimer(self._end_ms(waiting[len(due)][0]))
-        elif due:
+        if ahead:
+            self._handle.registerTimer(min(ahead))
+            self._entries.update((sliced, held, min(ahead)))
+        else:
             self._entries.clear()
 
     def close(self) -> None:

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
@@ -154,3 +155,126 @@ def test_bins_with_repeated_ticks(spark, tmp_path, events):
                       for r in df.select(sorted(df.columns)).na.fill(-1.0).collect())
     assert rounded(got) == rounded(batch)
     assert rounded(st.run_available(spark, str(second))) == rounded(batch)  # a folder of part files
+
+
+class Handle:
+    """State of one account in memory; counts the calls and holds the timers."""
+
+    def __init__(self):
+        self.calls, self.timers, self.states = 0, set(), {}
+
+    def _state(self, name, kind):
+        outer, held = self, self.states.setdefault(name, {})
+
+        class State:
+            def __getattr__(self, call):
+                def run(*a):
+                    outer.calls += 1
+                    return getattr(self, f"_{call}")(*a)
+                return run
+
+            def _exists(self):
+                return bool(held)
+
+            def _get(self):
+                return iter(held.get(0, [])) if kind == "list" else held.get(0)
+
+            def _update(self, value):
+                held[0] = value
+
+            def _put(self, values):
+                held[0] = list(values)
+
+            def _appendValue(self, value):
+                held.setdefault(0, []).append(value)
+
+            def _clear(self):
+                held.clear()
+
+            def _keys(self):
+                return iter(list(held))
+
+            def _getValue(self, k):
+                return held[k]
+
+            def _updateValue(self, k, value):
+                held[k] = value
+
+            def _removeKey(self, k):
+                del held[k]
+        return State()
+
+    def getValueState(self, name, schema):
+        return self._state(name, "value")
+
+    def getListState(self, name, schema):
+        return self._state(name, "list")
+
+    def getMapState(self, name, key, value):
+        return self._state(name, "map")
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+
+class Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def fed(parts, marks, window_s=40, slice_s=10):
+    """(ids of runs, ids of late rows, handle) after the micro-batches ``parts`` of one account, each with the watermark of ``marks``."""
+    p, handle, found = sw.SwipeProcessor(window_s, slice_s), Handle(), []
+    p.init(handle)
+    for rows, ms in zip([*parts, None], [*marks, 1 << 50]):
+        if rows is not None:
+            found += p.handleInputRows((1,), iter([rows]), Watermark(ms))
+        while any(t <= ms for t in handle.timers):
+            at = min(handle.timers)
+            handle.timers.remove(at)
+            found += p.handleExpiredTimer((1,), Watermark(ms), at)
+    late = {r for f in found for r in f.loc[f["late"], "row_id"]}
+    return {r for f in found for r in f.loc[~f["late"], "row_id"]}, late, handle
+
+
+def account(r, n, seconds):
+    return pd.DataFrame({"row_id": np.arange(n), "account": 1, "amount": [r.choice([0.0, 25.0, 25.0, 50.0]) for _ in range(n)],
+                         "us": [r.randrange(seconds) * 1_000_000 for _ in range(n)]})
+
+
+def test_calls_to_the_state_do_not_grow_with_the_rows_of_an_account():
+    few, many = (fed([account(random.Random(1), n, 100_000)], [0])[2] for n in (5, 2000))
+    assert many.calls <= few.calls + 2 and not any(many.states.values()) and not many.timers
+
+
+@pytest.mark.parametrize("held", [0, 7, 40, 1 << 14])
+def test_runs_of_listed_and_sliced_rows(monkeypatch, held):
+    """Whatever waits in the list or by slice, and wherever the watermark stands: the runs of the rows that are not late."""
+    monkeypatch.setattr(sw, "HELD_ROWS", held)
+    r = random.Random(held)
+    for _ in range(40):
+        ev = account(r, 120, r.choice([60, 400, 3000]))
+        ends = sorted(r.sample(range(1, 120), 5))
+        parts = [ev.iloc[a:b] for a, b in zip([0, *ends], [*ends, 120])]
+        marks = sorted(r.randrange(3000) * 1000 * r.choice([0, 1]) for _ in parts)
+        got, late, handle = fed(parts, marks)
+        assert not any(handle.states.values()) and not handle.timers
+        assert late == {i for part, ms in zip(parts, marks) for i, us in zip(part["row_id"], part["us"])
+                        if (us // 10_000_000 + 1) * 10_000 <= ms}
+        want, start, amount = set(), None, 0.0
+        for i, a, us in sorted(zip(ev["row_id"], ev["amount"], ev["us"]), key=lambda x: (x[2], x[0])):
+            if i in late:
+                continue
+            if start is not None and a == amount != 0 and us - start < 40_000_000:
+                want.add(i)
+            else:
+                start, amount = us, a
+        assert got == want
