@@ -200,3 +200,29 @@ def test_kernel_sums(spark, rows):
         m = (x.fold == f).to_numpy()
         assert np.allclose(got[0, f]["xx"], z[m].T @ z[m]) and np.allclose(got[0, f]["xy"], z[m].T @ x.y.to_numpy()[m])
         assert got[1, f]["xx"].shape == (51, 51)
+
+
+@pytest.mark.parametrize("query", ["tun_model_zoo", "tun_model_zoo_cls"])
+def test_the_zoo_searches_its_parts_side_by_side(spark, monkeypatch, query):
+    """The fits one by one run while the trees grow; the rows keep their order."""
+    import threading
+
+    from kestrel.plans import q_models
+    from kestrel.plans.registry import QUERIES
+    z = ["a_z", "b_z"]
+    df = md.assemble(spark.range(60).select("id", (F.col("id") % 5).alias("fold"), F.sin("id").alias("a_z"), F.cos("id").alias("b_z"),
+                                            (F.col("id") % 2).cast("double").alias("y"), F.sin(F.col("id") + 1).alias("label_z")), z)
+    grown, seen = threading.Event(), []
+    monkeypatch.setattr(q_models, "_zoo_parts", lambda *a: (df, df, z))
+
+    def model_search(*a, **k):
+        seen.append(grown.wait(60))
+        return [("one by one", "mean", 0, "", None, 0.5)]
+
+    def tree_search(*a, **k):
+        grown.set()
+        return [("mean", 0, "", None, 0.25)]
+    monkeypatch.setattr(md, "model_search", model_search)
+    monkeypatch.setattr(md, "tree_search", tree_search)
+    names = [r.model for r in QUERIES[query](spark, "").collect()]
+    assert seen == [True] and names[0] == "one by one" and names[-2:] == ["forest", "boosting"]
