@@ -226,3 +226,24 @@ def test_the_zoo_searches_its_parts_side_by_side(spark, monkeypatch, query):
     monkeypatch.setattr(md, "tree_search", tree_search)
     names = [r.model for r in QUERIES[query](spark, "").collect()]
     assert seen == [True] and names[0] == "one by one" and names[-2:] == ["forest", "boosting"]
+
+
+def test_fits_one_by_one_pass_few_partitions(spark, rows, monkeypatch):
+    """The partitions follow the size of the rows, not the shuffle that made them, and hold every row."""
+    df = md.assemble(rows, NAMES).select("features", "y", "fold").repartition(32)
+    seen = []
+
+    class Fit:
+        def copy(self, point):
+            return self
+
+        def fit(self, part):
+            seen.append((part.rdd.getNumPartitions(), part.count()))
+
+    def search():
+        seen.clear()
+        md.model_search(df, df, {"x": (Fit(), [{}])}, lambda model, part: 0.0, k=3)
+        return sorted(seen)
+    assert search() == sorted([(1, 400 - n) for n in (134, 133, 133)] + [(1, 400)])
+    monkeypatch.setattr(md, "FIT_CELLS", 300)
+    assert search() == sorted([(4, 400 - n) for n in (134, 133, 133)] + [(4, 400)])
