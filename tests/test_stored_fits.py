@@ -69,3 +69,19 @@ def test_train_and_test_rows_are_joined_once(spark):
     tr, te = qm._kept(joined, ["a", "z"], "y")
     assert (tr.count(), te.count()) == (266, 134) and "Join" not in tr._jdf.queryExecution().toString()
     assert sorted(r.features[1] for r in te.distinct().collect())[0] == 1.0
+
+
+@pytest.mark.parametrize("fit", [lambda df: md.adaboost_r2(df, ["a", "b"], "y", rounds=5, depth=2),
+                                 lambda df: md.adaboost_samme(df, ["a", "b"], "y", 2, rounds=5)])
+def test_boosting_over_weights_keeps_two_copies_at_most(spark, monkeypatch, fit):
+    import os
+    kept, standing = [], []
+
+    def stored(df, write=md.stored):
+        kept.append(write(df))
+        standing.append(sum(os.path.exists(k.stored_at.removeprefix("file:")) for k in kept))
+        return kept[-1]
+    monkeypatch.setattr(md, "stored", stored)
+    assert len(fit(spark.createDataFrame(rows()))) > 2
+    assert standing == [1] + [2] * (len(kept) - 1) and len(kept) > 2
+    assert not any(os.path.exists(k.stored_at.removeprefix("file:")) for k in kept)
