@@ -247,3 +247,44 @@ def test_fits_one_by_one_pass_few_partitions(spark, rows, monkeypatch):
     assert search() == sorted([(1, 400 - n) for n in (134, 133, 133)] + [(1, 400)])
     monkeypatch.setattr(md, "FIT_CELLS", 300)
     assert search() == sorted([(4, 400 - n) for n in (134, 133, 133)] + [(4, 400)])
+
+
+def test_svr_of_folds_is_that_of_the_rest(rows):
+    grid = [("epsilon_insensitive", 0.1), ("squared_epsilon_insensitive", 1.0)]
+    got = md.svr_fit(rows, NAMES, "y", grid, fold_col="fold", folds=(-1, 0, 1, 2))
+    for f in (-1, 2):
+        want = md.svr_fit(rows.where(F.col("fold") != f), NAMES, "y", grid)
+        for g in range(2):
+            assert np.allclose(got[4 * g + f + 1][0], want[g][0], atol=1e-4)
+    sums = {r["fold"]: linear.unpack_gram(r, 3) for r in linear.gram_sums(rows, ["fold"], NAMES, "y").collect()}
+    found = md.fold_rows([sums[f] for f in range(3)], sums[0], ["a", "b"], [w for w, *_ in got], linear.r2_with_intercept)
+    means = [v for k, *_, v in found if k == "mean"]
+    assert len(found) == 10 and found[-1][:3] == ("test", int(np.argmax(means)), "ab"[int(np.argmax(means))])
+    assert math.isclose(next(v for k, g, _, f, v in found if (k, g, f) == ("fold", 1, 2)), linear.r2_with_intercept(sums[2], got[7][0]))
+
+
+def test_neighbours_are_searched_over_folds(spark):
+    r = np.random.default_rng(2)
+    x = r.normal(size=(90, 2))
+    pdf = pd.DataFrame(x, columns=["a", "b"]).assign(y=(x[:, 0] + r.normal(size=90) > 0).astype(float), fold=np.arange(90) % 3)
+    train, test = spark.createDataFrame(pdf[:72]), spark.createDataFrame(pdf[72:])
+    got = md.knn_search(train, test, ["a", "b"], "y", [3, 5], ["auto", "brute"], folds=3)
+
+    def area(own, rest, k):
+        near = ((own[["a", "b"]].to_numpy()[:, None] - rest[["a", "b"]].to_numpy()) ** 2).sum(axis=2).argsort(axis=1)[:, :k]
+        p, y = rest["y"].to_numpy()[near].mean(axis=1), own["y"].to_numpy() > 0.5
+        d = (p[y][:, None] - p[~y]).round(9)
+        return ((d > 0) + 0.5 * (d == 0)).mean()
+    points = [("auto", 3), ("brute", 3), ("auto", 5), ("brute", 5)]
+    for g, (a, k) in enumerate(points):
+        cv = [area(pdf[:72][pdf.fold[:72] == f], pdf[:72][pdf.fold[:72] != f], k) for f in range(3)]
+        own = {f: v for kind, h, params, f, v in got if kind == "fold" and h == g and params == f"algorithm={a}, n_neighbors={k}"}
+        assert [own[f] for f in range(3)] == pytest.approx(cv)
+    best = got[-1][1]
+    assert got[-1][0] == "test" and got[-1][-1] == pytest.approx(area(pdf[72:], pdf[:72], points[best][1]))
+
+
+def test_zoo_grids_hold_the_reference_trees():
+    from kestrel.plans import q_models as qm
+    assert qm.FOREST_TREES == qm.BOOST_TREES == [10, 100, 1000] and qm.CLS_BOOST_TREES == [50, 100]
+    assert len(qm.CLS_KNN_KS) * len(qm.CLS_KNN_ALGORITHMS) == 8
